@@ -28,6 +28,7 @@ from orderloom.contracts import (
 )
 from orderloom.functions import money
 from orderloom.operators.ranking import rank_within
+from orderloom.session import staged
 
 
 def _lines() -> Column:
@@ -94,12 +95,18 @@ def customer_value(fact: DataFrame) -> DataFrame:
 def customer_rfm(fact: DataFrame, as_of: dt.datetime | None = None) -> DataFrame:
     """Recency, frequency and revenue per customer, recency counted from `as_of`.
 
-    Without `as_of`, the latest order date in the fact counts. It enters as a scalar
-    subquery: one value, found by Spark next to the main plan, with no join and no collect.
+    Without `as_of`, the latest order date in the fact counts. That is also the latest of
+    the customers' last orders, so the customers are written once and the date is looked up
+    there, as a scalar subquery, instead of going through the fact a second time.
     """
-    latest = F.lit(as_of).cast(MOMENT) if as_of else fact.agg(F.max("order_date")).scalar()
+    customers = customer_value(fact)
+    if as_of:
+        latest = F.lit(as_of).cast(MOMENT)
+    else:
+        customers = staged(customers, "customers")
+        latest = customers.agg(F.max("last_order_date")).scalar()
     recency = F.date_diff(latest, F.col("last_order_date"))
-    return customer_value(fact).withColumn("recency_days", recency).select(CUSTOMER_RFM.names)
+    return customers.withColumn("recency_days", recency).select(CUSTOMER_RFM.names)
 
 
 def monthly_revenue(fact: DataFrame) -> DataFrame:

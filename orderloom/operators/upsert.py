@@ -26,9 +26,11 @@ def kept_rows(target: DataFrame, staging: DataFrame, key: str = "order_id") -> D
     Rows without a key would all be shuffled to one task, so they get a second join column
     that spreads them; it is 0 on every row that can match.
     """
-    spread = F.when(F.col(key).isNull(), F.pmod(_row_hash(target, key), F.lit(_SPREAD_OVER)))
-    left = target.withColumn(_SPREAD, F.coalesce(spread, F.lit(0)).cast("int"))
-    keys = _keys(staging.select(key, F.lit(0).alias(_SPREAD)))
+    spread = F.pmod(_row_hash(target, key), F.lit(_SPREAD_OVER))
+    left = target.withColumn(_SPREAD, F.when(F.col(key).isNull(), spread).otherwise(0))
+    # Worked out per row on this side too: a constant would be taken out of the join key.
+    nowhere = F.when(F.col(key).isNull(), -1).otherwise(0).cast("long")
+    keys = _keys(staging.select(key, nowhere.alias(_SPREAD)))
     return left.join(keys, [key, _SPREAD], "left_anti").select(target.columns)
 
 

@@ -58,8 +58,10 @@ def _loaded_fact(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _versions(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """The orders before a correction, and the correction as a written staging table."""
     lines = star.order_lines(spark, folder)
-    return star.as_fact(star.first_version(lines)), star.as_fact(star.corrected(lines))
+    before, after = star.as_fact(star.first_version(lines)), star.as_fact(star.corrected(lines))
+    return before, staged(after, "staging")
 
 
 # Cleaning
@@ -258,13 +260,10 @@ def upsert_matched(spark, folder):
 
 @query
 def upsert_published(spark, folder):
-    before, after = _versions(spark, folder)
-    staging = fresh_path(spark, "staging")
-    write_months(after, staging)
-    schema = before.schema
-    orders = MonthlyTable(spark, fresh_path(spark, "orders"), schema)
+    before, staging = _versions(spark, folder)
+    orders = MonthlyTable(spark, fresh_path(spark, "orders"), before.schema)
     orders.replace(before)
-    orders.upsert(load_contract(spark, staging, schema))
+    orders.upsert(staging)
     return orders.read()
 
 

@@ -1,0 +1,184 @@
+"""Hand-made order files: every way a line can be wrong, and how it comes out."""
+
+from __future__ import annotations
+
+import datetime as dt
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from orderloom.contracts import CORRUPT, FACT_ORDERS, RAW_ORDERS
+from orderloom.operators.cleaning import accepted, assess, drop_incomplete, ingest_audit, rejected
+from orderloom.sources.order_files import day_file, read_orders
+
+HEADER = "order_id,customer_id,product_id,order_date,quantity,unit_price,discount,category"
+DAYS = {
+    dt.date(2025, 1, 1): [
+        'A1," c1 ",p1,2025-01-01,2,9.99,0.1,Toys',
+        "A1,c1,p2,2025-01-01,1,3.50,,",
+    ],
+    dt.date(2025, 1, 5): [
+        "A2,c2,p1,2025-01-04,1,9.99,0.0,Toys",
+        "A3,00012,p1,bad-date,1,9.99,0.0,Toys",
+        'A4,"   ",p1,2025-01-05,1,9.99,0.0,Toys',
+        "A5,,p1,2025-01-05,1,9.99,0.0,Toys",
+        "A6,c9,p1,2025-01-05,-1,9.99,0.0,Toys",
+        "A7,c9,p1,2025-01-05,x,9.99,1.5,Toys",
+        "A8,c9,p1,2025-01-05,1,10.00,1.5,Toys",
+        "A9,c9,p1,2025-01-05,1,10.00,abc,Toys",
+        "B1,c9,p1,2025-01-05,1",
+        "B2,c9,p1,2025-01-05,2.7,10.00,0,Toys",
+        "B3,c9,p1,2025-01-05,1,10.00",
+    ],
+}
+
+
+def write_day(root, day, lines):
+    path = day_file(str(root), day)
+    import os
+
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    with open(path, "w") as out:
+        out.write("\n".join([HEADER, *lines]) + "\n")
+
+
+@pytest.fixture(scope="module")
+def files(tmp_path_factory):
+    root = tmp_path_factory.mktemp("orders")
+    for day, lines in DAYS.items():
+        write_day(root, day, lines)
+    return str(root)
+
+
+@pytest.fixture(scope="module")
+def assessed(spark, files):
+    cached = assess(read_orders(spark, files), F.lit(dt.datetime(2025, 1, 6, 2))).cache()
+    yield cached
+    cached.unpersist()
+
+
+def test_day_file_path():
+    assert day_file("raw/", dt.date(2025, 1, 5)) == "raw/20250105/ecommerce_orders_2025-01-05.csv"
+
+
+def test_scan_keeps_ids_as_text_and_enters_day_directories(spark, files):
+    rows = read_orders(spark, files)
+    assert rows.count() == 13
+    assert rows.where("order_id = 'A3'").first()["customer_id"] == "00012"
+
+
+def test_corrupt_flag_survives_a_narrow_select(spark, files):
+    narrow = read_orders(spark, files).select("order_id", CORRUPT).where(F.col(CORRUPT).isNotNull())
+    assert {r["order_id"] for r in narrow.collect()} == {"B1", "B3"}
+
+
+def test_kept_lines(assessed):
+    kept = accepted(assessed)
+    assert kept.columns == FACT_ORDERS.names
+    assert [f.dataType for f in kept.schema] == [f.dataType for f in FACT_ORDERS]
+    revenue = {(r["order_id"], r["product_id"]): r["revenue"] for r in kept.collect()}
+    assert revenue == {
+        ("A1", "P1"): Decimal("17.98"),
+        ("A1", "P2"): Decimal("3.50"),
+        ("A2", "P1"): Decimal("9.99"),
+        ("A8", "P1"): Decimal("-5.00"),
+        ("A9", "P1"): Decimal("10.00"),
+        ("B2", "P1"): Decimal("20.00"),
+        ("B3", "P1"): Decimal("10.00"),
+    }
+    saturday = kept.where("order_id = 'A2'").first()
+    assert saturday["is_weekend"] and saturday["order_quarter"] == 1
+    first = kept.where("order_id = 'A1' and product_id = 'P1'").first()
+    assert first["customer_id"] == "C1" and not first["is_weekend"]
+    bare = kept.where("order_id = 'B3'").first()
+    assert bare["category"] == "UNKNOWN" and bare["discount"] == 0
+    assert bare["ingestion_ts"] == dt.datetime(2025, 1, 6, 2)
+
+
+def test_rejects_name_their_reason(assessed):
+    reasons = {r["order_id"]: r["reason"] for r in rejected(assessed).collect()}
+    assert reasons == {
+        "A3": "bad_order_date",
+        "A4": "blank_customer_id",
+        "A5": "missing_customer_id",
+        "A6": "quantity_not_positive",
+        "A7": "bad_quantity",
+        "B1": "missing_unit_price",
+    }
+
+
+def test_rejects_hold_the_original_text(assessed):
+    row = rejected(assessed).where("order_id = 'A7'").first()
+    assert (row["quantity"], row["discount"]) == ("x", "1.5")
+
+
+def test_every_line_is_kept_or_rejected(assessed):
+    assert accepted(assessed).count() + rejected(assessed).count() == assessed.count()
+
+
+def test_audit(assessed):
+    counts = {r["metric"]: r["row_count"] for r in ingest_audit(assessed).collect()}
+    assert counts == {
+        "input_rows": 13,
+        "kept_rows": 7,
+        "rejected_rows": 6,
+        "incomplete_rows": 2,
+        "corrupt_rows": 2,
+        "discount_defaulted_rows": 4,
+        "category_defaulted_rows": 3,
+    }
+
+
+def test_audit_of_nothing_is_zero(spark):
+    empty = assess(spark.createDataFrame([], RAW_ORDERS))
+    assert {r["row_count"] for r in ingest_audit(empty).collect()} == {0}
+
+
+def test_drop_incomplete_looks_at_critical_fields_only(spark, files):
+    left = drop_incomplete(read_orders(spark, files).select(RAW_ORDERS.names))
+    ids = [r["order_id"] for r in left.collect()]
+    assert "A5" not in ids and "B1" not in ids and "B3" in ids and len(ids) == 11
+
+
+def _line(spark, **values):
+    good = dict(zip(RAW_ORDERS.names, ["o", "c", "p", "2025-01-01", "1", "10.00", "0", "x"]))
+    return assess(spark.createDataFrame([{**good, **values}], RAW_ORDERS)).first()
+
+
+@pytest.mark.parametrize(
+    "values, expected",
+    [
+        ({"discount": "0.125"}, "8.75"),
+        ({"unit_price": "0.005", "quantity": "1000"}, "5.00"),
+        ({"quantity": "2.99999"}, "20.00"),
+        ({"quantity": "1", "unit_price": "1.005"}, "1.01"),
+        ({"discount": "1"}, "0.00"),
+    ],
+)
+def test_revenue_uses_the_figures_as_given(spark, values, expected):
+    row = _line(spark, **values)
+    assert row["reason"] is None and row["revenue"] == Decimal(expected)
+
+
+@pytest.mark.parametrize(
+    "values, reason",
+    [
+        ({"quantity": "0.9"}, "quantity_not_positive"),
+        ({"quantity": "99999999999"}, "bad_quantity"),
+        ({"unit_price": "0"}, "unit_price_not_positive"),
+        ({"unit_price": "999999999"}, "bad_unit_price"),
+        ({"quantity": "2147483647", "unit_price": "99999999"}, "revenue_out_of_range"),
+        ({"discount": "5000"}, "discount_out_of_range"),
+        ({"order_date": "2025-02-30"}, "bad_order_date"),
+        ({"order_date": "2025-1-5"}, "bad_order_date"),
+        ({"order_id": "  "}, "blank_order_id"),
+        ({"order_id": None, "quantity": "x"}, "missing_order_id"),
+    ],
+)
+def test_out_of_range_is_a_reject_not_a_failure(spark, values, reason):
+    assert _line(spark, **values)["reason"] == reason
+
+
+def test_trim_takes_spaces_only(spark):
+    assert _line(spark, customer_id=" \tc ")["customer_id"] == "\tC"
