@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,7 +13,7 @@ from orderloom.contracts import MONTH
 from orderloom.functions import in_period
 
 
-def write_months(df: DataFrame, path: str, sort_by: tuple[str, ...] = (), mode: str = "overwrite") -> None:
+def write_months(df: DataFrame, path: str, sort_by: Sequence[str] = (), mode: str = "overwrite") -> None:
     """Write `df` under order_year=/order_month= directories.
 
     Rows of a month are brought together so that a month is few files, but by a rebalance
@@ -72,7 +73,7 @@ def write_keyed_table(
     path: str,
     key: str,
     buckets: int,
-    sort_by: tuple[str, ...] = (),
+    sort_by: Sequence[str] = (),
     max_share: float | None = None,
 ) -> bool:
     """Save `df` laid out by `key`, so that joins and groups on it need no shuffle.

@@ -23,7 +23,8 @@ def duck(folder: str):
     connection = duckdb.connect()
     for path in glob.glob(f"{folder}/*.parquet"):
         name = os.path.basename(path).removesuffix(".parquet")
-        connection.execute(f"create view {name} as select * from '{path}'")
+        files = f"{path}/*.parquet" if os.path.isdir(path) else path
+        connection.execute(f"create view {name} as select * from '{files}'")
     return connection
 
 

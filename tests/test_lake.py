@@ -15,7 +15,7 @@ from orderloom.operators import kpis
 from orderloom.operators.lookups import enrich, fits_broadcast
 from orderloom.operators.quality import QualityError, duplicate_keys, enforce, quality_report
 from orderloom.operators.upsert import matched_rows, merged
-from orderloom.plans.nightly import load_aggregate, run_nightly
+from orderloom.plans.nightly import load_aggregate, run_nightly, write_aggregates
 from orderloom.sources import star_schema as star
 from orderloom.sources.lake import bucket_share, load_contract, scan_period, write_keyed_table, write_months
 from orderloom.sources.versions import MonthlyTable
@@ -93,6 +93,20 @@ def test_upsert_leaves_other_months_files_alone(spark, tmp_path):
     assert after[2025, 1] == before[2025, 1] and (2025, 2) not in after and after[2025, 3] != before[2025, 3]
 
 
+def test_aggregates_are_refreshed_for_touched_months_only(spark, tmp_path):
+    fact_table = MonthlyTable(spark, fact_path(str(tmp_path)), orders(spark, ("A", "2025-01-01", 1)).schema)
+    fact_table.replace(orders(spark, ("A", "2025-01-01", 1), ("B", "2025-02-01", 1)))
+    write_aggregates(fact_table, str(tmp_path))
+    daily = MonthlyTable(spark, f"{tmp_path}/agg_daily_sales", contracts.DAILY_SALES)
+    before = daily.live()[1]
+    touched = fact_table.upsert(orders(spark, ("B", "2025-03-01", 5)))
+    assert touched == {(2025, 2), (2025, 3)}
+    write_aggregates(fact_table, str(tmp_path), touched)
+    after = daily.live()[1]
+    assert after.keys() == {(2025, 1), (2025, 3)} and after[2025, 1] == before[2025, 1]
+    assert {r["total_units_sold"] for r in daily.read().collect()} == {1, 5}
+
+
 def test_reader_keeps_its_version_while_another_is_published(spark, tmp_path):
     table = MonthlyTable(spark, str(tmp_path), orders(spark, ("A", "2025-01-01", 1)).schema)
     table.replace(orders(spark, ("A", "2025-01-01", 1)))
@@ -271,6 +285,14 @@ def test_nightly_job(spark, tmp_path):
     run_nightly(spark, str(later), lake, loaded_at + dt.timedelta(days=1), dt.date(2025, 1, 7), False, gate=False)
     fact = MonthlyTable(spark, fact_path(lake), contracts.FACT_ORDERS).read()
     assert content(fact.where("order_id = 'A2'")) == [("A2", 2025, 2, 3)] and fact.count() == 7
+    for name, compute in [
+        ("agg_daily_sales", kpis.daily_sales),
+        ("agg_monthly_revenue", kpis.monthly_revenue),
+        ("agg_product_performance", kpis.product_performance),
+        ("agg_customer_rfm", kpis.customer_rfm),
+    ]:
+        stored, fresh = load_aggregate(spark, lake, name), compute(fact)
+        assert stored.exceptAll(fresh).isEmpty() and stored.count() == fresh.count()
     with pytest.raises(QualityError):
         enforce(quality_report(fact, dt.date(2025, 1, 7)))
 
