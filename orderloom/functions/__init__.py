@@ -1,6 +1,7 @@
 from orderloom.functions.fields import (
     blank,
     calendar_fields,
+    exact_total,
     in_period,
     money,
     net_revenue,
@@ -13,6 +14,7 @@ from orderloom.functions.fields import (
 __all__ = [
     "blank",
     "calendar_fields",
+    "exact_total",
     "in_period",
     "money",
     "net_revenue",

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import datetime as dt
+from decimal import Decimal
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from orderloom.contracts import LINE_MONEY, MOMENT
+from orderloom.contracts import LINE_MONEY, MOMENT, TOTAL_MONEY
 
 # The text form of a date, and the weekend in Spark's numbering (Sunday is 1).
 DATE_TEXT = "yyyy-MM-dd"
@@ -56,6 +57,16 @@ def money(amount: Column, dtype: T.DecimalType) -> Column:
     return F.round(amount, 2).cast(dtype)
 
 
+def exact_total(name: str) -> Column:
+    """Sum of an amount with two decimals, as an aggregate.
+
+    Added up as whole cents: a long is updated in place, where a decimal of more than 18
+    digits is made anew for every row.
+    """
+    cents = (F.col(name) * 100).cast("bigint")
+    return (F.sum(cents).cast(T.DecimalType(20, 0)) * F.lit(Decimal("0.01"))).cast(TOTAL_MONEY)
+
+
 def calendar_fields(moment: Column) -> dict[str, Column]:
     return {
         "order_year": F.year(moment),

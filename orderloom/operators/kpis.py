@@ -1,9 +1,14 @@
 """Aggregates over the fact table.
 
-Every distinct count is exact. Spark groups first by (group, counted id) and only then by
-group, so a month, category or customer that holds a third of all rows is spread over all
-tasks by the ids in it; sums travel as one partial row per task and group. Averages are
-taken from the sum and the count already at hand, which saves a second decimal buffer.
+Every distinct count is exact, and none of them gathers a group in one task: Spark groups
+by (group, counted id) first, so a month, category or product with a third of all rows is
+spread over all tasks by the ids in it, and only one number per task and group is left for
+the second shuffle.
+
+Sums and distinct counts of the same groups are computed side by side, each from its own
+narrow scan, and put together per group at the end. In one aggregate, Spark would repeat
+each row once per distinct count, and every repeated row would carry the buffers of all the
+sums through the shuffle. So pass a written table rather than a plan that is dear to run.
 
 The names avg/max/min_order_value are kept for comparability, but they are per order line.
 """
@@ -11,6 +16,7 @@ The names avg/max/min_order_value are kept for comparability, but they are per o
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -26,7 +32,7 @@ from orderloom.contracts import (
     PRODUCT_PERFORMANCE,
     TOTAL_MONEY,
 )
-from orderloom.functions import money
+from orderloom.functions import exact_total, money
 from orderloom.operators.ranking import rank_within
 from orderloom.session import staged
 
@@ -35,60 +41,75 @@ def _lines() -> Column:
     return F.count(F.lit(1)).alias("lines")
 
 
-def _revenue() -> Column:
-    return F.sum("revenue").alias("revenue_sum")
-
-
 def _units() -> Column:
     return F.sum("quantity").alias("total_units_sold")
 
 
-def _distinct(counted: str, name: str) -> Column:
-    return F.count_distinct(counted).alias(name)
+def _mean(total: str, lines: str, dtype) -> Column:
+    return money(F.col(total) / F.col(lines), dtype)
+
 
+def _distinct(fact: DataFrame, key: list[str], counted: str, name: str) -> DataFrame:
+    return fact.groupBy(*key).agg(F.count_distinct(counted).alias(name))
 
-def _ratio(part: Column, whole: Column, dtype) -> Column:
-    return money(part / whole, dtype)
+
+def _side_by_side(key: list[str], *parts: DataFrame) -> DataFrame:
+    """One row per group with the measures of all parts, which have the same groups.
+
+    Grouping, unlike a join, also brings together groups whose key holds a null.
+    """
+    rows = reduce(lambda left, right: left.unionByName(right, allowMissingColumns=True), parts)
+    measures = [name for name in rows.columns if name not in key]
+    return rows.groupBy(*key).agg(*[F.max(name).alias(name) for name in measures])
 
 
 def daily_sales(fact: DataFrame) -> DataFrame:
     """Sales per day and category."""
-    per_day = fact.groupBy(*MONTH, "order_day", "category").agg(
-        _distinct("order_id", "total_orders"),
-        _distinct("customer_id", "unique_customers"),
+    key = [*MONTH, "order_day", "category"]
+    sums = fact.groupBy(*key).agg(
         _units(),
-        _revenue(),
         _lines(),
+        exact_total("revenue").alias("total_revenue"),
         F.max("revenue").alias("max_order_value"),
         F.min("revenue").alias("min_order_value"),
     )
-    return per_day.withColumns(
-        {
-            "total_revenue": money(F.col("revenue_sum"), TOTAL_MONEY),
-            "avg_order_value": _ratio(F.col("revenue_sum"), F.col("lines"), LINE_MONEY),
-        }
-    ).select(DAILY_SALES.names)
+    days = _side_by_side(
+        key,
+        sums,
+        _distinct(fact, key, "order_id", "total_orders"),
+        _distinct(fact, key, "customer_id", "unique_customers"),
+    )
+    return days.withColumn("avg_order_value", _mean("total_revenue", "lines", LINE_MONEY)).select(DAILY_SALES.names)
 
 
-def product_performance(fact: DataFrame) -> DataFrame:
-    """Units, revenue, orders and mean price per product and category."""
-    per_product = fact.groupBy("product_id", "category").agg(
-        _units(), _revenue(), _lines(), _distinct("order_id", "order_count"), F.sum("unit_price").alias("price_sum")
+def product_totals(fact: DataFrame) -> DataFrame:
+    """Units, revenue and mean price per product and category."""
+    sums = fact.groupBy("product_id", "category").agg(
+        _units(),
+        _lines(),
+        exact_total("revenue").alias("total_revenue"),
+        exact_total("unit_price").alias("price_sum"),
     )
-    return per_product.withColumns(
-        {
-            "total_revenue": money(F.col("revenue_sum"), TOTAL_MONEY),
-            "avg_unit_price": _ratio(F.col("price_sum"), F.col("lines"), PRICE),
-        }
-    ).select(PRODUCT_PERFORMANCE.names)
+    return sums.withColumn("avg_unit_price", _mean("price_sum", "lines", PRICE)).drop("price_sum", "lines")
+
+
+def product_performance(fact: DataFrame) -> DataFrame:
+    """The product totals with the number of orders each product is in."""
+    key = ["product_id", "category"]
+    products = _side_by_side(key, product_totals(fact), _distinct(fact, key, "order_id", "order_count"))
+    return products.select(PRODUCT_PERFORMANCE.names)
 
 
 def customer_value(fact: DataFrame) -> DataFrame:
-    """Last order, number of orders and revenue per customer."""
+    """Last order, number of orders and revenue per customer.
+
+    One pass: an order is one customer's, so the rows that the distinct count leaves per
+    task are few and their sums cost little.
+    """
     return fact.groupBy("customer_id").agg(
         F.max("order_date").alias("last_order_date"),
-        _distinct("order_id", "frequency"),
-        money(F.sum("revenue"), TOTAL_MONEY).alias("monetary"),
+        F.count_distinct("order_id").alias("frequency"),
+        exact_total("revenue").alias("monetary"),
     )
 
 
@@ -109,59 +130,66 @@ def customer_rfm(fact: DataFrame, as_of: dt.datetime | None = None) -> DataFrame
     return customers.withColumn("recency_days", recency).select(CUSTOMER_RFM.names)
 
 
+def category_months(fact: DataFrame) -> DataFrame:
+    """Revenue per month and category."""
+    return fact.groupBy(*MONTH, "category").agg(exact_total("revenue").alias("monthly_revenue"))
+
+
 def monthly_revenue(fact: DataFrame) -> DataFrame:
-    """Revenue per month and category, categories ranked inside each month."""
-    per_month = fact.groupBy(*MONTH, "category").agg(
-        money(F.sum("revenue"), TOTAL_MONEY).alias("monthly_revenue"),
-        _distinct("order_id", "total_orders"),
-        _distinct("customer_id", "unique_customers"),
+    """Revenue, orders and customers per month and category, ranked inside each month."""
+    key = [*MONTH, "category"]
+    months = _side_by_side(
+        key,
+        category_months(fact),
+        _distinct(fact, key, "order_id", "total_orders"),
+        _distinct(fact, key, "customer_id", "unique_customers"),
     )
-    ranked = rank_within(per_month, MONTH, F.desc("monthly_revenue"), "revenue_rank")
-    return ranked.select(MONTHLY_REVENUE.names)
+    return rank_within(months, MONTH, F.desc("monthly_revenue"), "revenue_rank").select(MONTHLY_REVENUE.names)
 
 
 def product_months(fact: DataFrame) -> DataFrame:
     """Units and revenue per month, product and category."""
     return fact.groupBy(*MONTH, "product_id", "category").agg(
-        _units(), money(F.sum("revenue"), TOTAL_MONEY).alias("total_revenue")
+        _units(), exact_total("revenue").alias("total_revenue")
     )
 
 
 def weekend_vs_weekday(fact: DataFrame) -> DataFrame:
-    """Weekend sales next to weekday sales."""
-    sides = fact.groupBy("is_weekend").agg(
-        _distinct("order_id", "total_orders"),
-        _distinct("customer_id", "unique_customers"),
-        F.count_distinct(F.to_date("order_date")).alias("trading_days"),
-        _units(),
-        _revenue(),
-        _lines(),
+    """Weekend sales next to weekday sales, in all and per day with sales."""
+    key = ["is_weekend"]
+    days = fact.groupBy(*key, F.to_date("order_date").alias("day")).agg(
+        _units(), _lines(), exact_total("revenue").alias("revenue")
     )
-    revenue = F.col("revenue_sum")
-    return sides.select(
-        "is_weekend",
-        "total_orders",
-        "unique_customers",
-        "trading_days",
-        "total_units_sold",
-        money(revenue, TOTAL_MONEY).alias("total_revenue"),
-        _ratio(revenue, F.col("lines"), LINE_MONEY).alias("avg_order_value"),
-        _ratio(revenue, F.col("trading_days"), TOTAL_MONEY).alias("revenue_per_day"),
+    sums = days.groupBy(*key).agg(
+        F.count(F.lit(1)).alias("trading_days"),
+        F.sum("total_units_sold").alias("total_units_sold"),
+        F.sum("lines").alias("lines"),
+        exact_total("revenue").alias("total_revenue"),
     )
+    sides = _side_by_side(
+        key,
+        sums,
+        _distinct(fact, key, "order_id", "total_orders"),
+        _distinct(fact, key, "customer_id", "unique_customers"),
+    )
+    return sides.withColumns(
+        {
+            "avg_order_value": _mean("total_revenue", "lines", LINE_MONEY),
+            "revenue_per_day": _mean("total_revenue", "trading_days", TOTAL_MONEY),
+        }
+    ).drop("lines")
 
 
 def discount_impact(fact: DataFrame) -> DataFrame:
     """What each discount level sold, and what it gave away."""
     gross = F.col("quantity").cast("decimal(10,0)") * F.col("unit_price")
-    bands = fact.groupBy("discount").agg(
-        _lines(),
-        _distinct("order_id", "total_orders"),
+    sums = fact.groupBy("discount").agg(
+        F.count(F.lit(1)).alias("line_count"),
         _units(),
         money(F.sum(gross), TOTAL_MONEY).alias("gross_revenue"),
-        money(F.sum("revenue"), TOTAL_MONEY).alias("net_revenue"),
+        exact_total("revenue").alias("net_revenue"),
     )
+    levels = _side_by_side(["discount"], sums, _distinct(fact, ["discount"], "order_id", "total_orders"))
     given = (F.col("gross_revenue") - F.col("net_revenue")).cast(TOTAL_MONEY)
     share = given.cast("double") / F.nullif(F.col("gross_revenue"), F.lit(0)).cast("double")
-    return bands.withColumnsRenamed({"lines": "line_count"}).withColumns(
-        {"revenue_given_away": given, "given_away_pct": F.round(share * 100, 2)}
-    )
+    return levels.withColumns({"revenue_given_away": given, "given_away_pct": F.round(share * 100, 2)})

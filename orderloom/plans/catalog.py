@@ -52,6 +52,11 @@ def _landed(spark: SparkSession, folder: str) -> DataFrame:
     return staged(cleaning.assess(_raw(spark, folder)), "landing")
 
 
+def _fact_table(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
+    """Columns of the fact, joined once and written, for queries that scan it repeatedly."""
+    return staged(star.fact(spark, folder).select(*columns), "fact")
+
+
 def _loaded_fact(spark: SparkSession, folder: str) -> DataFrame:
     stamped = star.fact(spark, folder).withColumn("ingestion_ts", F.lit(LOADED_AT).cast(contracts.MOMENT))
     return stamped.select(FACT_ORDERS.names)
@@ -135,12 +140,14 @@ def positive_filter(spark, folder):
 
 @query
 def daily_sales(spark, folder):
-    return kpis.daily_sales(star.fact(spark, folder))
+    columns = ["order_year", "order_month", "order_day", "category", "order_id", "customer_id", "quantity", "revenue"]
+    return kpis.daily_sales(_fact_table(spark, folder, *columns))
 
 
 @query
 def product_performance(spark, folder):
-    return kpis.product_performance(star.fact(spark, folder))
+    columns = ["product_id", "category", "order_id", "quantity", "unit_price", "revenue"]
+    return kpis.product_performance(_fact_table(spark, folder, *columns))
 
 
 @query
@@ -150,17 +157,20 @@ def customer_rfm(spark, folder):
 
 @query
 def monthly_revenue(spark, folder):
-    return kpis.monthly_revenue(star.fact(spark, folder))
+    columns = ["order_year", "order_month", "category", "order_id", "customer_id", "revenue"]
+    return kpis.monthly_revenue(_fact_table(spark, folder, *columns))
 
 
 @query
 def weekend_vs_weekday(spark, folder):
-    return kpis.weekend_vs_weekday(star.fact(spark, folder))
+    columns = ["is_weekend", "order_date", "order_id", "customer_id", "quantity", "revenue"]
+    return kpis.weekend_vs_weekday(_fact_table(spark, folder, *columns))
 
 
 @query
 def discount_impact(spark, folder):
-    return kpis.discount_impact(star.fact(spark, folder))
+    columns = ["discount", "order_id", "quantity", "unit_price", "revenue"]
+    return kpis.discount_impact(_fact_table(spark, folder, *columns))
 
 
 # Rankings
@@ -168,17 +178,17 @@ def discount_impact(spark, folder):
 
 @query
 def mom_growth(spark, folder):
-    return ranking.month_growth(monthly_revenue(spark, folder))
+    return ranking.month_growth(kpis.category_months(star.fact(spark, folder)))
 
 
 @query
 def top_products_revenue(spark, folder):
-    return ranking.top_products(product_performance(spark, folder), "total_revenue")
+    return ranking.top_products(kpis.product_totals(star.fact(spark, folder)), "total_revenue")
 
 
 @query
 def top_products_units(spark, folder):
-    return ranking.top_products(product_performance(spark, folder), "total_units_sold")
+    return ranking.top_products(kpis.product_totals(star.fact(spark, folder)), "total_units_sold")
 
 
 @query

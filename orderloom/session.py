@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,6 +25,21 @@ def build_session(app: str, **overrides: str) -> SparkSession:
     return builder.getOrCreate()
 
 
+def shuffle_settings(shuffled_bytes: int, cores: int) -> dict[str, str]:
+    """Settings for a job whose largest shuffle moves about `shuffled_bytes`.
+
+    Partitions of some 200 MB fit an executor core's memory with room to sort, and there are
+    never fewer than three per core. Adaptive execution merges those that turn out small, so
+    too many cost little, while too few spill.
+    """
+    partitions = max(3 * cores, -(-shuffled_bytes // (200 << 20)))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+        "spark.sql.files.maxPartitionBytes": "256m",
+    }
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors can reach, as the cluster names it in spark.checkpoint.dir.
 
@@ -36,9 +52,12 @@ def shared_folder(spark: SparkSession) -> str:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("spark.checkpoint.dir must name a folder shared by all executors")
-    own = tempfile.mkdtemp(prefix="orderloom-")
-    spark.conf.set("spark.checkpoint.dir", own)
-    return own
+    return _local_folder()
+
+
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="orderloom-")
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:

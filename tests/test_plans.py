@@ -59,9 +59,10 @@ def test_aggregates_read_their_columns_only(spark, written):
 
 def test_distinct_counts_group_by_the_counted_id_first(spark, written):
     text = plan(kpis.monthly_revenue(spark.read.parquet(written)))
-    assert "hashpartitioning(order_year" in text
-    first_shuffle = [line for line in text.splitlines() if "Exchange hashpartitioning" in line][-1]
-    assert "order_id" in first_shuffle and "customer_id" in first_shuffle
+    shuffles = [line for line in text.splitlines() if "Exchange hashpartitioning(order_year" in line]
+    for counted in ["order_id", "customer_id"]:
+        assert any(counted in line for line in shuffles)
+    assert "Expand" not in text
 
 
 def test_top_k_keeps_k_rows_per_task(spark, written):
