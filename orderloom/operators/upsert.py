@@ -15,39 +15,40 @@ _SPREAD = "_spread"
 _SPREAD_OVER = 4096
 
 
-def matched_rows(target: DataFrame, staging: DataFrame, key: str = "order_id") -> DataFrame:
-    """Target rows an upsert would delete."""
-    return target.join(_keys(staging.select(key)), key, "left_semi")
+def staged_keys(staging: DataFrame, key: str = "order_id") -> DataFrame:
+    """The keys of `staging`: broadcast, without repeats, when they are measured few.
+
+    Otherwise they are left as they are. Removing repeats would put an aggregate between
+    the shuffle and the join, and the adaptive skew join can then no longer split a key
+    that holds many of the target's rows.
+    """
+    keys = staging.select(key).where(F.col(key).isNotNull())
+    distinct = keys.distinct()
+    return F.broadcast(distinct) if fits_broadcast(distinct) else keys
+
+
+def matched_rows(target: DataFrame, keys: DataFrame) -> DataFrame:
+    """Target rows an upsert of these keys would delete."""
+    return target.join(keys, keys.columns, "left_semi")
 
 
-def kept_rows(target: DataFrame, staging: DataFrame, key: str = "order_id") -> DataFrame:
+def kept_rows(target: DataFrame, keys: DataFrame) -> DataFrame:
     """Target rows an upsert leaves alone. Rows without a key match nothing and stay.
 
     Rows without a key would all be shuffled to one task, so they get a second join column
     that spreads them; it is 0 on every row that can match.
     """
+    key = keys.columns[0]
     spread = F.pmod(_row_hash(target, key), F.lit(_SPREAD_OVER))
     left = target.withColumn(_SPREAD, F.when(F.col(key).isNull(), spread).otherwise(0))
     # Worked out per row on this side too: a constant would be taken out of the join key.
     nowhere = F.when(F.col(key).isNull(), -1).otherwise(0).cast("long")
-    keys = _keys(staging.select(key, nowhere.alias(_SPREAD)))
-    return left.join(keys, [key, _SPREAD], "left_anti").select(target.columns)
+    return left.join(keys.withColumn(_SPREAD, nowhere), [key, _SPREAD], "left_anti").select(target.columns)
 
 
-def merged(target: DataFrame, staging: DataFrame, key: str = "order_id") -> DataFrame:
-    """The target after the upsert. Columns are matched by name."""
-    return kept_rows(target, staging, key).unionByName(staging)
-
-
-def _keys(keys: DataFrame) -> DataFrame:
-    """The keys to look up: broadcast, without repeats, when they are measured few.
-
-    Otherwise they are left as they are. Removing repeats would put an aggregate between
-    the shuffle and the join, and the adaptive skew join can then no longer split a key
-    that holds many of the target's rows.
-    """
-    distinct = keys.distinct()
-    return F.broadcast(distinct) if fits_broadcast(distinct) else keys
+def merged(target: DataFrame, staging: DataFrame, keys: DataFrame) -> DataFrame:
+    """The target after the upsert of `staging`. Columns are matched by name."""
+    return kept_rows(target, keys).unionByName(staging)
 
 
 def _row_hash(df: DataFrame, key: str) -> Column:

@@ -14,7 +14,7 @@ from orderloom.functions import calendar_fields, normalized_id, parsed_date, par
 from orderloom.operators import cleaning, kpis, ranking
 from orderloom.operators.lookups import enrich
 from orderloom.operators.quality import duplicate_keys, quality_report
-from orderloom.operators.upsert import matched_rows, merged
+from orderloom.operators.upsert import matched_rows, merged, staged_keys
 from orderloom.plans.nightly import load_aggregate, run_nightly
 from orderloom.session import fresh_path, staged
 from orderloom.sources import star_schema as star
@@ -260,12 +260,14 @@ def dq_ingest_audit(spark, folder):
 
 @query
 def upsert_orders(spark, folder):
-    return merged(*_versions(spark, folder))
+    before, staging = _versions(spark, folder)
+    return merged(before, staging, staged_keys(staging))
 
 
 @query
 def upsert_matched(spark, folder):
-    return matched_rows(*_versions(spark, folder))
+    before, staging = _versions(spark, folder)
+    return matched_rows(before, staged_keys(staging))
 
 
 @query

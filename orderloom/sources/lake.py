@@ -25,9 +25,14 @@ def write_months(df: DataFrame, path: str, sort_by: Sequence[str] = (), mode: st
     laid_out.write.mode(mode).partitionBy(*MONTH).parquet(path)
 
 
-def write_plain(df: DataFrame, path: str) -> None:
-    """Write an unpartitioned dataset, replacing what is there."""
-    df.hint("rebalance").write.mode("overwrite").parquet(path)
+def write_plain(df: DataFrame, path: str, compact: bool = False) -> None:
+    """Write an unpartitioned dataset, replacing what is there.
+
+    `compact` is for what a filter leaves of many tasks: a shuffle of the few rows saves as
+    many files as there were tasks. Anything else is written where it was computed.
+    """
+    rows = df.hint("rebalance") if compact else df
+    rows.write.mode("overwrite").parquet(path)
 
 
 def load_contract(spark: SparkSession, path: str, contract: T.StructType) -> DataFrame:

@@ -27,6 +27,8 @@ def joined_lines(spark: SparkSession, folder: str) -> DataFrame:
     lines = table(spark, folder, "lineitem")
     orders = table(spark, folder, "orders")
     parts = table(spark, folder, "part")
+    # Cast where there is one row per product, not one per line.
+    parts = parts.withColumn("p_retailprice", F.col("p_retailprice").cast(PRICE))
     return lines.join(parts, lines["l_partkey"] == parts["p_partkey"]).join(
         orders, lines["l_orderkey"] == orders["o_orderkey"]
     )
@@ -41,7 +43,7 @@ def order_lines(spark: SparkSession, folder: str) -> DataFrame:
         F.col("p_type").alias("category"),
         F.col("o_orderdate").cast(MOMENT).alias("order_date"),
         F.col("l_quantity").cast("int").alias("quantity"),
-        F.col("p_retailprice").cast(PRICE).alias("unit_price"),
+        F.col("p_retailprice").alias("unit_price"),
         F.col("l_discount").cast(DISCOUNT).alias("discount"),
         F.col("o_orderstatus").alias("status"),
     )
@@ -99,7 +101,7 @@ def text_lines(spark: SparkSession, folder: str) -> DataFrame:
     order, product, supplier = F.col("l_orderkey"), F.col("l_partkey"), F.col("l_suppkey")
     number = F.col("l_linenumber")
     quantity = F.col("l_quantity").cast("int").cast("string")
-    price = F.col("p_retailprice").cast(PRICE).cast("string")
+    price = F.col("p_retailprice").cast("string")
     discount = F.col("l_discount").cast(DISCOUNT).cast("string")
     customer = F.concat(F.lit(" c"), F.col("o_custkey").cast("string"), F.lit("  "))
     day = F.date_format("o_orderdate", "yyyy-MM-dd")

@@ -14,7 +14,7 @@ from orderloom import contracts
 from orderloom.operators import kpis
 from orderloom.operators.lookups import enrich, fits_broadcast
 from orderloom.operators.quality import QualityError, duplicate_keys, enforce, quality_report
-from orderloom.operators.upsert import matched_rows, merged
+from orderloom.operators.upsert import matched_rows, merged, staged_keys
 from orderloom.plans.nightly import load_aggregate, run_nightly, write_aggregates
 from orderloom.sources import star_schema as star
 from orderloom.sources.lake import bucket_share, load_contract, scan_period, write_keyed_table, write_months
@@ -58,7 +58,7 @@ CASES = {
 @pytest.mark.parametrize("before, after, expected", CASES.values(), ids=CASES)
 def test_upsert(spark, tmp_path, before, after, expected):
     target, staging = orders(spark, *before), orders(spark, *after)
-    assert content(merged(target, staging)) == expected
+    assert content(merged(target, staging, staged_keys(staging))) == expected
 
     table = MonthlyTable(spark, str(tmp_path), target.schema)
     assert table.read().isEmpty()
@@ -72,14 +72,15 @@ def test_upsert(spark, tmp_path, before, after, expected):
 def test_rows_without_key_stay(spark):
     target = orders(spark, (None, "2025-01-01", 1), ("A", "2025-01-01", 1))
     staging = orders(spark, (None, "2025-01-01", 2), ("A", "2025-01-01", 3))
-    assert sorted(r["quantity"] for r in merged(target, staging).collect()) == [1, 2, 3]
-    assert [r["order_id"] for r in matched_rows(target, staging).collect()] == ["A"]
+    keys = staged_keys(staging)
+    assert sorted(r["quantity"] for r in merged(target, staging, keys).collect()) == [1, 2, 3]
+    assert [r["order_id"] for r in matched_rows(target, keys).collect()] == ["A"]
 
 
 def test_merge_is_by_name(spark):
     target, staging = orders(spark, ("A", "2025-01-01", 1)), orders(spark, ("B", "2025-01-01", 2))
-    shuffled = staging.select(*reversed(staging.columns))
-    assert content(merged(target, shuffled)) == content(merged(target, staging))
+    shuffled, keys = staging.select(*reversed(staging.columns)), staged_keys(staging)
+    assert content(merged(target, shuffled, keys)) == content(merged(target, staging, keys))
 
 
 def test_upsert_leaves_other_months_files_alone(spark, tmp_path):

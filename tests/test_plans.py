@@ -7,7 +7,7 @@ import datetime as dt
 import pytest
 
 from orderloom.operators import kpis, ranking
-from orderloom.operators.upsert import merged
+from orderloom.operators.upsert import merged, staged_keys
 from orderloom.plans.catalog import all_queries
 from orderloom.sources import star_schema as star
 from orderloom.sources.lake import scan_period, write_months
@@ -84,10 +84,16 @@ def test_quintiles_send_no_customers_to_one_task(spark, written):
 def test_keyless_rows_are_spread_in_an_upsert(spark, written, monkeypatch, no_auto_broadcast):
     monkeypatch.setattr("orderloom.operators.upsert.fits_broadcast", lambda df: False)
     fact = spark.read.parquet(written)
-    text = plan(merged(fact, fact))
+    text = plan(merged(fact, fact, staged_keys(fact)))
     assert "SortMergeJoin [order_id" in text and "LeftAnti" in text
     assert any("hashpartitioning(order_id" in line and "_spread" in line for line in text.splitlines())
 
 
+def test_few_keys_are_broadcast_in_an_upsert(spark, written, no_auto_broadcast):
+    fact = spark.read.parquet(written)
+    text = plan(merged(fact, fact, staged_keys(fact)))
+    assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
+
+
 def test_nothing_is_broadcast_by_size_alone(spark, no_auto_broadcast):
     assert "Broadcast" not in plan(star.fact(spark, FOLDER))
