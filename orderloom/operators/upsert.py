@@ -6,50 +6,85 @@ and staging must hold each line once.
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from orderloom.contracts import MONTH
 from orderloom.operators.lookups import fits_broadcast
+from orderloom.session import staged
 
 _SPREAD = "_spread"
 _SPREAD_OVER = 4096
 
 
-def staged_keys(staging: DataFrame, key: str = "order_id") -> DataFrame:
-    """The keys of `staging`: broadcast, without repeats, when they are measured few.
+class OrderKeys(NamedTuple):
+    """The keys to replace, each once, in a written table of one column."""
+
+    table: DataFrame
+    few: bool
+
+    @property
+    def name(self) -> str:
+        return self.table.columns[0]
+
+    def side(self, **columns: Column) -> DataFrame:
+        """The keys as one side of a join, broadcast when they were measured few."""
+        rows = self.table.withColumns(columns) if columns else self.table
+        return F.broadcast(rows) if self.few else rows
+
 
-    Otherwise they are left as they are. Removing repeats would put an aggregate between
-    the shuffle and the join, and the adaptive skew join can then no longer split a key
-    that holds many of the target's rows.
+def staged_keys(staging: DataFrame, key: str = "order_id") -> OrderKeys:
+    """The keys of `staging` without repeats.
+
+    They are written because they are joined more than once, and because the adaptive skew
+    join splits a hot key of the target only if the other side is shuffled as it was read:
+    an aggregate that removes repeats must not stand in between.
     """
-    keys = staging.select(key).where(F.col(key).isNotNull())
-    distinct = keys.distinct()
-    return F.broadcast(distinct) if fits_broadcast(distinct) else keys
+    keys = staged(staging.select(key).where(F.col(key).isNotNull()).distinct(), "keys")
+    return OrderKeys(keys, fits_broadcast(keys))
 
 
-def matched_rows(target: DataFrame, keys: DataFrame) -> DataFrame:
+def matched_rows(target: DataFrame, keys: OrderKeys) -> DataFrame:
     """Target rows an upsert of these keys would delete."""
-    return target.join(keys, keys.columns, "left_semi")
+    return target.join(keys.side(), keys.name, "left_semi")
 
 
-def kept_rows(target: DataFrame, keys: DataFrame) -> DataFrame:
+def kept_rows(target: DataFrame, keys: OrderKeys) -> DataFrame:
     """Target rows an upsert leaves alone. Rows without a key match nothing and stay.
 
     Rows without a key would all be shuffled to one task, so they get a second join column
     that spreads them; it is 0 on every row that can match.
     """
-    key = keys.columns[0]
-    spread = F.pmod(_row_hash(target, key), F.lit(_SPREAD_OVER))
-    left = target.withColumn(_SPREAD, F.when(F.col(key).isNull(), spread).otherwise(0))
-    # Worked out per row on this side too: a constant would be taken out of the join key.
-    nowhere = F.when(F.col(key).isNull(), -1).otherwise(0).cast("long")
-    return left.join(keys.withColumn(_SPREAD, nowhere), [key, _SPREAD], "left_anti").select(target.columns)
+    no_key = F.col(keys.name).isNull()
+    spread = F.pmod(_row_hash(target, keys.name), F.lit(_SPREAD_OVER))
+    left = target.withColumn(_SPREAD, F.when(no_key, spread).otherwise(0))
+    # Worked out per row on the other side too: a constant would be taken out of the join key.
+    right = keys.side(**{_SPREAD: F.when(no_key, -1).otherwise(0).cast("long")})
+    return left.join(right, [keys.name, _SPREAD], "left_anti").select(target.columns)
 
 
-def merged(target: DataFrame, staging: DataFrame, keys: DataFrame) -> DataFrame:
+def merged(target: DataFrame, staging: DataFrame, keys: OrderKeys) -> DataFrame:
     """The target after the upsert of `staging`. Columns are matched by name."""
     return kept_rows(target, keys).unionByName(staging)
 
 
+def matched_months(target: DataFrame, keys: OrderKeys) -> DataFrame:
+    """The months that rows of these keys lie in, and any between a key's first and last.
+
+    With many keys, the target is reduced to one row per order and task before it is
+    shuffled, so the shuffle moves orders and not lines and a hot order is one row. An order
+    lies in one month, so first and last are almost always the same.
+    """
+    if keys.few:
+        return matched_rows(target, keys).select(*MONTH).distinct()
+    number = F.col("order_year") * 12 + F.col("order_month") - 1
+    spans = target.groupBy(keys.name).agg(F.min(number).alias("first"), F.max(number).alias("last"))
+    months = matched_rows(spans, keys).select(F.explode(F.sequence("first", "last")).alias("n")).distinct()
+    year = F.floor(F.col("n") / 12).cast("int")
+    return months.select(year.alias("order_year"), (F.col("n") - year * 12 + 1).alias("order_month"))
+
+
 def _row_hash(df: DataFrame, key: str) -> Column:
     return F.xxhash64(*[F.col(name) for name in df.columns if name != key] or [F.lit(0)])

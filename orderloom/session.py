@@ -65,6 +65,12 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/orderloom/{label}-{uuid.uuid4().hex}"
 
 
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    """Whether `path` is there, asked of its own file system."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder)
+
+
 def staged(df: DataFrame, label: str) -> DataFrame:
     """Write `df` once and read it back: cuts lineage, survives the loss of executors."""
     spark = df.sparkSession

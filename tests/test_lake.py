@@ -14,7 +14,7 @@ from orderloom import contracts
 from orderloom.operators import kpis
 from orderloom.operators.lookups import enrich, fits_broadcast
 from orderloom.operators.quality import QualityError, duplicate_keys, enforce, quality_report
-from orderloom.operators.upsert import matched_rows, merged, staged_keys
+from orderloom.operators.upsert import matched_months, matched_rows, merged, staged_keys
 from orderloom.plans.nightly import load_aggregate, run_nightly, write_aggregates
 from orderloom.sources import star_schema as star
 from orderloom.sources.lake import bucket_share, load_contract, scan_period, write_keyed_table, write_months
@@ -77,6 +77,32 @@ def test_rows_without_key_stay(spark):
     assert [r["order_id"] for r in matched_rows(target, keys).collect()] == ["A"]
 
 
+@pytest.mark.parametrize("few", [True, False])
+def test_months_to_rewrite(spark, few):
+    target = orders(
+        spark, ("A", "2024-12-01", 1), ("B", "2025-01-01", 1), ("C", "2025-02-01", 1), ("D", "2024-11-30", 1), ("D", "2025-01-02", 1)
+    )
+
+    def months(*names):
+        keys = staged_keys(orders(spark, *[(name, "2030-01-01", 1) for name in names]))._replace(few=few)
+        return {(r["order_year"], r["order_month"]) for r in matched_months(target, keys).collect()}
+
+    assert months("A") == {(2024, 12)}
+    assert months("A", "C", "Z") == {(2024, 12), (2025, 2)}
+    assert months("D") >= {(2024, 11), (2025, 1)}
+    assert months("Z") == set()
+
+
+def test_upsert_with_many_keys(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("orderloom.operators.upsert.fits_broadcast", lambda df: False)
+    for before, after, expected in CASES.values():
+        target, staging = orders(spark, *before), orders(spark, *after)
+        table = MonthlyTable(spark, f"{tmp_path}/{len(glob.glob(f'{tmp_path}/*'))}", target.schema)
+        table.replace(target)
+        table.upsert(staging)
+        assert content(table.read()) == expected
+
+
 def test_merge_is_by_name(spark):
     target, staging = orders(spark, ("A", "2025-01-01", 1)), orders(spark, ("B", "2025-01-01", 2))
     shuffled, keys = staging.select(*reversed(staging.columns)), staged_keys(staging)

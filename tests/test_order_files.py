@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from orderloom.contracts import CORRUPT, FACT_ORDERS, RAW_ORDERS
 from orderloom.operators.cleaning import accepted, assess, drop_incomplete, ingest_audit, rejected
-from orderloom.sources.order_files import day_file, read_orders
+from orderloom.sources.order_files import SCAN_SCHEMA, day_file, read_orders
 
 HEADER = "order_id,customer_id,product_id,order_date,quantity,unit_price,discount,category"
 DAYS = {
@@ -68,6 +68,11 @@ def test_scan_keeps_ids_as_text_and_enters_day_directories(spark, files):
     assert rows.where("order_id = 'A3'").first()["customer_id"] == "00012"
 
 
+def test_scan_of_a_single_day(spark, files):
+    day = read_orders(spark, day_file(files, dt.date(2025, 1, 1)))
+    assert day.schema == SCAN_SCHEMA and day.count() == 2
+
+
 def test_corrupt_flag_survives_a_narrow_select(spark, files):
     narrow = read_orders(spark, files).select("order_id", CORRUPT).where(F.col(CORRUPT).isNotNull())
     assert {r["order_id"] for r in narrow.collect()} == {"B1", "B3"}
@@ -180,5 +185,16 @@ def test_out_of_range_is_a_reject_not_a_failure(spark, values, reason):
     assert _line(spark, **values)["reason"] == reason
 
 
+@pytest.mark.parametrize("zone", ["UTC", "America/Sao_Paulo", "Asia/Tokyo"])
+def test_dates_do_not_depend_on_the_session_zone(spark, zone):
+    # On 2018-11-04 there was no midnight in Sao Paulo.
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        row = _line(spark, order_date="2018-11-04")
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert row["order_date"] == dt.datetime(2018, 11, 4) and row["order_day"] == 4 and row["is_weekend"]
+
+
 def test_trim_takes_spaces_only(spark):
     assert _line(spark, customer_id=" \tc ")["customer_id"] == "\tC"

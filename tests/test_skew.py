@@ -9,6 +9,8 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
+from orderloom.operators.upsert import kept_rows, staged_keys
+from orderloom.session import staged
 from orderloom.sources import star_schema as star
 from tests.compare import duck, mismatch
 
@@ -89,6 +91,16 @@ def test_skewed_tables_match_oracle(spark, skewed, touchy, name):
     assert mismatch(result, duck(skewed), contract.oracle_sql()[name]) is None
 
 
+def test_hot_order_is_split_in_an_upsert_with_many_keys(spark, skewed, touchy):
+    target = staged(star.fact(spark, skewed).repartition(8), "target")
+    keys = staged_keys(target.where("order_month < 7"))._replace(few=False)
+    kept = kept_rows(target, keys)
+    rows = kept.collect()
+    final = kept._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert "SortMergeJoin(skew=true)" in final and "LeftAnti" in final
+    assert len(rows) == target.where("order_month >= 7").count()
+
+
 def test_hot_keys_of_both_joins_are_split(spark, skewed, touchy):
     fact = star.fact(spark, skewed)
     fact.collect()
