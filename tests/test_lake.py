@@ -341,3 +341,26 @@ def test_incremental_ingest_takes_each_file_once(spark, tmp_path):
     write_day(files, dt.date(2025, 1, 7), days[1][1])
     ingest_new_files(spark, str(files), lake, progress)
     assert table.read().count() == 7
+
+
+@pytest.mark.parametrize("fails", ["before publishing", "after publishing"])
+def test_failed_batch_is_taken_again(spark, tmp_path, monkeypatch, fails):
+    files, lake, progress = tmp_path / "files", str(tmp_path / "lake"), str(tmp_path / "progress")
+    for day, lines in DAYS.items():
+        write_day(files, day, lines)
+    publish = MonthlyTable._publish
+
+    def broken(self, version, live):
+        if fails == "after publishing":
+            publish(self, version, live)
+        raise RuntimeError("lost")
+
+    table = MonthlyTable(spark, fact_path(lake), contracts.FACT_ORDERS)
+    with monkeypatch.context() as patch:
+        patch.setattr(MonthlyTable, "_publish", broken)
+        with pytest.raises(Exception, match="lost"):
+            ingest_new_files(spark, str(files), lake, progress)
+    assert table.read().count() == (7 if fails == "after publishing" else 0)
+    ingest_new_files(spark, str(files), lake, progress)
+    assert table.read().count() == 7
+    assert spark.read.option("recursiveFileLookup", True).parquet(f"{lake}/rejects").count() == 6
