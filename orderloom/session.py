@@ -60,15 +60,30 @@ def _local_folder() -> str:
     return tempfile.mkdtemp(prefix="orderloom-")
 
 
+def _application_folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/orderloom/{spark.sparkContext.applicationId}"
+
+
 def fresh_path(spark: SparkSession, label: str) -> str:
-    """A path in the shared folder that no earlier run has used."""
-    return f"{shared_folder(spark)}/orderloom/{label}-{uuid.uuid4().hex}"
+    """A path in this application's part of the shared folder that nothing has used yet."""
+    return f"{_application_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def _folder(spark: SparkSession, path: str):
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), folder
 
 
 def folder_exists(spark: SparkSession, path: str) -> bool:
     """Whether `path` is there, asked of its own file system."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder)
+    files, folder = _folder(spark, path)
+    return files.exists(folder)
+
+
+def clear_staged(spark: SparkSession) -> None:
+    """Remove this application's staged tables, once no result that reads them is needed."""
+    files, folder = _folder(spark, _application_folder(spark))
+    files.delete(folder, True)
 
 
 def staged(df: DataFrame, label: str) -> DataFrame:

@@ -5,7 +5,7 @@ from types import SimpleNamespace
 
 import pytest
 
-from orderloom.session import fresh_path, shared_folder, shuffle_settings, staged
+from orderloom.session import clear_staged, folder_exists, fresh_path, shared_folder, shuffle_settings, staged
 
 
 class Settings(dict):
@@ -14,7 +14,7 @@ class Settings(dict):
 
 
 def session(master, **conf):
-    return SimpleNamespace(conf=Settings(conf), sparkContext=SimpleNamespace(master=master))
+    return SimpleNamespace(conf=Settings(conf), sparkContext=SimpleNamespace(master=master, applicationId="app"))
 
 
 def test_folder_named_by_the_cluster_is_used():
@@ -39,6 +39,15 @@ def test_staged_keeps_rows_and_types(spark):
     assert copy.dtypes == df.dtypes and copy.collect() == df.collect()
 
 
+def test_staged_tables_can_be_cleared(spark, monkeypatch):
+    monkeypatch.setattr("orderloom.session._application_folder", lambda s: f"{shared_folder(s)}/cleared")
+    path = fresh_path(spark, "gone")
+    spark.range(3).write.parquet(path)
+    assert folder_exists(spark, path)
+    clear_staged(spark)
+    assert not folder_exists(spark, path)
+
+
 def test_partitions_grow_with_the_shuffle():
     small, large = shuffle_settings(1 << 30, 8), shuffle_settings(10 << 40, 4000)
     assert small["spark.sql.shuffle.partitions"] == "24"
