@@ -90,13 +90,11 @@ def write_keyed_table(
     whether the table is bucketed.
     """
     limit = max_share if max_share is not None else 4.0 / buckets
-    writer_rows = df
     bucketed = bucket_share(df, key, buckets) <= limit
     if bucketed:
         # The expression is the one bucketing uses, so a task writes few bucket files.
         bucket = F.pmod(F.hash(F.col(key)), F.lit(buckets))
-        writer_rows = df.repartition(buckets, bucket)
-        writer = writer_rows.write.bucketBy(buckets, key)
+        writer = df.repartition(buckets, bucket).write.bucketBy(buckets, key)
         if sort_by:
             writer = writer.sortBy(*sort_by)
     else:
