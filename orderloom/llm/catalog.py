@@ -8,11 +8,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 from orderloom.llm import (
     binary_records,
+    context_tree,
     decontamination,
+    language,
     packing,
     quality_rules,
     simhash,
+    toxicity,
     url_rules,
+    weak_labels,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,6 +30,10 @@ def op1_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules.quality_rules(table(spark, folder, "documents"))
 
 
+def op2_context_tree(spark: SparkSession, folder: str) -> DataFrame:
+    return context_tree.context_tree_scores(table(spark, folder, "documents"))
+
+
 def op3_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"))
 
@@ -38,11 +46,23 @@ def op5_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"))
 
 
+def op6_weak_labels(spark: SparkSession, folder: str) -> DataFrame:
+    return weak_labels.weak_label_scores(table(spark, folder, "documents"))
+
+
 def op7_url_rules(spark: SparkSession, folder: str) -> DataFrame:
     found = url_rules.url_verdicts(table(spark, folder, "pages"))
     return found.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op8_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    return language.identify(table(spark, folder, "documents"))
+
+
+def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     found = decontamination.decontaminate(
         table(spark, folder, "documents"), table(spark, folder, "benchmark")
@@ -52,12 +72,19 @@ def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
 
 def llm_queries() -> dict[str, Query]:
     return {
-        "op1_quality_rules": op1_quality_rules,
-        "op3_simhash": op3_simhash,
-        "op4_binary_records": op4_binary_records,
-        "op5_best_fit_packing": op5_best_fit_packing,
-        "op7_url_rules": op7_url_rules,
-        "op10_decontamination": op10_decontamination,
+        query.__name__: query
+        for query in (
+            op1_quality_rules,
+            op2_context_tree,
+            op3_simhash,
+            op4_binary_records,
+            op5_best_fit_packing,
+            op6_weak_labels,
+            op7_url_rules,
+            op8_language_id,
+            op9_toxicity,
+            op10_decontamination,
+        )
     }
 
 

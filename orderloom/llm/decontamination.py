@@ -9,14 +9,14 @@ from __future__ import annotations
 
 import hashlib
 from collections import defaultdict
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderloom.llm.common import batches, texts
+from orderloom.llm.common import batches, ship, texts
 from orderloom.session import staged
 
 WINDOW = 10
@@ -176,6 +176,31 @@ def _searched(rows: DataFrame, items, window: int, keep_text: bool) -> DataFrame
     return batches(rows, schema, prepare)
 
 
+def clean_documents(
+    docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES
+) -> DataFrame:
+    """The rows whose text holds no window of the benchmark, all columns unchanged."""
+    ship(docs.sparkSession)
+    blocks = blocks_of(benchmark, block_bytes)
+    for k, items in enumerate(blocks):
+        told = docs.sparkSession.sparkContext.broadcast(items)
+        docs = _without(docs, told, window)
+        docs = docs if k == len(blocks) - 1 else staged(docs, "clean")
+    return docs
+
+
+def _without(docs: DataFrame, items, window: int) -> DataFrame:
+    at = docs.columns.index("text")
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        search = Search(items.value, window)
+        for batch in parts:
+            keep = [not search.hits(words_of(text))[0].any() for text in texts(batch.column(at))]
+            yield batch.filter(pa.array(keep, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def digest(found: DataFrame) -> DataFrame:
     """The result of `decontaminate` with the items as one hash."""
     return found.select(
