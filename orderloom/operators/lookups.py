@@ -12,18 +12,17 @@ MAX_BYTES = 64 << 20
 def fits_broadcast(df: DataFrame, max_rows: int = MAX_ROWS, max_bytes: int = MAX_BYTES) -> bool:
     """Whether all of `df` is within both bounds.
 
-    Looking for row max_rows + 1 reads no further than that row; only a table that has no
-    such row is then measured whole. The size is that of the rows as text, with 16 bytes a
-    field for what a row costs in a hash table, so a file that compresses well cannot pass
-    for a small one.
+    One aggregate counts rows and bytes, so a task passes on one row whatever it read; a
+    search for row max_rows + 1 would send that many rows of every task to a single one.
+    The size is that of the rows as text, with 16 bytes a field for what a row costs in a
+    hash table, so a file that compresses well cannot pass for a small one.
     """
-    if not df.select(F.lit(1)).offset(max_rows).isEmpty():
-        return False
     widths = [F.coalesce(F.octet_length(F.col(f"`{name}`").cast("string")), F.lit(0)) + 16 for name in df.columns]
     row_bytes = widths[0]
     for width in widths[1:]:
         row_bytes = row_bytes + width
-    return (df.agg(F.sum(row_bytes.cast("long"))).first()[0] or 0) <= max_bytes
+    measured = df.agg(F.count(F.lit(1)).alias("rows"), F.sum(row_bytes.cast("long")).alias("bytes")).first()
+    return measured["rows"] <= max_rows and (measured["bytes"] or 0) <= max_bytes
 
 
 def sized(df: DataFrame, **bounds: int) -> DataFrame:

@@ -16,7 +16,6 @@ from orderloom.operators.lookups import fits_broadcast
 from orderloom.session import staged
 
 _SPREAD = "_spread"
-_SPREAD_OVER = 4096
 
 
 class OrderKeys(NamedTuple):
@@ -58,7 +57,8 @@ def kept_rows(target: DataFrame, keys: OrderKeys) -> DataFrame:
     that spreads them; it is 0 on every row that can match.
     """
     no_key = F.col(keys.name).isNull()
-    spread = F.pmod(_row_hash(target, keys.name), F.lit(_SPREAD_OVER))
+    tasks = int(target.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = F.pmod(_row_hash(target, keys.name), F.lit(16 * tasks))
     left = target.withColumn(_SPREAD, F.when(no_key, spread).otherwise(0))
     # Worked out per row on the other side too: a constant would be taken out of the join key.
     right = keys.side(**{_SPREAD: F.when(no_key, -1).otherwise(0).cast("long")})
@@ -71,17 +71,15 @@ def merged(target: DataFrame, staging: DataFrame, keys: OrderKeys) -> DataFrame:
 
 
 def matched_months(target: DataFrame, keys: OrderKeys) -> DataFrame:
-    """The months that rows of these keys lie in, and any between a key's first and last.
+    """The months that rows of these keys lie in.
 
-    With many keys, the target is reduced to one row per order and task before it is
-    shuffled, so the shuffle moves orders and not lines and a hot order is one row. An order
-    lies in one month, so first and last are almost always the same.
+    The target is reduced to one row per order and task before it is shuffled, so the shuffle
+    moves orders and not lines, and a hot order is one row. A row holds the months of its
+    order, of which there are no more than the table has.
     """
-    if keys.few:
-        return matched_rows(target, keys).select(*MONTH).distinct()
     number = F.col("order_year") * 12 + F.col("order_month") - 1
-    spans = target.groupBy(keys.name).agg(F.min(number).alias("first"), F.max(number).alias("last"))
-    months = matched_rows(spans, keys).select(F.explode(F.sequence("first", "last")).alias("n")).distinct()
+    spans = target.groupBy(keys.name).agg(F.collect_set(number).alias("months"))
+    months = matched_rows(spans, keys).select(F.explode("months").alias("n")).distinct()
     year = F.floor(F.col("n") / 12).cast("int")
     return months.select(year.alias("order_year"), (F.col("n") - year * 12 + 1).alias("order_month"))
 
