@@ -17,6 +17,8 @@ TOTAL_MONEY = T.DecimalType(18, 2)
 MOMENT = T.TimestampNTZType()
 
 CORRUPT = "_corrupt_record"
+# The day a line's file is of.
+RUN_DATE = "run_date"
 
 # The fields a line cannot do without.
 CRITICAL = ["order_id", "customer_id", "product_id", "order_date", "quantity", "unit_price"]

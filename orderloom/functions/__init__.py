@@ -1,8 +1,10 @@
 from orderloom.functions.fields import (
+    WIDE,
     blank,
     calendar_fields,
     exact_total,
     in_period,
+    is_number,
     money,
     net_revenue,
     normalized_id,
@@ -12,10 +14,12 @@ from orderloom.functions.fields import (
 )
 
 __all__ = [
+    "WIDE",
     "blank",
     "calendar_fields",
     "exact_total",
     "in_period",
+    "is_number",
     "money",
     "net_revenue",
     "normalized_id",

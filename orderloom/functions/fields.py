@@ -15,13 +15,23 @@ from orderloom.contracts import LINE_MONEY, MOMENT, TOTAL_MONEY
 DATE_TEXT = "yyyy-MM-dd"
 WEEKEND = [1, 7]
 
+# Digits enough that a number which does not fit is no price, discount or quantity of any contract.
+WIDE = T.DecimalType(38, 18)
+_DATE_TIME = r"^\d{4}-\d{2}-\d{2}[ T]\d{2}:\d{2}:\d{2}$"
+
 
 def parsed_date(text: Column) -> Column:
-    """Text to timestamp; null when the text is not a date in the expected form.
+    """Text to timestamp; null when it is neither a date nor a date with a time of day.
 
-    Goes through DATE, which has no zone, so the session zone cannot shift a day.
+    Neither goes through a type that has a zone, so the session zone cannot shift a day.
     """
-    return F.try_to_date(text, DATE_TEXT).cast(MOMENT)
+    with_time = F.when(text.rlike(_DATE_TIME), text).try_cast(MOMENT)
+    return F.coalesce(F.try_to_date(text, DATE_TEXT).cast(MOMENT), with_time)
+
+
+def is_number(text: Column) -> Column:
+    """Whether the text is a number, of whatever size; false for null."""
+    return text.try_cast("double").isNotNull()
 
 
 def parsed_quantity(text: Column) -> Column:
@@ -29,7 +39,7 @@ def parsed_quantity(text: Column) -> Column:
 
     A direct cast of '2.7' to int gives null, hence the step through decimal.
     """
-    return text.try_cast(T.DecimalType(38, 18)).try_cast("int")
+    return text.try_cast(WIDE).try_cast("int")
 
 
 def normalized_id(text: Column) -> Column:

@@ -16,10 +16,13 @@ from orderloom.contracts import (
     PRICE,
     RAW_ORDERS,
     REJECTS,
+    RUN_DATE,
 )
 from orderloom.functions import (
+    WIDE,
     blank,
     calendar_fields,
+    is_number,
     net_revenue,
     normalized_id,
     or_zero,
@@ -55,7 +58,7 @@ def with_defaults(typed: DataFrame) -> DataFrame:
     """No discount means zero, no category means UNKNOWN."""
     return typed.withColumns(
         {
-            "discount": or_zero(F.col("discount"), DISCOUNT),
+            "discount": or_zero(F.col("discount"), typed.schema["discount"].dataType),
             "category": F.coalesce("category", F.lit(NO_CATEGORY)),
         }
     )
@@ -66,12 +69,16 @@ def assess(raw: DataFrame, ingestion_ts: Column | None = None) -> DataFrame:
 
     One row out per row in. `reason` is null for a good line; `raw` holds the original text
     of a refused one and is null otherwise, so it costs nothing to store for the others.
-    Text that does not parse gives null and a reason, never a failed job.
+    Text that does not parse gives null and a reason, never a failed job. A discount that is
+    no number counts as none given; a number too large for the contract is refused, and so is
+    a price that the contract would store as zero, or a text longer than its column.
     """
     source = {name: F.col(name) for name in RAW_ORDERS.names}
     source[CORRUPT] = F.col(CORRUPT) if CORRUPT in raw.columns else F.lit(None).cast("string")
 
+    run_date = F.col(RUN_DATE) if RUN_DATE in raw.columns else F.lit(None).cast("date")
     parsed = raw.select(
+        run_date.alias(RUN_DATE),
         F.struct(*[value.alias(name) for name, value in source.items()]).alias("raw"),
         F.col("order_id"),
         normalized_id(F.col("customer_id")).alias("customer_id"),
@@ -79,9 +86,11 @@ def assess(raw: DataFrame, ingestion_ts: Column | None = None) -> DataFrame:
         F.coalesce("category", F.lit(NO_CATEGORY)).alias("category"),
         parsed_date(F.col("order_date")).alias("order_date"),
         parsed_quantity(F.col("quantity")).alias("quantity"),
-        F.col("unit_price").try_cast(FINE_PRICE).alias("fine_price"),
-        or_zero(F.col("discount").try_cast(FINE_DISCOUNT), FINE_DISCOUNT).alias("fine_discount"),
-        F.col("discount").try_cast(FINE_DISCOUNT).isNull().alias("discount_defaulted"),
+        F.col("unit_price").try_cast(WIDE).try_cast(FINE_PRICE).alias("fine_price"),
+        F.when(is_number(F.col("discount")), F.col("discount").try_cast(WIDE).try_cast(FINE_DISCOUNT))
+        .otherwise(F.lit(0).cast(FINE_DISCOUNT))
+        .alias("fine_discount"),
+        (~is_number(F.col("discount"))).alias("discount_defaulted"),
         F.col("category").isNull().alias("category_defaulted"),
     )
     fact = {
@@ -97,20 +106,16 @@ def assess(raw: DataFrame, ingestion_ts: Column | None = None) -> DataFrame:
     typed = parsed.select(
         *[fact[name].alias(name) for name in FACT_ORDERS.names],
         "raw",
-        "fine_price",
+        RUN_DATE,
         "discount_defaulted",
         "category_defaulted",
     )
-    return (
-        typed.withColumn("reason", _reason())
-        .withColumns(
-            {
-                "is_corrupt": F.col(f"raw.{CORRUPT}").isNotNull(),
-                "is_incomplete": F.col("reason").startswith("missing_"),
-                "raw": F.when(F.col("reason").isNotNull(), F.col("raw")),
-            }
-        )
-        .drop("fine_price")
+    return typed.withColumn("reason", _reason()).withColumns(
+        {
+            "is_corrupt": F.col(f"raw.{CORRUPT}").isNotNull(),
+            "is_incomplete": F.col("reason").startswith("missing_"),
+            "raw": F.when(F.col("reason").isNotNull(), F.col("raw")),
+        }
     )
 
 
@@ -118,10 +123,18 @@ def _reason() -> Column:
     """The first rule a line breaks, as text; null when it breaks none."""
     rules = {f"missing_{name}": F.col(f"raw.{name}").isNull() for name in CRITICAL}
     rules |= {f"blank_{name}": blank(F.col(name)) for name in ["order_id", "customer_id", "product_id"]}
-    rules |= {f"bad_{name}": F.col(name).isNull() for name in ["order_date", "quantity", "unit_price"]}
     rules |= {
+        f"long_{field.name}": F.length(field.name) > field.metadata["max_length"]
+        for field in FACT_ORDERS
+        if "max_length" in field.metadata
+    }
+    price = F.col("raw.unit_price")
+    rules |= {f"bad_{name}": F.col(name).isNull() for name in ["order_date", "quantity"]}
+    rules |= {
+        "bad_unit_price": ~is_number(price),
         "quantity_not_positive": F.col("quantity") <= 0,
-        "unit_price_not_positive": F.col("fine_price") <= 0,
+        "unit_price_not_positive": price.try_cast("double") <= 0,
+        "unit_price_out_of_range": F.col("unit_price").isNull() | (F.col("unit_price") <= 0),
         "discount_out_of_range": F.col("discount").isNull(),
         "revenue_out_of_range": F.col("revenue").isNull(),
     }

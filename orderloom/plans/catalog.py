@@ -9,19 +9,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderloom import contracts
-from orderloom.contracts import DISCOUNT, FACT_ORDERS, PRICE, RAW_ORDERS
-from orderloom.functions import calendar_fields, normalized_id, parsed_date, parsed_quantity
+from orderloom.contracts import FACT_ORDERS, RAW_ORDERS
+from orderloom.functions import WIDE, calendar_fields, normalized_id, parsed_date, parsed_quantity
 from orderloom.operators import cleaning, kpis, ranking
 from orderloom.operators.lookups import enrich
 from orderloom.operators.quality import duplicate_keys, quality_report
 from orderloom.operators.upsert import matched_rows, merged, staged_keys
-from orderloom.plans.nightly import load_aggregate, run_nightly
-from orderloom.session import fresh_path, staged
+from orderloom.plans.nightly import run_nightly
+from orderloom.plans.tables import fact_table, load_aggregate, load_rejects
+from orderloom.session import folder_exists, fresh_path, staged
 from orderloom.sources import star_schema as star
-from orderloom.sources.lake import load_contract, scan_period, write_months
-from orderloom.sources.order_files import read_orders
+from orderloom.sources.lake import load_contract, scan_period, write_months, write_ranged
+from orderloom.sources.order_files import read_orders, schema_audit
 from orderloom.sources.versions import MonthlyTable
-from orderloom.streaming.arrivals import fact_path, ingest_new_files
+from orderloom.streaming.arrivals import ingest_new_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -52,9 +53,39 @@ def _landed(spark: SparkSession, folder: str) -> DataFrame:
     return staged(cleaning.assess(_raw(spark, folder)), "landing")
 
 
-def _fact_table(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
-    """Columns of the fact, joined once and written, for queries that scan it repeatedly."""
-    return staged(star.fact(spark, folder).select(*columns), "fact")
+# What queries of one session share, by application, folder and name.
+_SHARED: dict[tuple[str, str, str], str] = {}
+
+
+def _once(spark: SparkSession, folder: str, name: str, make: Callable[[str], None]) -> str:
+    """The path of something written once for a folder and application, by `make` if need be."""
+    key = spark.sparkContext.applicationId, folder, name
+    if key not in _SHARED or not folder_exists(spark, _SHARED[key]):
+        path = fresh_path(spark, name)
+        make(path)
+        _SHARED[key] = path
+    return _SHARED[key]
+
+
+def _stored_fact(spark: SparkSession, folder: str) -> DataFrame:
+    """The fact as a lake holds it: joined and written once, then scanned by column."""
+    fact = star.fact(spark, folder)
+    path = _once(spark, folder, "fact", lambda path: fact.write.parquet(path))
+    return spark.read.schema(fact.schema).parquet(path)
+
+
+def _nightly(spark: SparkSession, folder: str) -> str:
+    """The lake of two nights: the lines of the first layout, then those of the second."""
+
+    def run(lake: str) -> None:
+        lines = star.text_lines(spark, folder)
+        for night in range(len(star.LAYOUTS)):
+            files = fresh_path(spark, "order-files")
+            star.write_order_files(lines.where(F.col("layout") == night), files)
+            loaded_at = LOADED_AT + dt.timedelta(days=night)
+            run_nightly(spark, files, lake, loaded_at, AS_OF, full_rebuild=night == 0, gate=False)
+
+    return _once(spark, folder, "lake", run)
 
 
 def _loaded_fact(spark: SparkSession, folder: str) -> DataFrame:
@@ -115,7 +146,7 @@ def normalize_ids(spark, folder):
 
 @query
 def null_defaults(spark, folder):
-    typed = _raw(spark, folder).withColumn("discount", F.col("discount").try_cast(DISCOUNT))
+    typed = _raw(spark, folder).withColumn("discount", F.col("discount").try_cast("double"))
     return cleaning.with_defaults(typed).select("order_id", "product_id", "discount", "category")
 
 
@@ -130,7 +161,7 @@ def positive_filter(spark, folder):
         "order_id",
         "product_id",
         parsed_quantity(F.col("quantity")).alias("quantity"),
-        F.col("unit_price").try_cast(PRICE).alias("unit_price"),
+        F.col("unit_price").try_cast(WIDE).alias("unit_price"),
     )
     return cleaning.positive_lines(typed)
 
@@ -140,14 +171,12 @@ def positive_filter(spark, folder):
 
 @query
 def daily_sales(spark, folder):
-    columns = ["order_year", "order_month", "order_day", "category", "order_id", "customer_id", "quantity", "revenue"]
-    return kpis.daily_sales(_fact_table(spark, folder, *columns))
+    return kpis.daily_sales(_stored_fact(spark, folder))
 
 
 @query
 def product_performance(spark, folder):
-    columns = ["product_id", "category", "order_id", "quantity", "unit_price", "revenue"]
-    return kpis.product_performance(_fact_table(spark, folder, *columns))
+    return kpis.product_performance(_stored_fact(spark, folder))
 
 
 @query
@@ -157,20 +186,17 @@ def customer_rfm(spark, folder):
 
 @query
 def monthly_revenue(spark, folder):
-    columns = ["order_year", "order_month", "category", "order_id", "customer_id", "revenue"]
-    return kpis.monthly_revenue(_fact_table(spark, folder, *columns))
+    return kpis.monthly_revenue(_stored_fact(spark, folder))
 
 
 @query
 def weekend_vs_weekday(spark, folder):
-    columns = ["is_weekend", "order_date", "order_id", "customer_id", "quantity", "revenue"]
-    return kpis.weekend_vs_weekday(_fact_table(spark, folder, *columns))
+    return kpis.weekend_vs_weekday(_stored_fact(spark, folder))
 
 
 @query
 def discount_impact(spark, folder):
-    columns = ["discount", "order_id", "quantity", "unit_price", "revenue"]
-    return kpis.discount_impact(_fact_table(spark, folder, *columns))
+    return kpis.discount_impact(_stored_fact(spark, folder))
 
 
 # Rankings
@@ -309,21 +335,88 @@ def csv_roundtrip_scan(spark, folder):
     return scanned.select(*RAW_ORDERS.names, F.col(contracts.CORRUPT).isNotNull().alias("is_corrupt"))
 
 
+@query
+def dq_schema_audit(spark, folder):
+    files = fresh_path(spark, "order-files")
+    star.write_order_files(star.text_lines(spark, folder), files)
+    return schema_audit(spark, files).drop("files")
+
+
 @query
 def incremental_ingest(spark, folder):
     files, lake, checkpoint = (fresh_path(spark, label) for label in ["arrivals", "lake", "progress"])
     lines = star.order_lines(spark, folder)
     star.write_order_files(star.as_text(star.first_version(lines)), f"{files}/first")
     ingest_new_files(spark, files, lake, checkpoint)
-    star.write_order_files(star.as_text(star.corrected(lines)), f"{files}/second")
+    star.write_order_files(star.as_text(star.corrected(lines)), f"{files}/second", layout=1)
+    ingest_new_files(spark, files, lake, checkpoint)
     ingest_new_files(spark, files, lake, checkpoint)
+    return fact_table(spark, lake).read().drop("ingestion_ts")
+
+
+@query
+def incremental_catchup(spark, folder):
+    """Both versions of the orders are there, a day apart, before the first ingest."""
+    files, lake, checkpoint = (fresh_path(spark, label) for label in ["arrivals", "lake", "progress"])
+    write_two_days(star.order_lines(spark, folder), files)
     ingest_new_files(spark, files, lake, checkpoint)
-    return MonthlyTable(spark, fact_path(lake), FACT_ORDERS).read().drop("ingestion_ts")
+    return fact_table(spark, lake).read().drop("ingestion_ts")
+
+
+def write_two_days(lines: DataFrame, files: str) -> None:
+    """The first version of the orders in one day's folder, the correction in the next's."""
+    star.write_order_files(star.as_text(star.first_version(lines)), f"{files}/20010801")
+    star.write_order_files(star.as_text(star.corrected(lines)), f"{files}/20010802", layout=1)
+
+
+@query
+def keyed_layout_scan(spark, folder):
+    """Lines of a range of customers from a fact laid out by customer."""
+    path = fresh_path(spark, "fact-by-customer")
+    write_ranged(star.fact(spark, folder), path, "customer_id", "order_date", "order_id", "product_id")
+    lines = spark.read.parquet(path).where("customer_id >= '10' AND customer_id < '12'")
+    return lines.select("customer_id", "order_id", "product_id", "order_date", "revenue")
+
+
+# The nightly job's tables
 
 
 @query
 def nightly_rebuild(spark, folder):
-    files, lake = fresh_path(spark, "order-files"), fresh_path(spark, "lake")
-    star.write_order_files(star.text_lines(spark, folder), files)
-    run_nightly(spark, files, lake, LOADED_AT, AS_OF, gate=False)
-    return load_aggregate(spark, lake, "agg_monthly_revenue")
+    return load_aggregate(spark, _nightly(spark, folder), "agg_monthly_revenue")
+
+
+@query
+def nightly_daily(spark, folder):
+    return load_aggregate(spark, _nightly(spark, folder), "agg_daily_sales")
+
+
+@query
+def nightly_products(spark, folder):
+    return load_aggregate(spark, _nightly(spark, folder), "agg_product_performance")
+
+
+@query
+def nightly_customers(spark, folder):
+    return ranking.customer_quintiles(load_aggregate(spark, _nightly(spark, folder), "agg_customer_rfm"))
+
+
+@query
+def nightly_growth(spark, folder):
+    return ranking.month_growth(load_aggregate(spark, _nightly(spark, folder), "agg_monthly_revenue"))
+
+
+@query
+def nightly_top_products(spark, folder):
+    return ranking.top_products(load_aggregate(spark, _nightly(spark, folder), "agg_product_performance"), "total_revenue")
+
+
+@query
+def nightly_rejects(spark, folder):
+    return load_rejects(spark, _nightly(spark, folder)).drop(contracts.CORRUPT, "run")
+
+
+@query
+def dq_gate(spark, folder):
+    """The checks that would stop the nightly job."""
+    return quality_report(fact_table(spark, _nightly(spark, folder)).read(), AS_OF).where("NOT passed")

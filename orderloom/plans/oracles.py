@@ -66,17 +66,24 @@ TEXT = """
 text as (
   select case when l_orderkey % 53 <> 0 then 'o' || l_orderkey end as order_id,
          case when l_orderkey % 19 = 0 then '   ' when l_orderkey % 11 <> 0 then ' c' || o_custkey || '  ' end as customer_id,
-         ' p' || l_partkey as product_id,
-         case when l_orderkey % 13 = 0 then 'bad-date' else strftime(o_orderdate, '%Y-%m-%d') end as order_date,
+         ' p' || l_partkey || case when l_partkey % 89 = 0 then repeat('0', 51) else '' end as product_id,
+         case when l_orderkey % 13 = 0 then 'bad-date'
+              when l_orderkey % 47 = 0 then strftime(o_orderdate, '%Y-%m-%d') || ' 13:45:00'
+              else strftime(o_orderdate, '%Y-%m-%d') end as order_date,
          case when l_partkey % 17 = 0 then 'x' when l_partkey % 23 = 0 then '-' || cast(l_quantity as integer)
               when l_partkey % 29 = 0 then cast(l_quantity as integer) || '.7'
               else cast(cast(l_quantity as integer) as varchar) end as quantity,
          case when l_suppkey % 31 = 0 then '0.00' when l_suppkey % 37 = 0 then 'n/a'
+              when l_suppkey % 47 = 0 then '0.001' when l_suppkey % 59 = 0 then '0.00001'
+              when l_suppkey % 61 = 0 then '123456789012'
               else cast(cast(p_retailprice as decimal(10,2)) as varchar) end as unit_price,
          case when l_linenumber = 2 then 'abc' when l_linenumber = 4 then '0.125' when l_linenumber = 7 then '1.50'
+              when l_linenumber = 5 and l_orderkey % 7 = 0 then '1000'
+              when l_linenumber = 6 and l_orderkey % 7 = 0 then '1000000'
+              when l_linenumber = 6 and l_orderkey % 5 = 0 then '1e300'
               when l_linenumber <> 1 then cast(cast(l_discount as decimal(5,2)) as varchar) end as discount,
-         case when l_linenumber <> 3 then p_type end as category,
-         case when l_suppkey % 43 = 0 then 3 when l_suppkey % 41 = 0 then 2 else 0 end as fields_cut
+         case when l_linenumber <> 3 then case when l_partkey % 97 = 0 then repeat('x', 101) else p_type end end as category,
+         case when l_orderkey % 2 = 1 then 0 when l_suppkey % 43 = 0 then 3 when l_suppkey % 41 = 0 then 2 else 0 end as fields_cut
   from lineitem, orders, part
   where l_orderkey = o_orderkey and l_partkey = p_partkey
 )"""
@@ -97,28 +104,34 @@ def _assessed(source: str) -> str:
     return f"""
 parsed as (
   select *, upper(trim(customer_id)) as customer, upper(trim(product_id)) as product,
-         try_strptime(order_date, '%Y-%m-%d') as moment,
+         coalesce(try_strptime(order_date, '%Y-%m-%d'), try_strptime(order_date, '%Y-%m-%d %H:%M:%S')) as moment,
          try_cast(trunc(try_cast(quantity as decimal(38,18))) as integer) as units,
+         try_cast(unit_price as double) as number, try_cast(discount as double) is null as no_discount,
          try_cast(unit_price as decimal(13,4)) as price,
-         try_cast(discount as decimal(12,6)) as given
+         case when try_cast(discount as double) is null then 0 else try_cast(discount as decimal(12,6)) end as given
   from {source}
 ),
 assessed as (
   select *,
-    try_cast(round(cast(units as decimal(10,0)) * price * (1 - coalesce(given, 0)), 2) as decimal(12,2)) as revenue,
+    try_cast(round(cast(units as decimal(10,0)) * price * (1 - given), 2) as decimal(12,2)) as revenue,
     case when order_id is null then 'missing_order_id' when customer_id is null then 'missing_customer_id'
          when product_id is null then 'missing_product_id' when order_date is null then 'missing_order_date'
          when quantity is null then 'missing_quantity' when unit_price is null then 'missing_unit_price'
          when trim(order_id) = '' then 'blank_order_id' when customer = '' then 'blank_customer_id'
-         when product = '' then 'blank_product_id' when moment is null then 'bad_order_date'
-         when units is null then 'bad_quantity' when price is null then 'bad_unit_price'
-         when units <= 0 then 'quantity_not_positive' when price <= 0 then 'unit_price_not_positive' end as reason
+         when product = '' then 'blank_product_id'
+         when length(order_id) > 50 then 'long_order_id' when length(customer) > 50 then 'long_customer_id'
+         when length(product) > 50 then 'long_product_id' when length(category) > 100 then 'long_category'
+         when moment is null then 'bad_order_date'
+         when units is null then 'bad_quantity' when number is null then 'bad_unit_price'
+         when units <= 0 then 'quantity_not_positive' when number <= 0 then 'unit_price_not_positive'
+         when try_cast(price as decimal(10,2)) is null or cast(price as decimal(10,2)) <= 0 then 'unit_price_out_of_range'
+         when given is null or abs(given) >= 999.995 then 'discount_out_of_range' end as reason
   from parsed
 ),
 clean as (
   select order_id, customer as customer_id, product as product_id, coalesce(category, 'UNKNOWN') as category,
          moment as order_date, {_CALENDAR.format("moment")}, units as quantity,
-         cast(price as decimal(10,2)) as unit_price, cast(coalesce(given, 0) as decimal(5,2)) as discount, revenue
+         cast(price as decimal(10,2)) as unit_price, cast(given as decimal(5,2)) as discount, revenue
   from assessed where reason is null
 )"""
 
@@ -129,7 +142,7 @@ def _total(amount: str) -> str:
 
 def _mean(amount: str, dtype: str, per: str = "count(*)") -> str:
     cents = f"cast(sum({amount}) * 100 as bigint)"
-    return f"cast(((2 * {cents} + {per}) // (2 * {per})) / 100.0 as {dtype})"
+    return f"cast(sign({cents}) * ((2 * abs({cents}) + {per}) // (2 * {per})) / 100.0 as {dtype})"
 
 
 MONTHLY = f"""
@@ -175,6 +188,33 @@ quintiles as (
 _TOP = "select product_id, category, total_revenue, total_units_sold from products order by {0} desc, product_id, category limit 10"
 
 
+# What the nightly job makes of the lines: clean ones as its fact.
+NIGHTLY = f"with {SCANNED}, {_assessed('scanned')}, fact as (select * from clean)"
+
+_CHECKS = """seen as (
+  select 'rows_yesterday' as "check", count(*) as observed, 1 as threshold, '>=' as op from fact
+    where cast(order_date as date) = date '2001-08-02' - 1
+  union all select 'null_keys', count(*), 0, '=' from fact where order_id is null
+  union all select 'negative_revenue', count(*), 0, '=' from fact where revenue < 0
+  union all select 'duplicate_keys', count(*), 0, '=' from
+    (select order_id from fact group by order_id having count(*) > 1)),
+report as (
+  select "check", observed, cast(threshold as bigint) as threshold, op,
+         case op when '>=' then observed >= threshold else observed = threshold end as passed
+  from seen)"""
+
+_GROWTH = f"""months as (
+  select order_year, order_month, {_total("revenue")} as total_revenue from fact group by all
+), pairs as (
+  select *, lag(total_revenue) over (order by order_year, order_month) as prev_month_revenue from months)
+select *, round(cast(total_revenue - prev_month_revenue as double)
+                / cast(nullif(prev_month_revenue, 0) as double) * 100, 2) as mom_growth_pct
+from pairs order by order_year, order_month"""
+
+_OTHER_LAYOUT = "country,order_date,category,discount,unit_price,quantity,product_id,customer_id,order_id"
+_MOVED = "order_id customer_id product_id order_date unit_price discount category".split()
+
+
 def all_oracles() -> dict[str, str]:
     upsert = f"{VERSIONS} select * from after_upsert"
     return {
@@ -184,7 +224,9 @@ def all_oracles() -> dict[str, str]:
             select order_id, customer_id, product_id, order_date, quantity, unit_price, discount, category, reason
             from assessed where reason is not null""",
         "parse_order_date": f"""with {TEXT}
-            select order_id, order_date as date_text, try_strptime(order_date, '%Y-%m-%d') as order_date from text""",
+            select order_id, order_date as date_text,
+                   coalesce(try_strptime(order_date, '%Y-%m-%d'), try_strptime(order_date, '%Y-%m-%d %H:%M:%S')) as order_date
+            from text""",
         "date_enrichment": f"""
             select cast(o_orderkey as varchar) as order_id, o_orderdate as order_date, {_CALENDAR.format("o_orderdate")}
             from orders""",
@@ -192,7 +234,7 @@ def all_oracles() -> dict[str, str]:
             select order_id, customer_id as customer_text, product_id as product_text,
                    upper(trim(customer_id)) as customer_id, upper(trim(product_id)) as product_id from text""",
         "null_defaults": f"""with {TEXT}
-            select order_id, product_id, cast(coalesce(try_cast(discount as decimal(5,2)), 0) as decimal(5,2)) as discount,
+            select order_id, product_id, coalesce(try_cast(discount as double), 0) as discount,
                    coalesce(category, 'UNKNOWN') as category from text""",
         "drop_null_critical": f"""with {TEXT}
             select order_id, customer_id, product_id, order_date, quantity, unit_price, discount, category from text
@@ -200,7 +242,7 @@ def all_oracles() -> dict[str, str]:
               and order_date is not null and quantity is not null and unit_price is not null""",
         "positive_filter": f"""with {TEXT}, typed as (
               select order_id, product_id, try_cast(trunc(try_cast(quantity as decimal(38,18))) as integer) as quantity,
-                     try_cast(unit_price as decimal(10,2)) as unit_price from text)
+                     try_cast(unit_price as decimal(38,18)) as unit_price from text)
             select * from typed where quantity > 0 and unit_price > 0""",
         "daily_sales": f"{FACT} {DAILY}",
         "product_performance": f"{FACT}, {PRODUCTS} select * from products",
@@ -222,13 +264,7 @@ def all_oracles() -> dict[str, str]:
             select *, cast(gross_revenue - net_revenue as decimal(18,2)) as revenue_given_away,
                    round(cast(gross_revenue - net_revenue as double) / cast(gross_revenue as double) * 100, 2) as given_away_pct
             from bands""",
-        "mom_growth": f"""{FACT}, months as (
-              select order_year, order_month, {_total("revenue")} as total_revenue from fact group by all
-            ), pairs as (
-              select *, lag(total_revenue) over (order by order_year, order_month) as prev_month_revenue from months)
-            select *, round(cast(total_revenue - prev_month_revenue as double)
-                            / cast(nullif(prev_month_revenue, 0) as double) * 100, 2) as mom_growth_pct
-            from pairs order by order_year, order_month""",
+        "mom_growth": f"{FACT}, {_GROWTH}",
         "top_products_revenue": f"{FACT}, {PRODUCTS} {_TOP.format('total_revenue')}",
         "top_products_units": f"{FACT}, {PRODUCTS} {_TOP.format('total_units_sold')}",
         "top_products_by_month": f"""{FACT}, sold as (
@@ -249,16 +285,7 @@ def all_oracles() -> dict[str, str]:
             from fact left join part on cast(p_partkey as varchar) = product_id
               left join customer on cast(c_custkey as varchar) = customer_id
               left join nation on n_nationkey = c_nationkey""",
-        "dq_report": f"""{FACT}, seen as (
-              select 'rows_yesterday' as "check", count(*) as observed, 1 as threshold, '>=' as op from fact
-                where cast(order_date as date) = date '2001-08-02' - 1
-              union all select 'null_keys', count(*), 0, '=' from fact where order_id is null
-              union all select 'negative_revenue', count(*), 0, '=' from fact where revenue < 0
-              union all select 'duplicate_keys', count(*), 0, '=' from
-                (select order_id from fact group by order_id having count(*) > 1))
-            select "check", observed, cast(threshold as bigint) as threshold, op,
-                   case op when '>=' then observed >= threshold else observed = threshold end as passed
-            from seen""",
+        "dq_report": f"{FACT}, {_CHECKS} select * from report",
         "dq_duplicate_keys": f"""{FACT}
             select order_id, count(*) as line_count from fact group by order_id having count(*) > 1""",
         "dq_ingest_audit": f"""with {SCANNED}, {_assessed('scanned')}
@@ -267,11 +294,12 @@ def all_oracles() -> dict[str, str]:
             union all select 'rejected_rows', count(*) from assessed where reason is not null
             union all select 'incomplete_rows', count(*) from assessed where starts_with(reason, 'missing_')
             union all select 'corrupt_rows', count(*) from assessed where is_corrupt
-            union all select 'discount_defaulted_rows', count(*) from assessed where given is null
+            union all select 'discount_defaulted_rows', count(*) from assessed where no_discount
             union all select 'category_defaulted_rows', count(*) from assessed where category is null""",
         "upsert_orders": upsert,
         "upsert_published": upsert,
         "incremental_ingest": upsert,
+        "incremental_catchup": upsert,
         "upsert_matched": f"""{VERSIONS}
             select {FACT_COLUMNS} from target where order_id in (select order_id from staging)""",
         "contract_load": f"{FACT} select *, timestamp '2001-08-02 02:00:00' as ingestion_ts from fact",
@@ -280,5 +308,20 @@ def all_oracles() -> dict[str, str]:
             select order_id, product_id, order_date, order_year, order_month, revenue from fact
             where order_date >= date '1998-01-15' and order_date < date '1998-04-15'""",
         "csv_roundtrip_scan": f"with {SCANNED} select * from scanned",
-        "nightly_rebuild": f"with {SCANNED}, {_assessed('scanned')}, {MONTHLY.format('clean')} select * from ranked",
+        "dq_schema_audit": f"""
+            select '{_OTHER_LAYOUT}' as file_group, "column", case "column" when 'country' then 'extra' else 'moved' end as finding
+            from (select unnest({[*_MOVED, 'country']}) as "column")""",
+        "keyed_layout_scan": f"""{FACT}
+            select customer_id, order_id, product_id, order_date, revenue from fact
+            where customer_id >= '10' and customer_id < '12'""",
+        "nightly_rebuild": f"{NIGHTLY}, {MONTHLY.format('fact')} select * from ranked",
+        "nightly_daily": f"{NIGHTLY} {DAILY}",
+        "nightly_products": f"{NIGHTLY}, {PRODUCTS} select * from products",
+        "nightly_customers": f"{NIGHTLY}, {RFM} select * from quintiles",
+        "nightly_growth": f"{NIGHTLY}, {_GROWTH}",
+        "nightly_top_products": f"{NIGHTLY}, {PRODUCTS} {_TOP.format('total_revenue')}",
+        "nightly_rejects": f"""with {SCANNED}, {_assessed('scanned')}
+            select order_id, customer_id, product_id, order_date, quantity, unit_price, discount, category, reason
+            from assessed where reason is not null""",
+        "dq_gate": f"{NIGHTLY}, {_CHECKS} select * from report where not passed",
     }

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
@@ -50,7 +52,8 @@ def shared_folder(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if not master.startswith("local") or master.startswith("local-cluster"):
         raise RuntimeError("spark.checkpoint.dir must name a folder shared by all executors")
     return _local_folder()
 
@@ -66,23 +69,51 @@ def _application_folder(spark: SparkSession) -> str:
 
 def fresh_path(spark: SparkSession, label: str) -> str:
     """A path in this application's part of the shared folder that nothing has used yet."""
-    return f"{_application_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{_application_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    for scope in _SCOPES:
+        scope.append(path)
+    return path
 
 
-def _folder(spark: SparkSession, path: str):
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), folder
+# Paths made inside each open `scratch`; jobs that run side by side share them.
+_SCOPES: list[list[str]] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Remove what is staged inside once it ends, however it ends.
+
+    For jobs whose results are written elsewhere; nothing lazy that reads a staged table may
+    leave it. With several open at once, whichever ends first keeps what the others made too.
+    """
+    paths: list[str] = []
+    _SCOPES.append(paths)
+    try:
+        yield
+    finally:
+        _SCOPES[:] = [scope for scope in _SCOPES if scope is not paths]
+        others = {path for scope in _SCOPES for path in scope}
+        for path in paths:
+            if path not in others:
+                files, folder = hadoop_path(spark, path)
+                files.delete(folder, True)
+
+
+def hadoop_path(spark: SparkSession, path: str):
+    """The file system that a path lies in, and the path as that system takes it."""
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return found.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), found
 
 
 def folder_exists(spark: SparkSession, path: str) -> bool:
     """Whether `path` is there, asked of its own file system."""
-    files, folder = _folder(spark, path)
+    files, folder = hadoop_path(spark, path)
     return files.exists(folder)
 
 
 def clear_staged(spark: SparkSession) -> None:
     """Remove this application's staged tables, once no result that reads them is needed."""
-    files, folder = _folder(spark, _application_folder(spark))
+    files, folder = hadoop_path(spark, _application_folder(spark))
     files.delete(folder, True)
 
 

@@ -72,7 +72,7 @@ def bucket_share(df: DataFrame, key: str, buckets: int) -> float:
     return full["share"] or 0.0
 
 
-def write_keyed_table(
+def write_bucketed_table(
     df: DataFrame,
     table: str,
     path: str,
@@ -80,25 +80,30 @@ def write_keyed_table(
     buckets: int,
     sort_by: Sequence[str] = (),
     max_share: float | None = None,
-) -> bool:
-    """Save `df` laid out by `key`, so that joins and groups on it need no shuffle.
+) -> None:
+    """Save `df` bucketed by `key`, so that joins and groups on it need no shuffle.
 
     One bucket is read by one task, whatever its size, and nothing later can split it. So
-    the buckets are sized first, and when the fullest would hold more than `max_share` of
-    the rows (default: four times an even share) the table is range-partitioned by the key
-    and `sort_by` instead: no bucket promise, but selective scans and even tasks. Returns
-    whether the table is bucketed.
+    the buckets are sized first, and it is an error when the fullest would hold more than
+    `max_share` of the rows (default: four times an even share); such a table wants
+    `write_ranged` instead.
     """
     limit = max_share if max_share is not None else 4.0 / buckets
-    bucketed = bucket_share(df, key, buckets) <= limit
-    if bucketed:
-        # The expression is the one bucketing uses, so a task writes few bucket files.
-        bucket = F.pmod(F.hash(F.col(key)), F.lit(buckets))
-        writer = df.repartition(buckets, bucket).write.bucketBy(buckets, key)
-        if sort_by:
-            writer = writer.sortBy(*sort_by)
-    else:
-        order = [key, *sort_by]
-        writer = df.repartitionByRange(*order).sortWithinPartitions(*order).write
+    share = bucket_share(df, key, buckets)
+    if share > limit:
+        raise ValueError(f"a bucket of {key} would hold {share:.0%} of the rows, over {limit:.0%}")
+    # The expression is the one bucketing uses, so a task writes few bucket files.
+    bucket = F.pmod(F.hash(F.col(key)), F.lit(buckets))
+    writer = df.repartition(buckets, bucket).write.bucketBy(buckets, key)
+    if sort_by:
+        writer = writer.sortBy(*sort_by)
     writer.mode("overwrite").option("path", path).saveAsTable(table)
-    return bucketed
+
+
+def write_ranged(df: DataFrame, path: str, *order: str | Column) -> None:
+    """Write `df` in this order over all files, for scans that filter on its first columns.
+
+    Ranges are cut by the whole order, so a value with many rows is spread over tasks when
+    the columns after it tell its rows apart.
+    """
+    df.repartitionByRange(*order).sortWithinPartitions(*order).write.mode("errorifexists").parquet(path)

@@ -2,41 +2,154 @@
 
 from __future__ import annotations
 
+import csv
 import datetime as dt
+from collections import defaultdict
+from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from orderloom.contracts import CORRUPT, RAW_ORDERS
+from orderloom.contracts import CORRUPT, CRITICAL, RAW_ORDERS, RUN_DATE
+from orderloom.session import hadoop_path, staged
 
-SCAN_SCHEMA = T.StructType(RAW_ORDERS.fields + [T.StructField(CORRUPT, T.StringType())])
+SCAN_SCHEMA = T.StructType(
+    [*RAW_ORDERS.fields, T.StructField(CORRUPT, T.StringType()), T.StructField(RUN_DATE, T.DateType())]
+)
+AUDIT_SCHEMA = "file_group string, files long, column string, finding string"
+
+# Fixed value: the name of a day's file.
+_NAME = "ecommerce_orders_{:%Y-%m-%d}.csv"
 
 _OPTIONS = {
     "header": "true",
     "mode": "PERMISSIVE",
     "columnNameOfCorruptRecord": CORRUPT,
-    # Files lie in one plain directory per day, which Spark enters only when told to.
-    "recursiveFileLookup": "true",
     # A scan that skips a column cannot tell a short line from a whole one and would leave
     # the corrupt-record column empty without a word.
     "columnPruning": "false",
 }
+_OPENED_AT_ONCE = 32
+
+
+class HeaderError(ValueError):
+    """Raised when files lack a column that no line can do without."""
 
 
 def day_file(root: str, day: dt.date) -> str:
     """The file of one day: <root>/<yyyymmdd>/ecommerce_orders_<yyyy-mm-dd>.csv."""
-    return f"{root.rstrip('/')}/{day:%Y%m%d}/ecommerce_orders_{day:%Y-%m-%d}.csv"
+    return f"{root.rstrip('/')}/{day:%Y%m%d}/{_NAME.format(day)}"
+
+
+def order_files(spark: SparkSession, path: str) -> list[str]:
+    """All files under `path`, at any depth; names that begin with _ or . are left out."""
+    system, root = hadoop_path(spark, path)
+    found, listed = [], system.listFiles(root, True)
+    while listed.hasNext():
+        file = listed.next().getPath()
+        if not file.getName().startswith(("_", ".")):
+            found.append(file.toString())
+    return sorted(found)
+
+
+def header_of(spark: SparkSession, file: str) -> tuple[str, ...]:
+    """The column names in a file's first line; none for an empty file."""
+    system, path = hadoop_path(spark, file)
+    codec = spark._jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(system.getConf()).getCodec(path)
+    stream = system.open(path)
+    try:
+        text = codec.createInputStream(stream) if codec else stream
+        java = spark._jvm.java
+        lines = java.io.BufferedReader(java.io.InputStreamReader(text, "UTF-8"))
+        line = lines.readLine()
+    finally:
+        stream.close()
+    return tuple(name.strip() for name in next(csv.reader([line.lstrip("\ufeff")]))) if line else ()
+
+
+def by_header(spark: SparkSession, files: Iterable[str]) -> dict[tuple[str, ...], list[str]]:
+    """The files of each header. Only first lines are read, many files at a time."""
+    files = list(files)
+    groups: dict[tuple[str, ...], list[str]] = defaultdict(list)
+    with ThreadPoolExecutor(_OPENED_AT_ONCE) as pool:
+        for file, header in zip(files, pool.map(lambda file: header_of(spark, file), files)):
+            if header:
+                groups[header].append(file)
+    return dict(groups)
+
+
+def read_orders(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """All order lines under `path`, or of the given files, as text under the order model's names.
+
+    The header decides which field is which; files of one header are one scan. Further columns
+    are dropped, a missing discount or category is null, and a header without a critical
+    column fails with its files named. Malformed lines are marked in _corrupt_record, and
+    run_date is the day of the folder a file lies in, null elsewhere.
+
+    Types are given, never inferred: inference costs a pass over the data and turns the id
+    007 into 7.
+    """
+    files = order_files(spark, path) if isinstance(path, str) else path
+    groups = by_header(spark, files)
+    lacking = {header: set(CRITICAL) - set(header) for header in groups}
+    if any(lacking.values()):
+        named = [f"{groups[header][0]}: {', '.join(sorted(gone))}" for header, gone in lacking.items() if gone]
+        raise HeaderError("files without a critical column: " + "; ".join(sorted(named)))
+    parts = [_scan(spark, header, groups[header]) for header in sorted(groups)]
+    if not parts:
+        return spark.createDataFrame([], SCAN_SCHEMA)
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _scan(spark: SparkSession, header: tuple[str, ...], files: list[str]) -> DataFrame:
+    # A name that stands twice, or for our own column, is told apart by its place.
+    names = [
+        name if name in RAW_ORDERS.names and name not in header[:k] else f"_column_{k}"
+        for k, name in enumerate(header)
+    ]
+    schema = T.StructType([T.StructField(name, T.StringType()) for name in [*names, CORRUPT]])
+    lines = spark.read.schema(schema).options(**_OPTIONS).csv(files)
+    folder = F.regexp_extract(F.col("_metadata.file_path"), r"^.*/(\d{8})/", 1)
+    found = {name: F.col(name) for name in [*names, CORRUPT]}
+    found[RUN_DATE] = F.try_to_date(folder, "yyyyMMdd")
+    absent = F.lit(None).cast("string")
+    return lines.select(*[found.get(name, absent).alias(name) for name in SCAN_SCHEMA.names])
+
+
+def schema_audit(spark: SparkSession, path: str) -> DataFrame:
+    """How each group of files differs from the order model: a row per column that is missing,
+    extra or at another place. The group is named by its header."""
+    rows = []
+    for header, files in sorted(by_header(spark, order_files(spark, path)).items()):
+        group = ",".join(header)
+        common = [name for name in RAW_ORDERS.names if name in header]
+        order = [name for name in dict.fromkeys(header) if name in common]
+        rows += [(group, len(files), name, "missing") for name in RAW_ORDERS.names if name not in header]
+        rows += [(group, len(files), name, "extra") for name in dict.fromkeys(header) if name not in RAW_ORDERS.names]
+        rows += [(group, len(files), name, "moved") for name, there in zip(common, order) if name != there]
+    return spark.createDataFrame(rows, AUDIT_SCHEMA)
 
 
-def read_orders(spark: SparkSession, path: str) -> DataFrame:
-    """All order lines under `path`, as text, malformed lines marked in _corrupt_record.
+def newest_versions(lines: DataFrame) -> DataFrame:
+    """Of every order, the lines of the newest run date that has any.
 
-    The schema is given, never inferred: inference costs a pass over the data and turns
-    the id 007 into 7.
+    A later day's file replaces whole orders of an earlier one; lines without a run date are
+    the oldest. The newest date per order is written and joined back, so that a hot order is
+    one row on that side and can be split on the other. `lines` should be a written table.
     """
-    return spark.read.schema(SCAN_SCHEMA).options(**_OPTIONS).csv(path)
+    if lines.select(RUN_DATE).distinct().limit(2).count() < 2:
+        return lines
+    day = F.coalesce(F.col(RUN_DATE), F.lit("0001-01-01").cast("date"))
+    newest = lines.groupBy("order_id").agg(F.max(day).alias("newest"))
+    both = lines.join(staged(newest, "newest"), "order_id")
+    return both.where(day == F.col("newest")).select(lines.columns)
 
 
-def stream_orders(spark: SparkSession, path: str) -> DataFrame:
-    """The same scan as a stream of newly arrived files."""
-    return spark.readStream.schema(SCAN_SCHEMA).options(**_OPTIONS).csv(path)
+def stream_files(spark: SparkSession, path: str) -> DataFrame:
+    """The paths of newly arrived files, as a stream. Contents are not read."""
+    reader = spark.readStream.format("binaryFile").option("recursiveFileLookup", "true")
+    schema = "path string, modificationTime timestamp, length long, content binary"
+    return reader.schema(schema).load(path).select("path")

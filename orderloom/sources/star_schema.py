@@ -112,39 +112,63 @@ def text_lines(spark: SparkSession, folder: str) -> DataFrame:
     text = {
         "order_id": F.when(~every(order, 53), F.concat(F.lit("o"), order.cast("string"))),
         "customer_id": F.when(every(order, 19), F.lit("   ")).when(~every(order, 11), customer),
-        "product_id": F.concat(F.lit(" p"), product.cast("string")),
-        "order_date": F.when(every(order, 13), F.lit("bad-date")).otherwise(day),
+        "product_id": F.concat(F.lit(" p"), product.cast("string"), F.when(every(product, 89), F.repeat(F.lit("0"), 51)).otherwise("")),
+        "order_date": F.when(every(order, 13), F.lit("bad-date"))
+        .when(every(order, 47), F.concat(day, F.lit(" 13:45:00")))
+        .otherwise(day),
         "quantity": F.when(every(product, 17), F.lit("x"))
         .when(every(product, 23), F.concat(F.lit("-"), quantity))
         .when(every(product, 29), F.concat(quantity, F.lit(".7")))
         .otherwise(quantity),
         "unit_price": F.when(every(supplier, 31), F.lit("0.00"))
         .when(every(supplier, 37), F.lit("n/a"))
+        .when(every(supplier, 47), F.lit("0.001"))
+        .when(every(supplier, 59), F.lit("0.00001"))
+        .when(every(supplier, 61), F.lit("123456789012"))
         .otherwise(price),
         "discount": F.when(number == 2, F.lit("abc"))
         .when(number == 4, F.lit("0.125"))
         .when(number == 7, F.lit("1.50"))
+        .when((number == 5) & every(order, 7), F.lit("1000"))
+        .when((number == 6) & every(order, 7), F.lit("1000000"))
+        .when((number == 6) & every(order, 5), F.lit("1e300"))
         .when(number != 1, discount),
-        "category": F.when(number != 3, F.col("p_type")),
+        "category": F.when(number != 3, F.when(every(product, 97), F.repeat(F.lit("x"), 101)).otherwise(F.col("p_type"))),
     }
     return lines.select(
         *[text[name].alias(name) for name in RAW_ORDERS.names],
         # Trailing fields the line ends without; it lacks its price when two fields short.
-        F.when(every(supplier, 43), 3).when(every(supplier, 41), 2).otherwise(0).alias("fields_cut"),
+        F.when(~every(order, 2), 0).when(every(supplier, 43), 3).when(every(supplier, 41), 2).otherwise(0).alias("fields_cut"),
+        # Orders of odd numbers come in files of the other layout.
+        (order % 2).cast("int").alias("layout"),
     )
 
 
-def write_order_files(lines: DataFrame, path: str) -> None:
+# Column orders of order files; the second has a column that the order model does not know.
+LAYOUTS = [
+    RAW_ORDERS.names,
+    ["country", "order_date", "category", "discount", "unit_price", "quantity", "product_id", "customer_id", "order_id"],
+]
+
+
+def write_order_files(lines: DataFrame, path: str, layout: int = 0) -> None:
     """Write text lines as CSV files with a header, one directory per month.
 
-    With a column `fields_cut`, that many trailing fields are left off a line. The lines are
-    joined by hand for this, and written as a single column under the header's own text.
+    With a column `layout`, each line goes to files of that layout, else all to those of the
+    given one. With a column `fields_cut`, that many trailing fields are left off a line. The
+    lines are joined by hand for this, and written as a single column under the header's text.
     """
+    if "layout" in lines.columns:
+        for k in range(len(LAYOUTS)):
+            write_order_files(lines.where(F.col("layout") == k).drop("layout"), f"{path}/layout-{k}", k)
+        return
+    names = LAYOUTS[layout]
     cut = F.col("fields_cut") if "fields_cut" in lines.columns else F.lit(0)
-    fields = F.array(*[F.coalesce(F.col(name), F.lit("")) for name in RAW_ORDERS.names])
-    whole = F.slice(fields, F.lit(1), F.lit(len(RAW_ORDERS.names)) - cut)
+    text = {name: F.coalesce(F.col(name), F.lit("")) for name in RAW_ORDERS.names}
+    fields = F.array(*[text.get(name, F.lit("Elsewhere")) for name in names])
+    whole = F.slice(fields, F.lit(1), F.lit(len(names)) - cut)
     out = lines.select(
-        F.array_join(whole, ",").alias(",".join(RAW_ORDERS.names)),
+        F.array_join(whole, ",").alias(",".join(names)),
         F.coalesce(F.regexp_replace(F.substring("order_date", 1, 7), "-", ""), F.lit("none")).alias("arrival"),
     )
     writer = out.hint("rebalance", "arrival").write.partitionBy("arrival")

@@ -10,7 +10,14 @@ from pyspark.sql import functions as F
 
 from orderloom.contracts import CORRUPT, FACT_ORDERS, RAW_ORDERS
 from orderloom.operators.cleaning import accepted, assess, drop_incomplete, ingest_audit, rejected
-from orderloom.sources.order_files import SCAN_SCHEMA, day_file, read_orders
+from orderloom.sources.order_files import (
+    SCAN_SCHEMA,
+    HeaderError,
+    day_file,
+    newest_versions,
+    read_orders,
+    schema_audit,
+)
 
 HEADER = "order_id,customer_id,product_id,order_date,quantity,unit_price,discount,category"
 DAYS = {
@@ -172,9 +179,19 @@ def test_revenue_uses_the_figures_as_given(spark, values, expected):
         ({"quantity": "0.9"}, "quantity_not_positive"),
         ({"quantity": "99999999999"}, "bad_quantity"),
         ({"unit_price": "0"}, "unit_price_not_positive"),
-        ({"unit_price": "999999999"}, "bad_unit_price"),
+        ({"unit_price": "999999999"}, "unit_price_out_of_range"),
+        ({"unit_price": "1e99"}, "unit_price_out_of_range"),
+        ({"unit_price": "0.001"}, "unit_price_out_of_range"),
+        ({"unit_price": "0.00001"}, "unit_price_out_of_range"),
+        ({"unit_price": "-0.00001"}, "unit_price_not_positive"),
+        ({"unit_price": "ten"}, "bad_unit_price"),
         ({"quantity": "2147483647", "unit_price": "99999999"}, "revenue_out_of_range"),
-        ({"discount": "5000"}, "discount_out_of_range"),
+        ({"discount": "1000"}, "discount_out_of_range"),
+        ({"discount": "1000000"}, "discount_out_of_range"),
+        ({"discount": "1e300"}, "discount_out_of_range"),
+        ({"customer_id": "c" * 51}, "long_customer_id"),
+        ({"category": "c" * 101}, "long_category"),
+        ({"order_date": "2025-01-05 25:00:00"}, "bad_order_date"),
         ({"order_date": "2025-02-30"}, "bad_order_date"),
         ({"order_date": "2025-1-5"}, "bad_order_date"),
         ({"order_id": "  "}, "blank_order_id"),
@@ -196,5 +213,57 @@ def test_dates_do_not_depend_on_the_session_zone(spark, zone):
     assert row["order_date"] == dt.datetime(2018, 11, 4) and row["order_day"] == 4 and row["is_weekend"]
 
 
+@pytest.mark.parametrize("text", ["2025-01-05 13:45:00", "2025-01-05T13:45:00"])
+def test_date_with_a_time_of_day(spark, text):
+    row = _line(spark, order_date=text)
+    assert row["order_date"] == dt.datetime(2025, 1, 5, 13, 45) and row["order_day"] == 5 and row["reason"] is None
+
+
+def _write(root, name, *lines):
+    import os
+
+    path = f"{root}/{name}"
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    with open(path, "w") as out:
+        out.write("\n".join(lines) + "\n")
+
+
+def test_the_header_decides(spark, tmp_path):
+    _write(tmp_path, "20250101/a.csv", "order_date,product_id,order_id,customer_id,quantity,unit_price", "2025-01-01,p1,o1,c1,2,10.00")
+    _write(tmp_path, "20250102/b.csv", HEADER + ",country", "o2,c2,p2,2025-01-02,1,5.00,0.5,Toys,Chile", "o3,c2,p2,2025-01-02,1,5.00")
+    _write(tmp_path, "c.csv", '"order_id", customer_id ,product_id,order_date,quantity,unit_price,discount,category', "o4,c4,p4,2025-01-02,1,5.00,,")
+    rows = {r["order_id"]: r for r in read_orders(spark, str(tmp_path)).collect()}
+    assert (rows["o1"]["customer_id"], rows["o1"]["product_id"], rows["o1"]["discount"]) == ("c1", "p1", None)
+    assert rows["o2"][CORRUPT] is None and rows["o2"]["category"] == "Toys" and rows["o3"][CORRUPT]
+    assert [rows[k]["run_date"] for k in ("o1", "o2", "o4")] == [dt.date(2025, 1, 1), dt.date(2025, 1, 2), None]
+    assert rows["o4"]["customer_id"] == "c4"
+    found = {(r["file_group"][:10], r["column"], r["finding"]) for r in schema_audit(spark, str(tmp_path)).collect()}
+    assert ("order_date", "discount", "missing") in found and ("order_date", "order_id", "moved") in found
+    assert ("order_id,c", "country", "extra") in found
+
+
+def test_a_header_without_a_critical_column_fails(spark, tmp_path):
+    _write(tmp_path, "a.csv", "order_id,customer_id,order_date,quantity,unit_price", "o,c,2025-01-01,1,1.00")
+    with pytest.raises(HeaderError, match="a.csv: product_id"):
+        read_orders(spark, str(tmp_path))
+
+
+def test_no_files_and_empty_files(spark, tmp_path):
+    assert read_orders(spark, str(tmp_path)).isEmpty()
+    (tmp_path / "a.csv").write_text("")
+    _write(tmp_path, "b.csv", HEADER)
+    assert read_orders(spark, str(tmp_path)).isEmpty()
+
+
+def test_newest_version_of_a_hot_order(spark):
+    lines = spark.range(3000).selectExpr(
+        "if(id % 3 < 2, 'hot', cast(id as string)) as order_id",
+        "if(id % 3 = 1, date'2025-01-02', if(id % 3 = 0, date'2025-01-01', cast(null as date))) as run_date",
+    )
+    left = newest_versions(lines).groupBy("order_id", "run_date").count().collect()
+    assert {r["run_date"] for r in left if r["order_id"] == "hot"} == {dt.date(2025, 1, 2)}
+    assert sum(r["count"] for r in left) == 2000
+
+
 def test_trim_takes_spaces_only(spark):
     assert _line(spark, customer_id=" \tc ")["customer_id"] == "\tC"

@@ -5,7 +5,7 @@ from types import SimpleNamespace
 
 import pytest
 
-from orderloom.session import clear_staged, folder_exists, fresh_path, shared_folder, shuffle_settings, staged
+from orderloom.session import clear_staged, folder_exists, fresh_path, scratch, shared_folder, shuffle_settings, staged
 
 
 class Settings(dict):
@@ -24,8 +24,9 @@ def test_folder_named_by_the_cluster_is_used():
 def test_own_folder_in_local_mode_only():
     own = shared_folder(session("local[2]"))
     assert os.path.isdir(own) and shared_folder(session("local[2]")) == own
-    with pytest.raises(RuntimeError):
-        shared_folder(session("yarn"))
+    for master in ("yarn", "local-cluster[2,1,1024]"):
+        with pytest.raises(RuntimeError):
+            shared_folder(session(master))
 
 
 def test_paths_are_fresh():
@@ -48,6 +49,17 @@ def test_staged_tables_can_be_cleared(spark, monkeypatch):
     assert not folder_exists(spark, path)
 
 
+def test_scratch_is_removed_when_a_job_ends(spark):
+    with pytest.raises(KeyError), scratch(spark):
+        inside = fresh_path(spark, "inside")
+        spark.range(3).write.parquet(inside)
+        with scratch(spark):
+            staged(spark.range(2), "shared")
+        assert folder_exists(spark, inside)
+        raise KeyError
+    assert not folder_exists(spark, inside)
+
+
 def test_partitions_grow_with_the_shuffle():
     small, large = shuffle_settings(1 << 30, 8), shuffle_settings(10 << 40, 4000)
     assert small["spark.sql.shuffle.partitions"] == "24"
