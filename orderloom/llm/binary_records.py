@@ -99,8 +99,8 @@ def write_records(
         encode = encoder(tokenizer).encode
 
         def work(batch: pa.RecordBatch) -> dict[str, object]:
-            ids = encode(texts(batch.column(1)))
-            return {"frame": [frame(k, x + end, narrow) for k, x in zip(batch.column(0).to_pylist(), ids)]}
+            rows = zip(batch.column(0).to_pylist(), texts(batch.column(1)))
+            return {"frame": [frame(doc_id, encode(text) + end, narrow) for doc_id, text in rows]}
 
         return work
 

@@ -181,8 +181,8 @@ def pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int) -> DataF
         encode, seen, part = encoder(tokenizer).encode, Counter(), TaskContext.get().partitionId()
         for batch in parts:
             rows = []
-            for doc_id, ids in zip(batch.column(0).to_pylist(), encode(texts(batch.column(1)))):
-                ids += end
+            for doc_id, text in zip(batch.column(0).to_pylist(), texts(batch.column(1))):
+                ids = encode(text) + end
                 for k, (start, length) in enumerate(cut(len(ids) // 4, capacity)):
                     crc = zlib.crc32(ids[4 * start : 4 * (start + length)])
                     rows.append((doc_id, k, start, length, crc, part, seen[length]))

@@ -1,28 +1,30 @@
-"""Token ids of texts by a public tokenizer file, encoded word by word with a cache."""
+"""Token ids of texts by a public tokenizer file, encoded unit by unit with a cache."""
 
 from __future__ import annotations
 
 import json
 import re
+from array import array
 from functools import cache
 
-import numpy as np
+UNITS_KEPT = 800_000  # units a worker remembers before it starts anew; some 200 MB
 
-END_OF_CACHE = 1_000_000  # words a worker remembers before it starts anew
-LONG_WORD = 64  # longer pieces are not remembered
-
-# A cut before a single space between two other characters never changes byte-level BPE: no
-# token of it goes on over a change from other characters to a space.
-_UNEVEN = re.compile(r"[\s᠎]{2}|\A[\s᠎]|[\s᠎]\Z")
+# The pre-tokenizer of byte-level BPE, for texts of the Latin-1 characters.
+_LETTERS, _NUMBERS, _BLANKS = "A-Za-zªµºÀ-ÖØ-öø-ÿ", "0-9²³¹¼½¾", "\t-\r \x85\xa0"
+_UNIT = re.compile(
+    f"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LETTERS}]+| ?[{_NUMBERS}]+| ?[^{_BLANKS}{_LETTERS}{_NUMBERS}]+"
+    f"|[{_BLANKS}]+(?![^{_BLANKS}])|[{_BLANKS}]+"
+)
+# A cut before a single space between two other characters never parts a unit.
 _CUT = re.compile(r"(?<=[^\s᠎]) (?=[^\s᠎])")
-# Latin letters, perhaps a stop or comma after them: one or two units of the pre-tokenizer.
-_PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ɏ]+)([.,]?)")
 
 
-class WordEncoder:
+class Encoder:
     """Ids as little-endian unsigned 32-bit integers, the same as encoding whole texts.
 
-    Special tokens' strings in a text are ordinary text.
+    Byte-level BPE merges within units only (a word with the space before it, a number, a run
+    of signs), so each unit is encoded once and remembered. Special tokens' strings in a text
+    are ordinary text.
     """
 
     def __init__(self, path: str) -> None:
@@ -30,73 +32,64 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.model = self.tokenizer.model
         with open(path, encoding="utf-8") as file:
             described = json.load(file)
         before = described.get("pre_tokenizer") or {}
-        self.by_word = (
+        self.by_unit = (
             before.get("type") == "ByteLevel"
             and before.get("use_regex", True)
             and not before.get("add_prefix_space")
             and not described.get("normalizer")
         )
-        self.known: dict[str, bytes] = {}  # words after a space
-        self.first: dict[str, bytes] = {}  # words at the start of a text
-        self.byte_chars = _byte_chars()
+        self.units = _Units(self.tokenizer.model)
 
     @property
     def vocabulary(self) -> int:
         return self.tokenizer.get_vocab_size()
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        if not self.by_word:
-            return self._whole(texts)
-        if len(self.known) > END_OF_CACHE:
-            self.known.clear()
-            self.first.clear()
-        pieces = [_CUT.split(text) if _UNEVEN.search(text) else text.split(" ") for text in texts]
-        heads = {words[0] for words in pieces}
-        self._learn(self.first, [w for w in heads if w not in self.first], "")
-        rest: set[str] = set()
-        for words in pieces:
-            rest.update(words[1:])
-        self._learn(self.known, [w for w in rest if w not in self.known], " ")
-        known = self.known.__getitem__
-        out = [self.first[words[0]] + b"".join(map(known, words[1:])) for words in pieces]
-        for cached, used in ((self.first, heads), (self.known, rest)):
-            for word in used:
-                if len(word) > LONG_WORD:
-                    del cached[word]
-        return out
-
-    def _learn(self, into: dict[str, bytes], words: list[str], lead: str) -> None:
-        other = []
-        for word in words:
-            plain = _PLAIN.fullmatch(word)
-            if not plain:
-                other.append(word)
-                continue
-            stem, stop = plain.groups()
-            ids = into.get(stem)
-            if ids is None:
-                ids = into[stem] = self._unit(lead + stem)
-            if stop:
-                into[word] = ids + self._unit(stop)
-        if other:
-            into.update(zip(other, self._whole([lead + word for word in other])))
-
-    def _unit(self, text: str) -> bytes:
-        """Ids of a text that the pre-tokenizer leaves in one unit."""
-        chars = text.encode().decode("latin-1").translate(self.byte_chars)
-        return _bytes([token.id for token in self.model.tokenize(chars)])
-
-    def _whole(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [_bytes(x.ids) for x in found]
-
-
-def _bytes(ids: list[int]) -> bytes:
-    return np.array(ids, "<u4").tobytes()
+    def encode(self, text: str) -> bytes:
+        if not self.by_unit:
+            return self._whole(text)
+        if _is_latin(text):
+            return self._latin(text)
+        # Other scripts are encoded as they are, word by word where there are words.
+        words = _CUT.split(text)
+        parts = [words[0], *(" " + word for word in words[1:])]
+        return b"".join([self._latin(x) if _is_latin(x) else self._whole(x) for x in parts])
+
+    def _latin(self, text: str) -> bytes:
+        return b"".join(map(self.units.__getitem__, _UNIT.findall(text)))
+
+    def _whole(self, text: str) -> bytes:
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
+
+class _Units(dict):
+    """Ids by unit, made when first asked for."""
+
+    def __init__(self, model) -> None:
+        super().__init__()
+        self.tokenize = model.tokenize
+        self.chars = _byte_chars()
+
+    def __missing__(self, unit: str) -> bytes:
+        if len(self) >= UNITS_KEPT:
+            self.clear()
+        if unit.isascii() and unit[1:].isalpha() and unit[0] == " ":
+            chars = self.chars[0x20] + unit[1:]
+        else:
+            chars = unit.encode().decode("latin-1").translate(self.chars)
+        ids = array("I", [token.id for token in self.tokenize(chars)]).tobytes()
+        self[unit] = ids
+        return ids
+
+
+def _is_latin(text: str) -> bool:
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
 
 
 def _byte_chars() -> dict[int, str]:
@@ -108,9 +101,9 @@ def _byte_chars() -> dict[int, str]:
 
 
 @cache
-def encoder(path: str) -> WordEncoder:
+def encoder(path: str) -> Encoder:
     """The worker's encoder of a file; tasks that follow in the same worker share its cache."""
-    return WordEncoder(path)
+    return Encoder(path)
 
 
 def default_file() -> str:
