@@ -206,9 +206,7 @@ def one_per_group(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_B
     """
     marks = staged(fingerprints(docs, shingle), "fingerprints")
     kept = _labelled(marks, max_bits).where("doc_id <=> component_id").select("doc_id").distinct()
-    here = docs.join(
-        kept.withColumnRenamed("doc_id", "kept"), docs["doc_id"].eqNullSafe(F.col("kept")), "left_semi"
-    )
+    here = docs.join(kept, docs["doc_id"].eqNullSafe(kept["doc_id"]), "left_semi")
     if marks.groupBy("doc_id").count().where("count > 1").isEmpty():
         return here
     whole = F.struct(*(here[name].alias(f"c{k}") for k, name in enumerate(here.columns)))

@@ -71,7 +71,7 @@ def folded(text: str) -> str:
 def _undisguised(found: re.Match) -> str:
     word = found.group()
     letters = sum(c.isalpha() for c in word)
-    return word.translate(_STANDS_FOR) if 2 * letters >= len(word) else word
+    return word.translate(_STANDS_FOR) if letters > 1 else word
 
 
 @dataclass(frozen=True)
