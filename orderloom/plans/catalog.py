@@ -47,12 +47,6 @@ def _raw(spark: SparkSession, folder: str) -> DataFrame:
     return star.text_lines(spark, folder).select(RAW_ORDERS.names)
 
 
-def _landed(spark: SparkSession, folder: str) -> DataFrame:
-    """The assessed lines, written once. A filter on the reason, if it were pushed into the
-    plan that finds it, would parse every field a second time."""
-    return staged(cleaning.assess(_raw(spark, folder)), "landing")
-
-
 # What queries of one session share, by application, folder and name.
 _SHARED: dict[tuple[str, str, str], str] = {}
 
@@ -67,6 +61,14 @@ def _once(spark: SparkSession, folder: str, name: str, make: Callable[[str], Non
     return _SHARED[key]
 
 
+def _landed(spark: SparkSession, folder: str) -> DataFrame:
+    """The assessed lines, written once. A filter on the reason, if it were pushed into the
+    plan that finds it, would parse every field a second time."""
+    assessed = cleaning.assess(_raw(spark, folder))
+    path = _once(spark, folder, "landing", lambda path: assessed.write.parquet(path))
+    return spark.read.schema(assessed.schema).parquet(path)
+
+
 def _stored_fact(spark: SparkSession, folder: str) -> DataFrame:
     """The fact as a lake holds it: joined and written once, then scanned by column."""
     fact = star.fact(spark, folder)
