@@ -5,14 +5,14 @@ the last 0 to `DEPTH` bytes. A node's Krichevsky-Trofimov estimate is mixed with
 children say, by weights that follow from the training counts, so every depth takes part.
 
 Texts are cut into chunks that stay together. A chunk asks for each of its distinct byte runs
-and words once; the runs are counted, weighted and answered by shuffles, and the answers meet
-the chunk again. No model is broadcast, so its size is bounded by nothing but the cluster.
+and words once. What is asked is dealt out by buckets of keys, many keys to a row; there it is
+counted, and the answers go back to the chunks. No model is broadcast, so its size is bounded
+by nothing but the cluster.
 """
 
 from __future__ import annotations
 
 import math
-from collections import Counter
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -20,18 +20,18 @@ import pyarrow as pa
 import xxhash
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orderloom.llm.common import is_residue, learnable, ship, texts
-from orderloom.session import staged
+from orderloom.session import fresh_path, staged
 
 DEPTH = 5
-CHUNK_BYTES = 12 << 20
+CHUNK_BYTES = 8 << 20
 HELD_MODULUS, HELD_RESIDUE = 10, 0
 END = b"\n"
 _FOLD = bytes(b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
-_WORD = 1 << 63  # set in the keys of words, so that they differ from those of runs
+_WORD = 1 << 63  # set in the keys of words, which so never look like runs
 _LOG_HALF = math.log(0.5)
 
 
@@ -41,29 +41,169 @@ def stream(text: str | None) -> bytes:
     return b" ".join(words) + END
 
 
-# Chunks ---------------------------------------------------------------------------------
+_KINDS = {
+    "long": pa.int64(),
+    "double": pa.float64(),
+    "boolean": pa.bool_(),
+    "binary": pa.binary(),
+    "string": pa.string(),
+    "array<long>": pa.list_(pa.int64()),
+    "array<boolean>": pa.list_(pa.bool_()),
+}
 
-CHUNK = (
-    "chunk long, doc_id array<long>, held array<boolean>, learn array<boolean>, "
-    "size array<long>, packed binary"
+
+def _shape(schema: str) -> pa.Schema:
+    """The Arrow form of a schema, also where there is no session."""
+    return pa.schema([(name, _KINDS[kind]) for name, kind in (column.split(" ") for column in schema.split(", "))])
+
+
+# What a chunk holds and asks ------------------------------------------------------------
+
+
+def place_bits(depth: int) -> int:
+    """Bits that a run leaves in a 64-bit number for a document's place in its chunk."""
+    return 64 - 8 * (depth + 1)
+
+
+def sorted_runs(data: bytes, sizes: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """The run of every byte with the place of its document, sorted by run.
+
+    A run is a byte and its context as one number: the byte before it comes first, then the
+    one before that, and the byte itself last. Contexts do not cross documents; before the
+    first byte there are only ends.
+    """
+    ends = np.cumsum(sizes)
+    padded = np.full(len(data) + depth * len(sizes), END[0], np.uint8)
+    inside = np.ones(len(padded), bool)
+    starts = ends - sizes + depth * np.arange(len(sizes))
+    for k in range(depth):
+        inside[starts + k] = False
+    padded[inside] = np.frombuffer(data, np.uint8)
+    key = np.zeros(len(padded), np.uint64)
+    for back in range(1, depth + 1):
+        key <<= np.uint64(8)
+        key[depth:] |= padded[depth - back : len(padded) - back]
+    key <<= np.uint64(8)
+    key |= padded
+    key = key[inside]
+    bits = place_bits(depth)
+    key <<= np.uint64(bits)
+    key |= np.repeat(np.arange(len(sizes), dtype=np.uint32), sizes)
+    key.sort()
+    place = (key & np.uint64((1 << bits) - 1)).astype(np.uint32)
+    key >>= np.uint64(bits)
+    return key, place
+
+
+def firsts(ordered: np.ndarray) -> np.ndarray:
+    """Places at which a new value begins."""
+    return np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1])))
+
+
+def word_key(word: bytes) -> int:
+    """63 bits of a hash and the mark of a word; the end is the empty word."""
+    return xxhash.xxh3_64_intdigest(word) | _WORD
+
+
+class Chunk:
+    """Documents whose streams lie one after another."""
+
+    def __init__(self, data: bytes, sizes: list[int], learn: list[bool], depth: int) -> None:
+        self.data, self.sizes = data, np.array(sizes, np.int64)
+        self.learn = np.array(learn, bool)
+        self.depth = depth
+
+    def runs(self) -> tuple[np.ndarray, np.ndarray]:
+        """Distinct runs and how often they occur in what is learned from."""
+        key, place = sorted_runs(self.data, self.sizes, self.depth)
+        begins = firsts(key)
+        return key[begins], np.add.reduceat(self.learn[place].astype(np.int64), begins)
+
+    def words(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Distinct keys of words, their place among them by word code, the codes of all words
+        one after another, and how many words each document has. The last code is the end."""
+        code: dict[bytes, int] = {}
+        counts, codes = [], []
+        ends = np.cumsum(self.sizes).tolist()
+        for start, end in zip([0, *ends[:-1]], ends):
+            words = self.data[start:end].split()
+            counts.append(len(words))
+            codes.append(np.array([code.setdefault(word, len(code)) for word in words], np.int32))
+        keys = np.fromiter(map(word_key, [*code, b""]), np.uint64, len(code) + 1)
+        distinct, places = np.unique(keys, return_inverse=True)
+        return distinct, places, np.concatenate(codes), np.array(counts, np.int64)
+
+    def word_counts(self) -> tuple[np.ndarray, np.ndarray]:
+        keys, places, codes, counts = self.words()
+        learned = np.bincount(codes[np.repeat(self.learn, counts)], minlength=len(places))
+        learned[-1] = self.learn.sum()
+        return keys, np.bincount(places, weights=learned, minlength=len(keys)).astype(np.int64)
+
+
+def bucket_of(key: np.ndarray, buckets: int) -> np.ndarray:
+    return ((key * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(32)) % np.uint64(buckets)
+
+
+def dealt(key: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """An order of sorted keys by bucket, and each bucket's number and first place in it."""
+    bucket = bucket_of(key, buckets)
+    order = np.argsort(bucket, kind="stable")
+    begins = firsts(bucket[order])
+    return order, bucket[order][begins].astype(np.int64), begins
+
+
+def pack(numbers: np.ndarray) -> bytes:
+    """Numbers compressed, equal bytes of all next to each other."""
+    flat = np.ascontiguousarray(numbers)
+    return zstandard.compress(flat.view(np.uint8).reshape(len(flat), -1).T.tobytes(), 1)
+
+
+def unpack(packed: bytes, kind: type) -> np.ndarray:
+    flat = np.frombuffer(zstandard.decompress(packed), np.uint8)
+    return np.ascontiguousarray(flat.reshape(np.dtype(kind).itemsize, -1).T).view(kind).reshape(-1)
+
+
+def pack_keys(keys: np.ndarray) -> bytes:
+    return pack(np.diff(keys, prepend=np.uint64(0)))
+
+
+def unpack_keys(packed: bytes) -> np.ndarray:
+    return np.cumsum(unpack(packed, np.uint64), dtype=np.uint64)
+
+
+GATHERED = (
+    "chunk long, bucket long, keys binary, counts binary, doc_id array<long>, held array<boolean>, "
+    "learn array<boolean>, size array<long>, packed binary, kind string"
 )
 
 
-def chunks(docs: DataFrame, chunk_bytes: int, most: int) -> DataFrame:
-    """Rows of at most so many bytes or documents each, with their streams compressed."""
+def gather(docs: DataFrame, depth: int, chunk_bytes: int, buckets: int) -> DataFrame:
+    """Rows of three kinds: `text`, the documents of a chunk; `run` and `word`, what it asks."""
     ship(docs.sparkSession)
+    shape = _shape(GATHERED)
+    most = 1 << min(place_bits(depth), 16)
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer, part = zstandard.ZstdCompressor(level=3), TaskContext.get().partitionId()
         rows, size, nth = [], 0, 0
 
-        def row() -> pa.RecordBatch:
-            ids, held, learn, streams = zip(*rows)
-            packed = packer.compress(b"".join(streams))
-            columns = [[part << 32 | nth], [ids], [held], [learn], [[len(x) for x in streams]], [packed]]
-            return pa.RecordBatch.from_arrays(
-                [pa.array(x, f.type) for x, f in zip(columns, shape)], schema=shape
-            )
+        def out() -> Iterator[pa.RecordBatch]:
+            ids, held, learn, streams = (list(x) for x in zip(*rows))
+            data, sizes = b"".join(streams), [len(x) for x in streams]
+            number = part << 32 | nth
+            text = [number, None, None, None, ids, held, learn, sizes, packer.compress(data), "text"]
+            yield _batch([text], shape)
+            chunk = Chunk(data, sizes, learn, depth)
+            del streams
+            for kind, found in (("run", chunk.runs), ("word", chunk.word_counts)):
+                keys, counts = found()
+                order, numbers, begins = dealt(keys, buckets)
+                keys, counts = keys[order], counts[order].astype(np.uint32)
+                asked = [
+                    [number, bucket, pack_keys(keys[a:b]), pack(counts[a:b]), *[None] * 5, kind]
+                    for bucket, a, b in zip(numbers.tolist(), begins, [*begins[1:], len(keys)])
+                ]
+                yield _batch(asked, shape)
 
         for batch in parts:
             # A few texts at a time, lest a batch of long ones is held in several forms at once.
@@ -74,126 +214,85 @@ def chunks(docs: DataFrame, chunk_bytes: int, most: int) -> DataFrame:
                     rows.append((doc_id, held, learn, stream(text)))
                     size += len(rows[-1][3])
                     if size >= chunk_bytes or len(rows) == most:
-                        yield row()
+                        yield from out()
                         rows, size, nth = [], 0, nth + 1
         if rows:
-            yield row()
-
-    shape = pa.schema(
-        [
-            ("chunk", pa.int64()),
-            ("doc_id", pa.list_(pa.int64())),
-            ("held", pa.list_(pa.bool_())),
-            ("learn", pa.list_(pa.bool_())),
-            ("size", pa.list_(pa.int64())),
-            ("packed", pa.binary()),
-        ]
-    )
+            yield from out()
+
     picked = docs.select(
         F.col("doc_id").cast("long"),
         "text",
         is_residue(F.col("doc_id"), HELD_MODULUS, HELD_RESIDUE).alias("held"),
         learnable(F.col("doc_id"), HELD_MODULUS, HELD_RESIDUE).alias("learn"),
     )
-    return picked.mapInArrow(run, CHUNK)
-
+    return picked.mapInArrow(run, GATHERED)
 
-def runs_of(data: bytes, sizes: np.ndarray, depth: int) -> np.ndarray:
-    """For every byte its context and itself as one number: the byte before it comes first,
-    then the one before that, and the byte itself last. Contexts do not cross documents; before
-    the first byte there are only ends."""
-    last = np.frombuffer(data, np.uint8).astype(np.uint64)
-    key = np.zeros(len(last), np.uint64)
-    begins = np.concatenate(([0], np.cumsum(sizes)[:-1])).astype(np.int64)
-    for back in range(1, depth + 1):
-        before = np.full(len(last), END[0], np.uint64)
-        before[back:] = last[:-back] if back < len(last) else 0
-        for shift in range(back):  # these bytes have fewer than `back` before them
-            early = begins + shift
-            early = early[early < np.concatenate((begins[1:], [len(last)]))]
-            before[early] = END[0]
-        key = (key << np.uint64(8)) | before
-    return (key << np.uint64(8)) | last
 
+def _batch(rows: list[list], shape: pa.Schema) -> pa.RecordBatch:
+    columns = zip(*rows)
+    return pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(columns, shape)], schema=shape)
 
-def place_bits(depth: int) -> int:
-    """Bits that a run leaves in a 64-bit number for a document's place in its chunk."""
-    return 64 - 8 * (depth + 1)
 
+# Counting and answering -----------------------------------------------------------------
 
-def sorted_runs(data: bytes, sizes: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
-    """Runs and the places of their documents, sorted by run."""
-    bits = place_bits(depth)
-    both = runs_of(data, sizes, depth) << np.uint64(bits)
-    both |= np.repeat(np.arange(len(sizes), dtype=np.uint64), sizes)
-    both.sort()
-    return both >> np.uint64(bits), (both & np.uint64((1 << bits) - 1)).astype(np.int64)
+ANSWERED = "chunk long, bucket long, kind string, first_seen long, packed binary"
 
 
-def firsts(ordered: np.ndarray) -> np.ndarray:
-    """Places at which a new value begins."""
-    return np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1]))) if len(ordered) else np.zeros(0, np.int64)
+def _counted(asked: pa.Table) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """Distinct keys of a bucket, their sums, and each row's places among them."""
+    parts = [unpack_keys(x) for x in asked.column("keys").to_pylist()]
+    counts = np.concatenate([unpack(x, np.uint32) for x in asked.column("counts").to_pylist()])
+    keys, places = np.unique(np.concatenate(parts), return_inverse=True)
+    sums = np.bincount(places, weights=counts, minlength=len(keys))
+    return keys, sums, np.split(places, np.cumsum([len(x) for x in parts])[:-1])
 
 
-def word_key(word: bytes) -> int:
-    """63 bits of a hash and the mark of a word, as a signed number; the end is the empty word."""
-    return (xxhash.xxh3_64_intdigest(word) | _WORD) - (1 << 64)
-
-
-def _opened(row: dict) -> tuple[bytes, np.ndarray, np.ndarray]:
-    data = zstandard.ZstdDecompressor().decompress(row["packed"])
-    return data, np.array(row["size"], np.int64), np.array(row["learn"], bool)
-
-
-def _split(data: bytes, sizes: np.ndarray) -> list[list[bytes]]:
-    ends = np.cumsum(sizes).tolist()
-    return [data[a:b].split() for a, b in zip([0, *ends[:-1]], ends)]
-
-
-def _run_counts(row: dict, depth: int) -> tuple[np.ndarray, np.ndarray]:
-    data, sizes, learn = _opened(row)
-    key, place = sorted_runs(data, sizes, depth)
-    begins = firsts(key)
-    counts = np.add.reduceat(learn[place].astype(np.int64), begins) if len(begins) else begins
-    return key[begins].view(np.int64), counts
-
-
-def _word_counts(row: dict) -> tuple[np.ndarray, np.ndarray]:
-    data, sizes, learn = _opened(row)
-    seen: Counter = Counter()
-    other: set[bytes] = set()
-    for words, learned in zip(_split(data, sizes), learn.tolist()):
-        if learned:
-            seen.update(words)
-            seen[b""] += 1
-        else:
-            other.update(words)
-            other.add(b"")
-    for word in other:
-        if word not in seen:
-            seen[word] = 0
-    return (
-        np.fromiter(map(word_key, seen), np.int64, len(seen)),
-        np.fromiter(seen.values(), np.int64, len(seen)),
+def _told(asked: pa.Table, values: list[np.ndarray], kind: str, first_seen: int) -> pa.Table:
+    n = len(values)
+    return pa.table(
+        {
+            "chunk": asked.column("chunk"),
+            "bucket": asked.column("bucket"),
+            "kind": [kind] * n,
+            "first_seen": [first_seen, *[0] * (n - 1)],
+            "packed": [pack(x) for x in values],
+        },
+        schema=_shape(ANSWERED),
     )
 
 
-def _asked(chunked: DataFrame, counts: Callable[[dict], tuple[np.ndarray, np.ndarray]]) -> DataFrame:
-    """(key, n, chunk): each distinct key of a chunk, with its count in what is learned from."""
+def word_answers(asked: DataFrame) -> DataFrame:
+    """For each row asked, its words' counts in all that is learned from; `first_seen` adds up
+    to the number of different words there."""
 
-    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in parts:
-            for k in range(batch.num_rows):
-                row = batch.slice(k, 1).to_pylist()[0]
-                key, n = counts(row)
-                for at in range(0, len(key), 1 << 16):
-                    some = slice(at, at + (1 << 16))
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(key[some]), pa.array(n[some]), pa.array(np.full(len(key[some]), row["chunk"]))],
-                        ["key", "n", "chunk"],
-                    )
+    def work(rows: pa.Table) -> pa.Table:
+        _, sums, places = _counted(rows)
+        return _told(rows, [sums[x] for x in places], "word", int((sums > 0).sum()))
+
+    return asked.groupBy("bucket").applyInArrow(work, ANSWERED)
+
+
+def run_totals(asked: DataFrame) -> DataFrame:
+    """(key, n): every run that occurs, with its count in all that is learned from."""
+
+    def work(rows: pa.Table) -> pa.Table:
+        keys, sums, _ = _counted(rows)
+        return pa.table({"key": keys.view(np.int64), "n": sums.astype(np.int64)})
+
+    return asked.groupBy("bucket").applyInArrow(work, "key long, n long")
+
+
+def run_answers(asked: DataFrame, answers: DataFrame) -> DataFrame:
+    """For each row asked, the answers to its runs."""
 
-    return chunked.select("chunk", "learn", "size", "packed").mapInArrow(run, "key long, n long, chunk long")
+    def work(rows: pa.Table, told: pa.Table) -> pa.Table:
+        key, value = told.column("key").to_numpy().view(np.uint64), told.column("value").to_numpy()
+        order = np.argsort(key)
+        key, value = key[order], value[order]
+        found = [value[np.searchsorted(key, unpack_keys(x))] for x in rows.column("keys").to_pylist()]
+        return _told(rows, found, "run", 0)
+
+    return asked.groupBy("bucket").cogroup(answers.groupBy("bucket")).applyInArrow(work, ANSWERED)
 
 
 # The tree -------------------------------------------------------------------------------
@@ -380,22 +479,26 @@ def top_of(totals: DataFrame, depth: int) -> Top:
     return Top([row.asDict() for row in sums.collect()])
 
 
-def answers_of(totals: DataFrame, top: Top, depth: int) -> DataFrame:
+def answers_of(totals: DataFrame, top: Top, depth: int, buckets: int) -> DataFrame:
     def work(tree: Subtree) -> dict[str, np.ndarray]:
-        return {"key": tree.runs[0].view(np.int64), "value": tree.log_probability(top)}
+        key = tree.runs[0]
+        bucket = bucket_of(key, buckets).astype(np.int64)
+        return {"key": key.view(np.int64), "value": tree.log_probability(top), "bucket": bucket}
 
-    return _by_subtree(totals, depth, "key long, value double", work)
+    return _by_subtree(totals, depth, "key long, value double, bucket long", work)
 
 
 # Scores ---------------------------------------------------------------------------------
 
 SCORED = (
-    "doc_id long, held_out boolean, learned boolean, n_tokens long, n_known long, "
-    "words double, score double, first_seen long, n_bytes long"
+    "doc_id long, held_out boolean, learned boolean, n_tokens long, n_known long, words double, "
+    "score double, first_seen long, n_bytes long"
 )
 
 
-def context_tree_scores(docs: DataFrame, depth: int = DEPTH, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
+def context_tree_scores(
+    docs: DataFrame, depth: int = DEPTH, chunk_bytes: int = CHUNK_BYTES, buckets: int | None = None
+) -> DataFrame:
     """Scores of every input row; `score` is the log10 of the text's probability, and
     `bits_per_byte` its code length.
 
@@ -403,32 +506,30 @@ def context_tree_scores(docs: DataFrame, depth: int = DEPTH, chunk_bytes: int =
     of a deeper context, the estimate of the shorter one stands. Null and empty texts are just
     an end. A row of null doc_id is scored, neither learned from nor held out. Repeated rows
     count each. An empty table gives no rows. Words are told apart by 63 bits of a hash.
+
+    There are four buckets to a shuffle partition unless told otherwise; a task holds what all
+    chunks ask of a bucket.
     """
     if not 2 <= depth <= 5:
         raise ValueError("depth must be 2 to 5")
-    chunked = staged(chunks(docs, chunk_bytes, 1 << place_bits(depth)), "chunks")
-    runs = _asked(chunked, lambda row: _run_counts(row, depth))
-    totals = staged(runs.groupBy("key").agg(F.sum("n").alias("n")), "runs")
+    spark = docs.sparkSession
+    buckets = buckets or 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = fresh_path(spark, "gathered")
+    gather(docs, depth, chunk_bytes, buckets).write.partitionBy("kind").option("compression", "none").parquet(path)
+    gathered = spark.read.schema(GATHERED).parquet(path)
+    asked = {kind: gathered.where(F.col("kind") == kind) for kind in ("text", "run", "word")}
+    requests = {kind: asked[kind].select("chunk", "bucket", "keys", "counts") for kind in ("run", "word")}
+
+    totals = staged(run_totals(requests["run"]), "totals")
     top = top_of(totals, depth)
-    answers = staged(answers_of(totals, top, depth), "answers")
-    run_answers = runs.join(answers, "key").select("chunk", "key", "value", F.lit(False).alias("first"))
-    # A word's count is its sum over the chunks; its first row also stands for the word itself.
-    by_key = Window.partitionBy("key")
-    words = _asked(chunked, _word_counts)
-    word_answers = words.select(
-        "chunk",
-        "key",
-        F.sum("n").over(by_key).cast("double").alias("value"),
-        (F.row_number().over(by_key.orderBy("chunk")) == 1).alias("first"),
-    )
-    answered = run_answers.unionByName(word_answers)
+    answers = answers_of(totals, top, depth, buckets)
+    told = run_answers(requests["run"], answers).unionByName(word_answers(requests["word"]))
+    chunked = asked["text"].select("chunk", "doc_id", "held", "learn", "size", "packed")
 
-    def meet(asked: pa.Table, told: pa.Table) -> pa.Table:
-        return pa.table(_scored(asked.to_pylist()[0], told, depth), schema=_SCORED_SHAPE)
+    def meet(text: pa.Table, found: pa.Table) -> pa.Table:
+        return pa.table(_scored(text.to_pylist()[0], found, depth, buckets), schema=_shape(SCORED))
 
-    scored = staged(
-        chunked.groupBy("chunk").cogroup(answered.groupBy("chunk")).applyInArrow(meet, SCORED), "scored"
-    )
+    scored = staged(chunked.groupBy("chunk").cogroup(told.groupBy("chunk")).applyInArrow(meet, SCORED), "scored")
     sums = scored.agg(
         F.sum(F.when(F.col("learned"), F.col("n_tokens"))).alias("tokens"), F.sum("first_seen").alias("words")
     ).first()
@@ -445,52 +546,39 @@ def context_tree_scores(docs: DataFrame, depth: int = DEPTH, chunk_bytes: int =
     )
 
 
-_SCORED_SHAPE = pa.schema(
-    [
-        ("doc_id", pa.int64()),
-        ("held_out", pa.bool_()),
-        ("learned", pa.bool_()),
-        ("n_tokens", pa.int64()),
-        ("n_known", pa.int64()),
-        ("words", pa.float64()),
-        ("score", pa.float64()),
-        ("first_seen", pa.int64()),
-        ("n_bytes", pa.int64()),
-    ]
-)
-
+def _scored(row: dict, found: pa.Table, depth: int, buckets: int) -> dict[str, object]:
+    data = zstandard.decompress(row["packed"])
+    chunk = Chunk(data, row["size"], row["learn"], depth)
+    n = len(chunk.sizes)
+    run, place = sorted_runs(data, chunk.sizes, depth)
+    begins = firsts(run)
+    logs = _in_order(run[begins], found, "run", buckets)
+    lengths = np.diff(np.append(begins, len(run)))
+    del run
+    score = np.bincount(place, weights=np.repeat(logs, lengths), minlength=n)
 
-def _scored(row: dict, told: pa.Table, depth: int) -> dict[str, object]:
-    data, sizes, learn = _opened(row)
-    n = len(sizes)
-    key = told.column("key").to_numpy()
-    value, first = told.column("value").to_numpy(), told.column("first").to_numpy()
-    distinct = int((first & (value > 0)).sum())  # learned words that are counted in this chunk
-    order = np.argsort(key)
-    key, value = key[order], value[order]
-    of_words = int(np.searchsorted(key, 0))  # the keys of words are negative
-    run, place = sorted_runs(data, sizes, depth)
-    lengths = np.diff(np.append(firsts(run), len(run)))
-    score = np.bincount(place, weights=np.repeat(value[of_words:], lengths), minlength=n)
-
-    code: dict[bytes, int] = {}
-    split = _split(data, sizes)
-    counts = np.array([len(words) for words in split], np.int64)
-    codes = np.array([code.setdefault(w, len(code)) for words in split for w in words], np.int64)
-    code.setdefault(b"", len(code))
-    keys = np.fromiter(map(word_key, code), np.int64, len(code))
-    seen = value[:of_words][np.searchsorted(key[:of_words], keys)]
+    keys, places, codes, counts = chunk.words()
+    seen = _in_order(keys, found, "word", buckets)[places]
     logs = np.log10(seen + 0.1)
     place = np.repeat(np.arange(n), counts)
     return {
         "doc_id": pa.array(row["doc_id"], pa.int64()),
         "held_out": pa.array(row["held"], pa.bool_()),
-        "learned": learn,
+        "learned": chunk.learn,
         "n_tokens": counts + 1,
-        "n_known": np.bincount(place, weights=seen[codes] > 0, minlength=n).astype(np.int64)
-        + int(seen[code[b""]] > 0),
-        "words": np.bincount(place, weights=logs[codes], minlength=n) + logs[code[b""]],
+        "n_known": np.bincount(place, weights=seen[codes] > 0, minlength=n).astype(np.int64) + int(seen[-1] > 0),
+        "words": np.bincount(place, weights=logs[codes], minlength=n) + logs[-1],
         "score": score,
-        "first_seen": np.append(distinct, np.zeros(n - 1, np.int64)),
-        "n_bytes": sizes,
+        "first_seen": np.append(sum(found.column("first_seen").to_pylist()), np.zeros(n - 1, np.int64)),
+        "n_bytes": chunk.sizes,
     }
+
+
+def _in_order(keys: np.ndarray, found: pa.Table, kind: str, buckets: int) -> np.ndarray:
+    """The answers to a chunk's sorted keys."""
+    order, numbers, _ = dealt(keys, buckets)
+    told = zip(*(found.column(name).to_pylist() for name in ("kind", "bucket", "packed")))
+    parts = {bucket: packed for its, bucket, packed in told if its == kind}
+    values = np.empty(len(keys))
+    values[order] = np.concatenate([unpack(parts[number], np.float64) for number in numbers.tolist()])
+    return values
