@@ -152,7 +152,7 @@ class Parser:
         ]
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=1)
 def parser(model: Model) -> Parser:
     return Parser(model)
 

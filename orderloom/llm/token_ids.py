@@ -7,7 +7,7 @@ import re
 from array import array
 from functools import cache
 
-UNITS_KEPT = 800_000  # units a worker remembers before it starts anew; some 200 MB
+UNITS_KEPT = 200_000  # units a worker remembers before it starts anew; some 50 MB
 
 # The pre-tokenizer of byte-level BPE, for texts of the Latin-1 characters.
 _LETTERS, _NUMBERS, _BLANKS = "A-Za-zªµºÀ-ÖØ-öø-ÿ", "0-9²³¹¼½¾", "\t-\r \x85\xa0"

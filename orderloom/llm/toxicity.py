@@ -119,7 +119,7 @@ class Matcher:
         return 100 * weight / (words + 10), math.log1p(weight), math.log1p(words)
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=1)
 def matcher(stems: tuple[tuple[str, float], ...]) -> Matcher:
     return Matcher(stems)
 
