@@ -7,7 +7,8 @@ import zlib
 from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
-from functools import lru_cache
+from functools import cached_property, lru_cache
+from operator import eq
 
 import numpy as np
 import pyarrow as pa
@@ -28,73 +29,81 @@ def _share(part: float, whole: float) -> float:
     return part / whole if whole else 0.0
 
 
-def _symbols(f: Facts) -> float:
-    return _share(f.n_symbols, len(f.words))
+class Signs(Facts):
+    """Shares that the labellers look at, each worked out once for a text."""
 
+    @cached_property
+    def symbols(self) -> float:
+        return _share(self.n_symbols, len(self.words))
 
-def _echoes(f: Facts) -> float:
-    """Words equal to the one before."""
-    return _share(sum(a == b for a, b in zip(f.words, f.words[1:])), len(f.words))
+    @cached_property
+    def echoes(self) -> float:
+        """Words equal to the one before."""
+        return _share(sum(map(eq, self.words, self.words[1:])), len(self.words))
 
+    @cached_property
+    def repeats(self) -> float:
+        return _share(self.n_repeat_words, len(self.words))
 
-def _repeats(f: Facts) -> float:
-    return _share(f.n_repeat_words, len(f.words))
+    @cached_property
+    def same_lines(self) -> float:
+        return _share(self.n_dup_lines, len(self.lines))
 
+    @cached_property
+    def capitals(self) -> float:
+        return _share(sum(len(word) > 1 for word in filter(bytes.isupper, self.words)), len(self.words))
 
-def _capitals(f: Facts) -> float:
-    return _share(sum(len(w) > 1 and w.isupper() for w in f.words), len(f.words))
+    @cached_property
+    def shouting(self) -> float:
+        return _share(self.text.count("!"), len(self.words))
 
+    @cached_property
+    def mean_length(self) -> float:
+        return _share(self.word_chars, len(self.words))
 
-def _shouting(f: Facts) -> float:
-    return _share(f.text.count("!"), len(f.words))
+    @cached_property
+    def stops(self) -> float:
+        return _share(sum(map(self.text.count, ".?!…。？！")), len(self.words))
 
+    @cached_property
+    def lettered(self) -> float:
+        return _share(self.n_lettered, len(self.words))
 
-def _mean_length(f: Facts) -> float:
-    return _share(f.word_chars, len(f.words))
+    @cached_property
+    def top_word(self) -> float:
+        return _share(max(Counter(self.words).values(), default=0), len(self.words))
 
 
-def _stops(f: Facts) -> float:
-    return _share(sum(map(f.text.count, ".?!…。？！")), len(f.words))
-
-
-def _lettered(f: Facts) -> float:
-    return _share(f.n_lettered, len(f.words))
-
-
-def _top_word(f: Facts) -> float:
-    return _share(Counter(f.words).most_common(1)[0][1] if f.words else 0, len(f.words))
-
-
-def _detects(sign: Callable[[Facts], bool]) -> Callable[[Facts], int]:
+def _detects(sign: Callable[[Signs], bool]) -> Callable[[Signs], int]:
     """A labeller that knows one kind of junk and says nothing of other texts."""
     return lambda facts: BAD if sign(facts) else SILENT
 
 
-def _vouches(sign: Callable[[Facts], bool]) -> Callable[[Facts], int]:
+def _vouches(sign: Callable[[Signs], bool]) -> Callable[[Signs], int]:
     return lambda facts: GOOD if sign(facts) else SILENT
 
 
-LABELLERS: tuple[Callable[[Facts], int], ...] = (
-    _detects(lambda f: _symbols(f) > 0.2),
-    _detects(lambda f: _echoes(f) > 0.25 and len(f.words) >= 8),
-    _detects(lambda f: _repeats(f) > 0.5),
-    _detects(lambda f: _share(f.n_dup_lines, len(f.lines)) > 0.5),
-    _detects(lambda f: _capitals(f) > 0.5 and len(f.words) >= 4),
-    _detects(lambda f: _shouting(f) > 0.3),
-    _detects(lambda f: len(f.words) >= 20 and not 2 <= _mean_length(f) <= 14),
-    _detects(lambda f: len(f.words) > 40 and not 0.005 <= _stops(f) <= 1),
-    _detects(lambda f: len(f.words) >= 8 and _lettered(f) < 0.5),
-    _detects(lambda f: len(f.words) >= 40 and _top_word(f) > 0.3),
-    _vouches(lambda f: 0.02 <= _stops(f) <= 0.34 and _shouting(f) < 0.1),
-    _vouches(lambda f: _symbols(f) < 0.02 and _capitals(f) < 0.2 and _lettered(f) > 0.8),
-    _vouches(lambda f: _repeats(f) < 0.2 and _echoes(f) < 0.05),
-    _vouches(lambda f: 3.5 <= _mean_length(f) <= 9 and f.n_dup_lines == 0),
+LABELLERS: tuple[Callable[[Signs], int], ...] = (
+    _detects(lambda f: f.symbols > 0.2),
+    _detects(lambda f: f.echoes > 0.25 and len(f.words) >= 8),
+    _detects(lambda f: f.repeats > 0.5),
+    _detects(lambda f: f.same_lines > 0.5),
+    _detects(lambda f: f.capitals > 0.5 and len(f.words) >= 4),
+    _detects(lambda f: f.shouting > 0.3),
+    _detects(lambda f: len(f.words) >= 20 and not 2 <= f.mean_length <= 14),
+    _detects(lambda f: len(f.words) > 40 and not 0.005 <= f.stops <= 1),
+    _detects(lambda f: len(f.words) >= 8 and f.lettered < 0.5),
+    _detects(lambda f: len(f.words) >= 40 and f.top_word > 0.3),
+    _vouches(lambda f: 0.02 <= f.stops <= 0.34 and f.shouting < 0.1),
+    _vouches(lambda f: f.symbols < 0.02 and f.capitals < 0.2 and f.lettered > 0.8),
+    _vouches(lambda f: f.repeats < 0.2 and f.echoes < 0.05),
+    _vouches(lambda f: 3.5 <= f.mean_length <= 9 and f.n_dup_lines == 0),
 )
 
 
-def votes(text: str, labellers: tuple[Callable[[Facts], int], ...] = LABELLERS) -> int:
+def votes(text: str, labellers: tuple[Callable[[Signs], int], ...] = LABELLERS) -> int:
     """All votes as one number, a ternary digit for each labeller."""
-    facts, pattern = Facts(text), 0
+    facts, pattern = Signs(text), 0
     for labeller in labellers:
         pattern = 3 * pattern + labeller(facts)
     return pattern
@@ -163,9 +172,19 @@ def fit_labels(counts: dict[int, int], labellers: int = len(LABELLERS), rounds:
 # The scorer -----------------------------------------------------------------------------
 
 
-@lru_cache(maxsize=200_000)
 def shape(word: str) -> str:
     """Kinds of characters with runs made one: `Word,` is `Aa,`, `x###` is `a#`."""
+    last = word[-1] if word[-1] in ".," and len(word) > 1 else ""
+    stem = word[:-1] if last else word
+    if stem.isalpha():  # most words
+        if stem.islower():
+            return "a" + last
+        if stem[0].isupper() and stem[1:].islower():
+            return "Aa" + last
+    return _any_shape(word)
+
+
+def _any_shape(word: str) -> str:
     out = []
     for char in word[:64]:
         kind = "A" if char.isupper() else "a" if char.isalpha() else "0" if char.isdigit() else char
@@ -192,9 +211,9 @@ def features(text: str) -> tuple[np.ndarray, np.ndarray]:
         found[_bucket(f"1 {kind}")] += (times / n) ** 0.5
     for (a, b), times in Counter(zip(kinds, kinds[1:])).items():
         found[_bucket(f"2 {a} {b}")] += (times / n) ** 0.5
-    echoes = sum(a == b for a, b in zip(words, words[1:])) / n
+    echoes = sum(map(eq, words, words[1:])) / n
     found[_bucket(f"echoes {int(10 * echoes)}")] += 1
-    top = Counter(words).most_common(1)[0][1] / n if n >= 20 else 0
+    top = max(Counter(words).values()) / n if n >= 20 else 0
     found[_bucket(f"top {int(10 * top)}")] += 1
     mean = sum(map(len, words)) / n
     found[_bucket(f"length {min(int(mean), 20)}")] += 1
