@@ -95,7 +95,7 @@ class Rule:
 
 RULES = (
     Rule("symbol_share", lambda f: 10 * f.n_symbols > len(f.words)),
-    Rule("duplicate_lines", lambda f: 10 * f.n_dup_lines > 3 * len(f.lines)),
+    Rule("duplicate_lines", lambda f: len(f.lines) >= 5 and 10 * f.n_dup_lines > 3 * len(f.lines)),
     Rule("word_length", lambda f: not 2 * len(f.words) <= f.word_chars <= 15 * len(f.words)),
     Rule("few_lettered_words", lambda f: 10 * f.n_lettered < 6 * len(f.words)),
     Rule(
@@ -245,7 +245,7 @@ SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS
   CAST(n_repeat_words AS BIGINT) AS n_repeat_words, base_failed,
   NOT base_failed
     AND 10 * n_symbols <= n_words
-    AND 10 * n_dup_lines <= 3 * len(lines)
+    AND (len(lines) < 5 OR 10 * n_dup_lines <= 3 * len(lines))
     AND word_chars BETWEEN 2 * n_words AND 15 * n_words
     AND 10 * len([x for x in words if regexp_matches(x, '[A-Za-z]|[^\x00-\x7F]')]) >= 6 * n_words
     AND 10 * len([x for x in lines if regexp_matches(x, '^[\x20\x09-\x0D]*[-*•]')]) <= 9 * len(lines)
