@@ -267,7 +267,7 @@ def word_answers(asked: DataFrame) -> DataFrame:
 
     def work(rows: pa.Table) -> pa.Table:
         _, sums, places = _counted(rows)
-        return _told(rows, [sums[x] for x in places], "word", int((sums > 0).sum()))
+        return _told(rows, [sums[x].astype(np.int64) for x in places], "word", int((sums > 0).sum()))
 
     return asked.groupBy("bucket").applyInArrow(work, ANSWERED)
 
@@ -523,7 +523,7 @@ def context_tree_scores(
     totals = staged(run_totals(requests["run"]), "totals")
     top = top_of(totals, depth)
     answers = answers_of(totals, top, depth, buckets)
-    told = run_answers(requests["run"], answers).unionByName(word_answers(requests["word"]))
+    told = run_answers(requests["run"].drop("counts"), answers).unionByName(word_answers(requests["word"]))
     chunked = asked["text"].select("chunk", "doc_id", "held", "learn", "size", "packed")
 
     def meet(text: pa.Table, found: pa.Table) -> pa.Table:
@@ -577,8 +577,9 @@ def _scored(row: dict, found: pa.Table, depth: int, buckets: int) -> dict[str, o
 def _in_order(keys: np.ndarray, found: pa.Table, kind: str, buckets: int) -> np.ndarray:
     """The answers to a chunk's sorted keys."""
     order, numbers, _ = dealt(keys, buckets)
-    told = zip(*(found.column(name).to_pylist() for name in ("kind", "bucket", "packed")))
-    parts = {bucket: packed for its, bucket, packed in told if its == kind}
+    rows = zip(*(found.column(name).to_pylist() for name in ("kind", "bucket", "packed")))
+    parts = {bucket: packed for its, bucket, packed in rows if its == kind}
     values = np.empty(len(keys))
-    values[order] = np.concatenate([unpack(parts[number], np.float64) for number in numbers.tolist()])
+    told = np.float64 if kind == "run" else np.int64
+    values[order] = np.concatenate([unpack(parts[number], told) for number in numbers.tolist()])
     return values
