@@ -34,14 +34,15 @@ class Encoder:
         self.tokenizer.encode_special_tokens = True
         with open(path, encoding="utf-8") as file:
             described = json.load(file)
-        before = described.get("pre_tokenizer") or {}
+        before, model = described.get("pre_tokenizer") or {}, described["model"]
         self.by_unit = (
-            before.get("type") == "ByteLevel"
+            model.get("type") == "BPE"
+            and before.get("type") == "ByteLevel"
             and before.get("use_regex", True)
             and not before.get("add_prefix_space")
             and not described.get("normalizer")
         )
-        self.units = _Units(self.tokenizer.model)
+        self.units = _Units(_merging(model)) if self.by_unit else {}
 
     @property
     def vocabulary(self) -> int:
@@ -64,6 +65,14 @@ class Encoder:
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
 
+def _merging(model: dict):
+    """The model by itself, without the cache of its own that ours makes needless."""
+    from tokenizers.models import BPE
+
+    merges = [tuple(pair.split(" ")) if isinstance(pair, str) else tuple(pair) for pair in model["merges"]]
+    return BPE(vocab=model["vocab"], merges=merges, cache_capacity=0)
+
+
 class _Units(dict):
     """Ids by unit, made when first asked for."""
 
