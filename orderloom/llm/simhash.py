@@ -53,17 +53,22 @@ def _majority(hashes: np.ndarray) -> int:
     return int(np.packbits(set_bits, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, fp) of every row, the 64 bits as a signed long."""
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE, hashed: bool = False) -> DataFrame:
+    """(doc_id, fp) of every row, the 64 bits as a signed long; `hashed` adds `mark`, a hash of
+    the text as it is."""
 
     def prepare() -> Callable[[pa.RecordBatch], dict[str, object]]:
         def work(batch: pa.RecordBatch) -> dict[str, object]:
             marks = [fingerprint(text, shingle) for text in texts(batch.column(1))]
-            return {"doc_id": batch.column(0), "fp": np.array(marks, np.uint64).view(np.int64)}
+            found = {"doc_id": batch.column(0), "fp": np.array(marks, np.uint64).view(np.int64)}
+            return found | ({"mark": batch.column(2)} if hashed else {})
 
         return work
 
-    return batches(docs.select(F.col("doc_id").cast("long"), "text"), "doc_id long, fp long", prepare)
+    columns = [F.col("doc_id").cast("long"), F.col("text")]
+    if hashed:
+        return batches(docs.select(*columns, F.xxhash64("text")), "doc_id long, fp long, mark long", prepare)
+    return batches(docs.select(*columns), "doc_id long, fp long", prepare)
 
 
 def budgets(segments: int, max_bits: int) -> list[tuple[int, int]]:
@@ -184,13 +189,18 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX
     return _labelled(marks, max_bits)
 
 
-def _labelled(marks: DataFrame, max_bits: int) -> DataFrame:
-    nodes = staged(marks.groupBy("fp").agg(F.min("doc_id").alias("least")), "marks")
+def _rooted(nodes: DataFrame, max_bits: int) -> DataFrame:
+    """`nodes`, a row for each fingerprint `fp`, with the `root` of the group it is in."""
+    nodes = staged(nodes, "marks")
     roots = components(links(nodes.select("fp"), max_bits))
     named = nodes.join(roots.select(F.col("node").alias("fp"), "root"), "fp", "left").withColumn(
         "root", F.coalesce("root", "fp")
     )
-    named = staged(named, "named")
+    return staged(named, "named")
+
+
+def _labelled(marks: DataFrame, max_bits: int) -> DataFrame:
+    named = _rooted(marks.groupBy("fp").agg(F.min("doc_id").alias("least")), max_bits)
     lowest = staged(named.groupBy("root").agg(F.min("least").alias("component_id")), "components")
     labels = named.join(lowest, "root").select("fp", "component_id")
     return marks.join(labels, "fp").select(
@@ -199,16 +209,22 @@ def _labelled(marks: DataFrame, max_bits: int) -> DataFrame:
 
 
 def one_per_group(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
-    """The document of the smallest id of each near-duplicate group, all columns unchanged.
+    """One document of each near-duplicate group, all columns unchanged.
 
-    Rows that share an id are one document, of which the row of the smallest text stays. A
-    row without id stays only in a group that has no id at all, and there one of them.
+    It is the row of the smallest id, and of rows that share that id in the group the one of
+    the smallest hash of the text. A row without id stays only in a group that has no id at
+    all. Ids may repeat: a row is known by its id and the hash of its text.
     """
-    marks = staged(fingerprints(docs, shingle), "fingerprints")
-    kept = _labelled(marks, max_bits).where("doc_id <=> component_id").select("doc_id").distinct()
-    here = docs.join(kept, docs["doc_id"].eqNullSafe(kept["doc_id"]), "left_semi")
-    if marks.groupBy("doc_id").count().where("count > 1").isEmpty():
+    marks = staged(fingerprints(docs, shingle, hashed=True), "fingerprints")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "mark")).alias("first")
+    named = _rooted(marks.groupBy("fp").agg(first), max_bits)
+    kept = staged(named.groupBy("root").agg(F.min("first").alias("first")).select("first.doc_id", "first.mark"), "kept")
+    doc_id, mark = docs["doc_id"].cast("long"), F.xxhash64(docs["text"])
+    here = docs.join(kept, doc_id.eqNullSafe(kept["doc_id"]) & (mark == kept["mark"]), "left_semi")
+    if marks.groupBy("doc_id", "mark").count().where("count > 1").isEmpty():
         return here
     whole = F.struct(*(here[name].alias(f"c{k}") for k, name in enumerate(here.columns)))
-    first = here.groupBy(here["doc_id"]).agg(F.min_by(whole, F.coalesce(here["text"], F.lit(""))).alias("row"))
-    return first.select(*(F.col(f"row.c{k}").alias(name) for k, name in enumerate(here.columns)))
+    alike = here.groupBy(here["doc_id"], F.xxhash64(here["text"])).agg(
+        F.min_by(whole, F.to_json(whole)).alias("row")
+    )
+    return alike.select(*(F.col(f"row.c{k}").alias(name) for k, name in enumerate(here.columns)))

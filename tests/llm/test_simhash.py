@@ -105,3 +105,21 @@ def test_documents_against_all_pairs(spark):
     assert {r["doc_id"]: (r["fingerprint"], r["component_id"]) for r in found} == expected
     kept = sorted(r["doc_id"] for r in simhash.one_per_group(documents(spark, pairs)).collect())
     assert kept == sorted(k for k, (_, group) in expected.items() if k == group)
+
+
+def test_one_of_each_group_where_ids_repeat(spark):
+    words = "ash birch cedar elm fir hazel ivy juniper larch maple oak pine rowan spruce willow yew".split()
+    text = lambda seed: " ".join(random.Random(seed).choices(words, k=60))
+    a, b, c, d, e = map(text, range(5))
+    rows = [
+        *((None, x) for x in (a, b, a)),  # groups of no id, one of them with a copy
+        *((1, x) for x in (c, d)),  # unlike texts of one id
+        *((2, x) for x in (c, e, e.upper())),  # a copy, and a group of one id
+        (None, d),  # its group has an id
+    ]
+    marks = {x: simhash.fingerprint(x) for _, x in rows}
+    assert len(set(groups(list(marks.values())))) == 5
+    found = simhash.one_per_group(documents(spark, rows).repartition(4)).collect()
+    assert sorted(str(r["doc_id"]) for r in found) == ["1", "1", "2", "None", "None"]
+    assert sorted(marks[r["text"]] for r in found) == sorted(set(marks.values()))
+    assert {r["text"] for r in found if r["doc_id"] == 1} == {c, d}
