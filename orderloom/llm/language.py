@@ -172,20 +172,22 @@ def judged(found: list[str], model: Model, at_once: int = 4 << 20) -> list[tuple
 def learn(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_chars: int = SAMPLE_CHARS) -> Model:
     """Excerpts of at most `sample_docs` different labelled texts per language.
 
-    Texts are picked by their hash, so copies count once. Rows without text, language or id
-    and held-out rows are not learned from.
+    Texts are picked by their hash, at a rate that follows the language's different texts, so
+    copies count once and every language gets that many texts where it has them. Rows without
+    text, language or id and held-out rows are not learned from.
     """
     known = docs.where(F.col("text").isNotNull() & F.col("lang").isNotNull()).where(
         learnable(F.col("doc_id"), HELD_MODULUS, HELD_RESIDUE)
     )
-    counts = {row["lang"]: row["n"] for row in known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    mark = F.xxhash64("text")
+    different = known.select("lang", mark.alias("mark")).distinct()
+    counts = {row["lang"]: row["n"] for row in different.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not counts:
         return Model(())
     grain = 1 << 30
     limits = F.create_map(
         *(F.lit(x) for lang, n in counts.items() for x in (lang, min(grain, grain * 6 * sample_docs // n)))
     )
-    mark = F.xxhash64("text")
     picked = (
         known.where(F.pmod(mark, F.lit(grain)) < limits[F.col("lang")])
         .groupBy("lang", mark.alias("mark"))

@@ -105,6 +105,16 @@ def test_languages_of_held_out_documents(spark):
     assert both.score.between(0, 1).all()
 
 
+def test_languages_of_many_copies_are_learned(spark):
+    words = {"en": "the cat sat on a mat", "fr": "le chat dort sous la table", "de": "der hund liegt auf dem sofa"}
+    texts = [(lang, f"{said} {k}{k} {said}") for lang, said in words.items() for k in range(40)]
+    rows = [(lang, text) for lang, text in texts] + [("fr", "une copie de plus")] * 60_000
+    docs = spark.createDataFrame([(k, text, lang) for k, (lang, text) in enumerate(rows)], "doc_id long, text string, lang string")
+    samples = dict(language.learn(docs).samples)
+    assert sorted(samples) == ["de", "en", "fr"]
+    assert samples["fr"].count(b"le chat dort") > 40 and samples["fr"].count(b"une copie") == 1
+
+
 def test_folding_and_exceptions():
     assert toxicity.folded("1D10T $tup1d іdіоt ＩＤＩＯＴ lo\u200bser 555-1234 loser!! a1") == (
         "idiot stupid idiot idiot loser 555-1234 loser!! a1"
