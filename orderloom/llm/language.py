@@ -20,10 +20,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from orderloom.llm.common import batches, is_residue, learnable, ship, texts
+from orderloom.session import staged
 
 HELD_MODULUS, HELD_RESIDUE = 5, 0
 SAMPLE_DOCS = 96  # labelled documents per language that the automata are made of
-SAMPLE_CHARS = 320  # of each of them
+SAMPLE_BYTES = 32 << 10  # of them, which fewer documents meet where they are long
 SEGMENT = 256  # bytes parsed on end
 SURE_BYTES = 64  # the score does not grow with text beyond so many bytes
 UNKNOWN = "und"
@@ -169,18 +170,26 @@ def judged(found: list[str], model: Model, at_once: int = 4 << 20) -> list[tuple
     return out + (parser(model).judge(some) if some else [])
 
 
-def learn(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_chars: int = SAMPLE_CHARS) -> Model:
-    """Excerpts of at most `sample_docs` different labelled texts per language.
+def learn(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_bytes: int = SAMPLE_BYTES) -> Model:
+    """At most `sample_docs` different labelled texts per language, each as a whole.
 
     Texts are picked by their hash, at a rate that follows the language's different texts, so
-    copies count once and every language gets that many texts where it has them. Rows without
-    text, language or id and held-out rows are not learned from.
+    copies count once and every language gets that many texts where it has them. A text that
+    would make a language's sample longer than `sample_bytes` is passed over; where each is
+    longer by itself, the shortest is taken. Rows without text, language or id and held-out
+    rows are not learned from.
     """
     known = docs.where(F.col("text").isNotNull() & F.col("lang").isNotNull()).where(
         learnable(F.col("doc_id"), HELD_MODULUS, HELD_RESIDUE)
     )
-    mark = F.xxhash64("text")
-    different = known.select("lang", mark.alias("mark")).distinct()
+    mark, doc_id = F.xxhash64("text"), F.col("doc_id").cast("long")
+    # Texts do not move but those taken in the end: each is known by its hash and an id.
+    different = staged(
+        known.groupBy("lang", mark.alias("mark")).agg(
+            F.min(doc_id).alias("first"), F.max(F.octet_length("text")).alias("size")
+        ),
+        "language-marks",
+    )
     counts = {row["lang"]: row["n"] for row in different.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not counts:
         return Model(())
@@ -188,19 +197,43 @@ def learn(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_chars: int = S
     limits = F.create_map(
         *(F.lit(x) for lang, n in counts.items() for x in (lang, min(grain, grain * 6 * sample_docs // n)))
     )
+    place = F.row_number().over(Window.partitionBy("lang").orderBy(F.pmod("mark", F.lit(grain)), "mark"))
     picked = (
-        known.where(F.pmod(mark, F.lit(grain)) < limits[F.col("lang")])
-        .groupBy("lang", mark.alias("mark"))
-        .agg(F.min(F.substring("text", 1, sample_chars)).alias("text"))
-        .withColumn("place", F.row_number().over(Window.partitionBy("lang").orderBy(F.pmod("mark", F.lit(grain)), "mark")))
+        different.where(F.pmod("mark", F.lit(grain)) < limits[F.col("lang")])
+        .withColumn("place", place)
         .where(F.col("place") <= sample_docs)
     )
-    samples: dict[str, list[bytes]] = {}
+    found: dict[str, list] = {}
     for row in picked.orderBy("lang", "place").collect():
-        samples.setdefault(row["lang"], []).append(normalised(row["text"]).tobytes())
+        found.setdefault(row["lang"], []).append(row)
+    chosen = [row for rows in found.values() for row in _within(rows, sample_bytes)]
+    names = ("told_lang", "told_mark", "told_id", "place")
+    told = docs.sparkSession.createDataFrame(
+        [(row["lang"], row["mark"], row["first"], row["place"]) for row in chosen],
+        "told_lang string, told_mark long, told_id long, place int",
+    )
+    texts_of = (
+        known.select("lang", "text", mark.alias("mark"), doc_id.alias("first"))
+        .join(F.broadcast(told), F.expr("lang = told_lang AND mark = told_mark AND first = told_id"))
+        .groupBy(*names)
+        .agg(F.min("text").alias("text"))
+    )
+    samples: dict[str, list[bytes]] = {}
+    for row in texts_of.orderBy("told_lang", "place").collect():
+        samples.setdefault(row["told_lang"], []).append(normalised(row["text"]).tobytes())
     return Model(tuple((name, b" ".join(parts)) for name, parts in sorted(samples.items())))
 
 
+def _within(rows: list, most: int) -> list:
+    """The rows that `most` bytes have room for, in their order, and at least the shortest."""
+    taken, size = [], 0
+    for row in rows:
+        if size + row["size"] <= most:
+            taken.append(row)
+            size += row["size"]
+    return taken or [min(rows, key=lambda row: (row["size"], row["place"]))]
+
+
 RESULT = "doc_id long, held_out boolean, lang_pred string, score double"
 
 

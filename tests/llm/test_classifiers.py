@@ -115,6 +115,19 @@ def test_languages_of_many_copies_are_learned(spark):
     assert samples["fr"].count(b"le chat dort") > 40 and samples["fr"].count(b"une copie") == 1
 
 
+def test_languages_are_learned_from_whole_texts(spark):
+    notice = "licence notice in another language, the same in every document of the source " * 5
+    words = {"en": "the cat sat on a mat", "fr": "le chat dort sous la table"}
+    rows = [(2 * k + j, f"{notice} {said} {k}", lang) for k in range(40) for j, (lang, said) in enumerate(words.items())]
+    rows += [(1000, "x " * 200_000, "en"), (1001, "un mot long " * 50_000, "xx"), (1002, "un mot long " * 60_000, "xx")]
+    model = language.learn(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    samples = dict(model.samples)
+    assert samples["fr"].count(b"le chat dort sous la table") > 20 and b"x x x" not in samples["en"]
+    assert all(len(samples[lang]) <= language.SAMPLE_BYTES for lang in words) and len(samples["xx"]) > 0
+    bodies = ["the cat sat on a mat", "le chat dort sous la table"]
+    assert [x[0] for x in language.judged(bodies, language.Model(model.samples[:2]))] == ["en", "fr"]
+
+
 def test_folding_and_exceptions():
     assert toxicity.folded("1D10T $tup1d іdіоt ＩＤＩＯＴ lo\u200bser 555-1234 loser!! a1") == (
         "idiot stupid idiot idiot loser 555-1234 loser!! a1"
