@@ -28,7 +28,8 @@ SAMPLE_BYTES = 32 << 10  # of them, which fewer documents meet where they are lo
 SEGMENT = 256  # bytes parsed on end
 SURE_BYTES = 64  # the score does not grow with text beyond so many bytes
 UNKNOWN = "und"
-MIN_SCORE = 0.2  # of documents that the pipeline keeps
+MIN_SCORE = 0.2  # fit of documents that the pipeline keeps
+HALVED = 1 / 3  # the fit halves with each such share of code length above the usual one
 
 _LETTER = re.compile(r"[^\W\d_]")
 # Letters of the ASCII range stand for themselves, all else of it for a blank.
@@ -82,9 +83,11 @@ def suffix_automaton(data: bytes) -> list[dict[int, int]]:
 
 @dataclass(frozen=True)
 class Model:
-    """Sample text per language, in order of their names."""
+    """Sample text per language, in order of their names, and the code length per byte that
+    is usual for text of each; a language without one fits every text."""
 
     samples: tuple[tuple[str, bytes], ...]
+    usual: tuple[float, ...] = ()
 
 
 class Parser:
@@ -95,6 +98,7 @@ class Parser:
 
     def __init__(self, model: Model) -> None:
         self.names = [name for name, _ in model.samples]
+        self.usual = np.array(model.usual or [math.inf] * len(self.names))
         used = sorted({byte for _, data in model.samples for byte in data})
         # Class 0 pads segments; the next is any byte that no sample has.
         self.classes = np.ones(256, np.int64)
@@ -137,28 +141,55 @@ class Parser:
             out[:, k] = np.bincount(owner, weights=count, minlength=len(streams))
         return out
 
-    def judge(self, found: list[str]) -> list[tuple[str, float]]:
-        """Language and score of each text."""
+    def judge(self, found: list[str]) -> list[tuple[str, float, float]]:
+        """Language, score and fit of each text.
+
+        The fit compares the code length with what is usual for the language, however many
+        languages there are. A text shorter than `SURE_BYTES` is taken to be so long, as its few
+        phrases tell nothing.
+        """
         lettered = [bool(_LETTER.search(text)) for text in found]
         if not self.names:
-            return [(UNKNOWN, 0.0)] * len(found)
+            return [(UNKNOWN, 0.0, 0.0)] * len(found)
         streams = [normalised(text) if has else np.zeros(0, np.uint8) for text, has in zip(found, lettered)]
         length = np.array([max(len(x), 1) for x in streams])
-        cost = self.phrases(streams) * np.array(self.bits) / length[:, None]
-        best = cost.argmin(axis=1)  # the first by name, where several are alike
-        more = cost - cost[np.arange(len(best)), best][:, None]
+        spent = self.phrases(streams) * np.array(self.bits)
+        cost = spent / length[:, None]
+        rows, best = np.arange(len(streams)), cost.argmin(axis=1)  # the first by name, where several are alike
+        more = cost - cost[rows, best][:, None]
         score = 1 / np.exp2(-more * np.minimum(length, SURE_BYTES)[:, None]).sum(axis=1)
+        ratio = spent[rows, best] / np.maximum(length, SURE_BYTES) / self.usual[best]
+        fit = np.exp2(-np.maximum(ratio - 1, 0) / HALVED)
         return [
-            (self.names[k], float(s)) if has else (UNKNOWN, 0.0) for k, s, has in zip(best, score, lettered)
+            (self.names[k], float(s), float(f)) if has else (UNKNOWN, 0.0, 0.0)
+            for k, s, f, has in zip(best, score, fit, lettered)
         ]
 
 
+def usual_cost(parts: list[bytes]) -> float:
+    """Median code length per byte of the texts, by their bytes, each half of them parsed with
+    the other; infinite where there are no two texts."""
+    costs, sizes = [], []
+    for known, other in ((parts[::2], parts[1::2]), (parts[1::2], parts[::2])):
+        streams = [np.frombuffer(data, np.uint8) for data in other if data]
+        if not streams or not any(known):
+            continue
+        half = Parser(Model((("", b" ".join(known)),)))
+        sizes += [len(x) for x in streams]
+        costs += (half.phrases(streams)[:, 0] * half.bits[0] / np.array(sizes[-len(streams) :])).tolist()
+    if not costs:
+        return math.inf
+    order = np.argsort(costs)
+    below = np.cumsum(np.array(sizes)[order])
+    return costs[order[np.searchsorted(below, below[-1] / 2)]] or math.inf
+
+
 @lru_cache(maxsize=1)
 def parser(model: Model) -> Parser:
     return Parser(model)
 
 
-def judged(found: list[str], model: Model, at_once: int = 4 << 20) -> list[tuple[str, float]]:
+def judged(found: list[str], model: Model, at_once: int = 4 << 20) -> list[tuple[str, float, float]]:
     """As `Parser.judge`, some megabytes of text at a time."""
     out, some, size = [], [], 0
     for text in found:
@@ -221,7 +252,11 @@ def learn(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_bytes: int = S
     samples: dict[str, list[bytes]] = {}
     for row in texts_of.orderBy("told_lang", "place").collect():
         samples.setdefault(row["told_lang"], []).append(normalised(row["text"]).tobytes())
-    return Model(tuple((name, b" ".join(parts)) for name, parts in sorted(samples.items())))
+    ordered = sorted(samples.items())
+    return Model(
+        tuple((name, b" ".join(parts)) for name, parts in ordered),
+        tuple(usual_cost(parts) for _, parts in ordered),
+    )
 
 
 def _within(rows: list, most: int) -> list:
@@ -264,8 +299,9 @@ def identify(docs: DataFrame, model: Model | None = None) -> DataFrame:
 
 
 def identified(docs: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
-    """The rows in a language that was learned, with a score of `min_score` or more; all
-    columns unchanged."""
+    """The rows whose text fits a language that was learned by `min_score` or more; all columns
+    unchanged. Text of no known language does not fit the nearest one either; a short text
+    stays, also where it could be of several."""
     ship(docs.sparkSession)
     told = docs.sparkSession.sparkContext.broadcast(learn(docs))
     at = docs.columns.index("text")
@@ -273,7 +309,7 @@ def identified(docs: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in parts:
             found = judged(texts(batch.column(at)), told.value)
-            keep = [name != UNKNOWN and score >= min_score for name, score in found]
+            keep = [name != UNKNOWN and fit >= min_score for name, _, fit in found]
             yield batch.filter(pa.array(keep, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

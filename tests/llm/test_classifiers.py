@@ -128,6 +128,27 @@ def test_languages_are_learned_from_whole_texts(spark):
     assert [x[0] for x in language.judged(bodies, language.Model(model.samples[:2]))] == ["en", "fr"]
 
 
+def test_text_of_no_known_language_is_not_kept(spark):
+    docs = table(spark, "documents").where("lang IN ('en', 'de')").select("doc_id", "text", "lang")
+    rng = np.random.default_rng(5)
+    gibberish = "".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz    "), 400))
+    foreign = table(spark, "documents").where("lang = 'es' AND length(text) > 500").limit(20).collect()
+    others = [(-k, row["text"], None) for k, row in enumerate(foreign, 1)] + [(-100, gibberish, None), (-101, "Oui", None)]
+    mixed = docs.union(spark.createDataFrame(others, docs.schema))
+    kept = language.identified(mixed).select("doc_id").toPandas().doc_id
+    assert sorted(kept[kept < 0]) == [-101]
+    assert (kept >= 0).sum() > 0.99 * docs.count()
+
+
+def test_short_text_of_many_languages_is_kept(spark):
+    text = lambda k, j: f"alpha beta gamma {'abcdefgh'[k] * 3}{j} word{k} again {j * 7 % 5}"
+    rows = [(100 * k + j, text(k, j), f"l{k}") for k in range(8) for j in range(20)] + [(9999, "alpha beta", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    said = {row["doc_id"]: row["score"] for row in language.identify(docs).collect()}
+    assert said[9999] < 0.2
+    assert language.identified(docs).where("doc_id = 9999").count() == 1
+
+
 def test_folding_and_exceptions():
     assert toxicity.folded("1D10T $tup1d іdіоt ＩＤＩＯＴ lo\u200bser 555-1234 loser!! a1") == (
         "idiot stupid idiot idiot loser 555-1234 loser!! a1"
