@@ -23,6 +23,8 @@ TRAIN_ROWS = 4000  # documents the scorer is trained on, a random sample
 BUCKETS = 1 << 14
 THRESHOLD = 0.2  # below it a document counts as junk; in doubt it stays
 STEPS = 400
+LONGEST = 64  # kinds in a word's shape; longer words count by their steps from kind to kind
+LONG = "long"  # their shape
 
 
 def _share(part: float, whole: float) -> float:
@@ -185,12 +187,18 @@ def shape(word: str) -> str:
 
 
 def _any_shape(word: str) -> str:
+    out = _kinds(word)
+    return "".join(out) if len(out) <= LONGEST else LONG
+
+
+def _kinds(word: str) -> list[str]:
+    """Kinds of all characters of a word, with runs made one."""
     out = []
-    for char in word[:64]:
+    for char in word:
         kind = "A" if char.isupper() else "a" if char.isalpha() else "0" if char.isdigit() else char
         if not out or out[-1] != kind:
             out.append(kind)
-    return "".join(out)
+    return out
 
 
 @lru_cache(maxsize=200_000)
@@ -200,7 +208,8 @@ def _bucket(feature: str) -> int:
 
 def features(text: str) -> tuple[np.ndarray, np.ndarray]:
     """Hashed features and values: shapes of words and of word pairs by their share, echoes,
-    and the share of distinct words in steps."""
+    and the share of distinct words in steps. Words of long shapes, such as lines of a script
+    without blanks, add the steps from kind to kind in them, by the characters they make up."""
     words = text.split()
     n = len(words)
     if not n:
@@ -211,6 +220,16 @@ def features(text: str) -> tuple[np.ndarray, np.ndarray]:
         found[_bucket(f"1 {kind}")] += (times / n) ** 0.5
     for (a, b), times in Counter(zip(kinds, kinds[1:])).items():
         found[_bucket(f"2 {a} {b}")] += (times / n) ** 0.5
+    if LONG in kinds:
+        long = [word for word, kind in zip(words, kinds) if kind == LONG]
+        steps: Counter = Counter()
+        for word in long:
+            inside = _kinds(word)
+            steps.update(zip(inside, inside[1:]))
+        total, share = sum(steps.values()), sum(map(len, long)) / sum(map(len, words))
+        for (a, b), times in steps.items():
+            found[_bucket(f"3 {a} {b}")] += (times / total * share) ** 0.5
+        found[_bucket(f"steps {total.bit_length()}")] += share**0.5
     echoes = sum(map(eq, words, words[1:])) / n
     found[_bucket(f"echoes {int(10 * echoes)}")] += 1
     top = max(Counter(words).values()) / n if n >= 20 else 0

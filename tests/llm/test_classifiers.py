@@ -57,6 +57,29 @@ def test_quality_on_labels(spark):
     assert kept[1] > 0.99 and kept[0] < 0.1
 
 
+def test_shapes_of_whole_words():
+    assert weak_labels.shape("漢字。" * 3 + "x" * 100 + "#") == "a。a。a。a#"
+    assert weak_labels.shape("Word" + "," * 80 + "7") == "Aa,0"
+    clean = "这是一个句子，" * 40
+    of = lambda text: dict(zip(*(x.tolist() for x in weak_labels.features(text))))
+    marks = [of(clean), of(clean + "#$%" * 40), of(clean + "7#" * 90)]
+    step = weak_labels._bucket("3 # $")
+    assert step in marks[1] and step not in marks[0] and marks[2].keys() - marks[0].keys()
+    assert of("a line of words, and 7 more of them.").keys() == of("a line of words, and 9 more of them.").keys()
+
+
+def test_junk_in_unspaced_text_is_told():
+    rng = np.random.default_rng(2)
+    hanzi = [chr(0x4E00 + k) for k in range(300)]
+    said = lambda: "".join("".join(rng.choice(hanzi, rng.integers(4, 12))) + "，。"[k % 2] for k in range(60))
+    signs = lambda: "".join(rng.choice(list("#$%^*~"), 300))
+    good, bad = [said() for _ in range(60)], [said() + signs() for _ in range(60)]
+    train = [weak_labels.features(x) for x in (good + bad)]
+    scorer = weak_labels.train([(a.tolist(), v.tolist(), float(k < 60)) for k, (a, v) in enumerate(train)])
+    assert min(scorer.score(said()) for _ in range(20)) > 0.8
+    assert max(scorer.score(said() + signs()) for _ in range(20)) < 0.2
+
+
 @settings(deadline=None)
 @given(st.binary(max_size=40).map(lambda b: bytes(x % 4 + 97 for x in b)))
 def test_suffix_automaton_knows_the_substrings(data):
