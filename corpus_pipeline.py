@@ -34,7 +34,7 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of the documents and their places in sequences."""
-    return packing.pack(docs)
+    return packing.pack(docs, added=True)
 
 
 STAGES: list[tuple[str, Stage]] = [

@@ -78,13 +78,18 @@ def records(content: bytes) -> Iterator[tuple[int, int | None, bytes]]:
 
 
 def write_records(
-    docs: DataFrame, path: str, tokenizer: str | None = None, end_id: int = END_ID, file_bytes: int = FILE_BYTES
+    docs: DataFrame,
+    path: str,
+    tokenizer: str | None = None,
+    end_id: int = END_ID,
+    file_bytes: int = FILE_BYTES,
+    added: bool = False,
 ) -> None:
     """Write the encoded documents to `path`, in ascending doc_id over the files by name.
 
     Each text is followed by `end_id`. A null text counts as empty; rows without id come
     first; rows of one id are ordered by text; other columns are ignored; an empty table
-    gives files without records.
+    gives files without records. `added` is that of the encoder.
     """
     tokenizer = tokenizer or default_file()
     narrow = encoder(tokenizer).vocabulary <= 1 << 16
@@ -96,7 +101,7 @@ def write_records(
     end = struct.pack("<I", end_id)
 
     def prepare() -> Callable[[pa.RecordBatch], dict[str, object]]:
-        encode = encoder(tokenizer).encode
+        encode = encoder(tokenizer, added).encode
 
         def work(batch: pa.RecordBatch) -> dict[str, object]:
             rows = zip(batch.column(0).to_pylist(), texts(batch.column(1)))
@@ -171,10 +176,10 @@ def fetch(spark: SparkSession, path: str, index: DataFrame, wanted: DataFrame) -
     return batches(both, "doc_id long, ids array<long>", prepare)
 
 
-def round_trip(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
+def round_trip(docs: DataFrame, tokenizer: str | None = None, added: bool = True) -> DataFrame:
     """Write the documents' records, read them back, and return what was read per document."""
     spark = docs.sparkSession
     path = fresh_path(spark, "records")
-    write_records(docs, path, tokenizer)
+    write_records(docs, path, tokenizer, added=added)
     index = write_index(spark, path, fresh_path(spark, "record-index"))
     return starts(index).select("doc_id", "start", "n_tokens", "ids_crc32")

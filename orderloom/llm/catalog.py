@@ -43,7 +43,7 @@ def op4_binary_records(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op5_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
-    return packing.pack(table(spark, folder, "documents"))
+    return packing.pack(table(spark, folder, "documents"), added=True)
 
 
 def op6_weak_labels(spark: SparkSession, folder: str) -> DataFrame:

@@ -170,7 +170,7 @@ PIECES = (
 )
 
 
-def pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int) -> DataFrame:
+def pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int, added: bool = False) -> DataFrame:
     """The pieces of every document; `nth` counts those of one length within a task."""
     ship(docs.sparkSession)
     names = [x.split()[0] for x in PIECES.split(", ")]
@@ -178,7 +178,7 @@ def pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int) -> DataF
     end = struct.pack("<I", end_id)
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, seen, part = encoder(tokenizer).encode, Counter(), TaskContext.get().partitionId()
+        encode, seen, part = encoder(tokenizer, added).encode, Counter(), TaskContext.get().partitionId()
         for batch in parts:
             rows = []
             for doc_id, text in zip(batch.column(0).to_pylist(), texts(batch.column(1))):
@@ -194,16 +194,21 @@ def pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int) -> DataF
 
 
 def pack(
-    docs: DataFrame, tokenizer: str | None = None, end_id: int = END_ID, capacity: int = CAPACITY
+    docs: DataFrame,
+    tokenizer: str | None = None,
+    end_id: int = END_ID,
+    capacity: int = CAPACITY,
+    added: bool = False,
 ) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32, sequence_id, offset) of every piece.
 
     Each document is its ids and `end_id`, so a null or empty text is a piece of one id.
     Repeated rows are packed each; a null doc_id stays null; other columns are ignored; an
-    empty table has no pieces. Texts are read once and never shuffled.
+    empty table has no pieces. Texts are read once and never shuffled. `added` is that of the
+    encoder.
     """
     spark = docs.sparkSession
-    made = staged(pieces(docs, tokenizer or default_file(), end_id, capacity), "pieces")
+    made = staged(pieces(docs, tokenizer or default_file(), end_id, capacity, added), "pieces")
     histogram = made.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()
     where = spark.sparkContext.broadcast(slots(plan({x["length"]: x["n"] for x in histogram}, capacity)))
     # The rank of a piece in its length: those of earlier tasks, then its own count.

@@ -23,15 +23,16 @@ class Encoder:
     """Ids as little-endian unsigned 32-bit integers, the same as encoding whole texts.
 
     Byte-level BPE merges within units only (a word with the space before it, a number, a run
-    of signs), so each unit is encoded once and remembered. Special tokens' strings in a text
-    are ordinary text.
+    of signs), so each unit is encoded once and remembered. With `added`, as in a plain call
+    of the library, the strings of the file's added tokens are these tokens; else they are
+    ordinary text.
     """
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, added: bool = False) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = not added
         with open(path, encoding="utf-8") as file:
             described = json.load(file)
         before, model = described.get("pre_tokenizer") or {}, described["model"]
@@ -42,6 +43,13 @@ class Encoder:
             and not before.get("add_prefix_space")
             and not described.get("normalizer")
         )
+        tokens = described.get("added_tokens") or [] if added else []
+        # Those that take blanks with them or end words are left to the library.
+        self.by_unit &= not any(x.get(k) for x in tokens for k in ("single_word", "lstrip", "rstrip"))
+        self.by_unit &= len({bool(x.get("normalized")) for x in tokens}) < 2
+        self.added = {x["content"]: self._id(x["content"]) for x in tokens if x["content"]}
+        # Of those that begin at the same place the longest is meant.
+        self.parts = re.compile("|".join(map(re.escape, sorted(self.added, key=len, reverse=True))))
         self.units = _Units(_merging(model)) if self.by_unit else {}
 
     @property
@@ -51,6 +59,18 @@ class Encoder:
     def encode(self, text: str) -> bytes:
         if not self.by_unit:
             return self._whole(text)
+        if not any(token in text for token in self.added):
+            return self._plain(text)
+        out, at = [], 0
+        for found in self.parts.finditer(text):
+            out += [self._plain(text[at : found.start()]), self.added[found.group()]]
+            at = found.end()
+        return b"".join([*out, self._plain(text[at:])])
+
+    def _id(self, token: str) -> bytes:
+        return array("I", [self.tokenizer.token_to_id(token)]).tobytes()
+
+    def _plain(self, text: str) -> bytes:
         if _is_latin(text):
             return self._latin(text)
         # Other scripts are encoded as they are, word by word where there are words.
@@ -110,9 +130,9 @@ def _byte_chars() -> dict[int, str]:
 
 
 @cache
-def encoder(path: str) -> Encoder:
+def encoder(path: str, added: bool = False) -> Encoder:
     """The worker's encoder of a file; tasks that follow in the same worker share its cache."""
-    return Encoder(path)
+    return Encoder(path, added)
 
 
 def default_file() -> str:

@@ -11,8 +11,9 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
+import corpus_pipeline
 from orderloom.llm import binary_records as br
-from orderloom.llm import packing
+from orderloom.llm import catalog, packing
 from orderloom.llm.token_ids import Encoder, default_file
 from orderloom.session import fresh_path
 from tests.llm.data import PROSE, documents, edge_rows
@@ -41,6 +42,37 @@ def test_unit_by_unit_on_documents(spark, whole):
     assert [np.frombuffer(x, "<u4").tolist() for x in map(ENCODER.encode, some)] == [whole(text) for text in some]
 
 
+WITH_ADDED = Encoder(default_file(), added=True)
+PLAIN = Tokenizer.from_file(default_file())
+
+
+def plain(text: str) -> list[int]:
+    """The library's ids, with nothing set."""
+    return PLAIN.encode(text, add_special_tokens=False).ids
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from(["<|endoftext|>", "<|endoftext", "|>", " ", "\n", "a", " word", "é", "漢", "1", "!"]), max_size=12))
+def test_added_tokens_as_the_library(pieces):
+    text = "".join(pieces)
+    assert np.frombuffer(WITH_ADDED.encode(text), "<u4").tolist() == plain(text)
+
+
+def test_queries_encode_added_tokens(spark, tmp_path):
+    text = "a <|endoftext|> b"
+    assert plain(text) == [64, 220, 50256, 275]
+    documents(spark, [(1, text), (2, "next")]).write.parquet(f"{tmp_path}/documents.parquet")
+    first, second = catalog.op4_binary_records(spark, str(tmp_path)).orderBy("doc_id").collect()
+    ids = np.array([*plain(text), br.END_ID], "<u4").tobytes()
+    assert (first["n_tokens"], first["ids_crc32"], second["start"]) == (5, zlib.crc32(ids), 5)
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    last = dict(corpus_pipeline.STAGES)["best_fit_packing"]
+    for packed in (catalog.op5_best_fit_packing(spark, str(tmp_path)), last(spark, docs, str(tmp_path))):
+        ids = np.array([*plain(text), packing.END_ID], "<u4").tobytes()
+        piece = packed.where("doc_id = 1").first()
+        assert (piece["length"], piece["ids_crc32"]) == (5, zlib.crc32(ids))
+
+
 @given(st.one_of(st.none(), st.integers(-(2**63), 2**63 - 1)), st.lists(st.integers(0, 65535)), st.booleans())
 def test_frame_round_trip(doc_id, ids, narrow):
     raw = np.array(ids, "<u4").tobytes()
