@@ -8,9 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 from orderloom.llm import (
     binary_records,
+    collocations,
     context_tree,
+    conversations,
     decontamination,
     language,
+    minhash,
     packing,
     quality_rules,
     simhash,
@@ -70,6 +73,19 @@ def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontamination.digest(found)
 
 
+def op11_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.collocations(table(spark, folder, "documents"))
+
+
+def op12_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    report, _ = conversations.repair(table(spark, folder, "conversations"))
+    return report
+
+
+def op13_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, folder, "documents"))
+
+
 def llm_queries() -> dict[str, Query]:
     return {
         query.__name__: query
@@ -84,6 +100,9 @@ def llm_queries() -> dict[str, Query]:
             op8_language_id,
             op9_toxicity,
             op10_decontamination,
+            op11_collocations,
+            op12_conversation_repair,
+            op13_minhash,
         )
     }
 
@@ -93,4 +112,6 @@ def llm_oracles() -> dict[str, str]:
         "op1_quality_rules": quality_rules.SQL,
         "op7_url_rules": url_rules.SQL,
         "op10_decontamination": decontamination.SQL,
+        "op11_collocations": collocations.SQL,
+        "op13_minhash": minhash.SQL,
     }
