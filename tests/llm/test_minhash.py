@@ -1,0 +1,143 @@
+"""MinHash near-duplicates against all pairs, and the tiled search for links on its own."""
+
+from __future__ import annotations
+
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from orderloom.llm import forests, minhash
+from orderloom.llm.catalog import op13_minhash
+from orderloom.session import staged
+from tests.compare import duck, mismatch
+from tests.llm.data import documents, edge_rows
+
+
+def shingle_set(text, size=5):
+    folded = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    words = [w for w in __import__("re").split("[\x20\x09-\x0d]+", folded) if w]
+    if len(words) < size:
+        return frozenset([tuple(words)] if words else [])
+    return frozenset(tuple(words[k : k + size]) for k in range(len(words) - size + 1))
+
+
+def brute_force(rows, share=85):
+    """(doc_id, n_shingles, component_id, kept) by comparing all pairs of distinct sets."""
+    sets = [shingle_set(row[1]) for row in rows]
+    distinct = sorted({s for s in sets if s}, key=lambda s: sorted(s))
+    parent = list(range(len(distinct)))
+
+    def root(k):
+        while parent[k] != k:
+            k = parent[k]
+        return k
+
+    for a in range(len(distinct)):
+        for b in range(a):
+            common = len(distinct[a] & distinct[b])
+            if 100 * common >= share * (len(distinct[a]) + len(distinct[b]) - common):
+                parent[root(a)] = root(b)
+    place = {s: root(k) for k, s in enumerate(distinct)}
+    least = {}
+    for row, s in zip(rows, sets):
+        if s and row[0] is not None:
+            least[place[s]] = min(least.get(place[s], row[0]), row[0])
+    for row, s in zip(rows, sets):
+        component = least.get(place[s]) if s else row[0]
+        yield row[0], len(s), component, row[0] == component
+
+
+def same(found, rows):
+    assert found.columns == ["doc_id", "n_shingles", "component_id", "kept"]
+    assert sorted(map(tuple, found.collect()), key=str) == sorted(brute_force(rows), key=str)
+
+
+def copies(seed, groups=12, each=12):
+    """Groups of texts with a few words changed, some near the limit, some sharing a passage."""
+    pick = random.Random(seed)
+    vocabulary = [f"w{k}" for k in range(4000)]
+    passage = pick.choices(vocabulary, k=60)
+    rows = []
+    for _ in range(groups):
+        base = pick.choices(vocabulary, k=pick.choice([6, 30, 120, 200]))
+        if pick.random() < 0.4:
+            base = passage + base
+        for _ in range(pick.randrange(1, each)):
+            text = list(base)
+            for _ in range(pick.randrange(0, 6)):
+                text[pick.randrange(len(text))] = pick.choice(vocabulary)
+            rows.append((len(rows), " ".join(text)))
+    return rows
+
+
+@pytest.mark.parametrize("limits", [(2048, 1 << 21), (2, 300), (5, 2000)])
+def test_equals_all_pairs(spark, limits):
+    rows = copies(limits[0])
+    same(minhash.near_duplicates(documents(spark, rows), list_limit=limits[0], set_limit=limits[1]), rows)
+
+
+def test_edges(spark):
+    rows = [*edge_rows(), (20, "same four words here"), (21, "SAME  four\twords here"), (22, "same four words"), (None, "all alone without an id")]
+    same(minhash.near_duplicates(documents(spark, rows)), [(row[0], row[1]) for row in rows])
+    assert minhash.near_duplicates(documents(spark, [])).collect() == []
+
+
+def test_matches_sql(spark):
+    folder = "/root/testdata/sf0.001"
+    assert mismatch(op13_minhash(spark, folder), duck(folder), minhash.SQL) is None
+
+
+def test_signature_estimates_overlap():
+    factors = minhash.permutations(64)
+    pick = np.random.default_rng(3)
+    agree = []
+    for _ in range(200):
+        common, own = pick.integers(0, 1 << 63, 850, np.uint64), pick.integers(0, 1 << 63, 150, np.uint64)
+        a, b = np.concatenate([common, own[:75]]), np.concatenate([common, own[75:]])
+        agree.append((minhash.signature(a, factors) == minhash.signature(b, factors)).sum())
+    share = 850 / 1000
+    assert abs(np.mean(agree) / 64 - share) < 0.01
+    assert min(agree) >= minhash.MATCHES
+
+
+def test_chance_of_a_missed_link():
+    """That fewer coordinates than asked for agree, at the least overlap that links."""
+    from math import comb
+
+    p = minhash.SHARE / 100
+    missed = sum(comb(64, k) * p**k * (1 - p) ** (64 - k) for k in range(minhash.MATCHES))
+    assert missed < 1e-8
+
+
+# Links within lists, of numbers that are linked when they differ by 1
+
+
+def neighbours(table):
+    values = table["value"].to_numpy()
+    return lambda place, others: np.abs(values[others] - values[place]) <= 1
+
+
+@pytest.mark.parametrize("limit", [1000, 50, 7, 1])
+def test_links_connect_what_all_pairs_connect(spark, limit):
+    """A chain, which falls apart in tiles, next to numbers that are linked with nothing."""
+    values = [*range(100), *range(1000, 1200, 5), *range(3000, 3030)]
+    payload = staged(spark.createDataFrame([(k, 1, v) for k, v in enumerate(values)], "node long, weight long, value long"), "payload")
+    lists = [(1, k) for k in range(len(values))] + [(2, k) for k in range(0, len(values), 50)] + [(3, 5)]
+    lists = staged(spark.createDataFrame(lists, "list long, node long"), "lists")
+    found = forests.linked(lists, payload, neighbours, limit).collect()
+    root = list(range(len(values)))
+    for a, b in ((r["a"], r["b"]) for r in found):
+        assert abs(values[a] - values[b]) == 1
+        root = [root[b] if x == root[a] else x for x in root]
+    groups = {root[k] for k in range(100)}, {root[k] for k in range(100, 140)}, {root[k] for k in range(140, 170)}
+    assert [len(group) for group in groups] == [1, 40, 1]
+
+
+def test_links_of_a_list_that_hangs_together_grow_in_proportion(spark):
+    """All of a list are linked: what is compared across tiles is nothing, links stay below rows."""
+    rows = 4000
+    payload = staged(spark.range(rows).select(F.col("id").alias("node"), F.lit(1).cast("long").alias("weight"), F.lit(0).cast("long").alias("value")), "payload")
+    lists = staged(payload.select(F.lit(1).cast("long").alias("list"), "node"), "lists")
+    assert forests.linked(lists, payload, neighbours, 64).count() < 2 * rows
