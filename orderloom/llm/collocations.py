@@ -22,7 +22,6 @@ from __future__ import annotations
 from array import array
 from collections import Counter, defaultdict
 from collections.abc import Callable, Iterator
-from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
+from orderloom.llm.bitmaps import BITMAP_BITS, Bitmap, bitmap
 from orderloom.llm.common import ship
 from orderloom.operators.lookups import sized
 from orderloom.session import staged
@@ -41,8 +41,7 @@ MIN_COUNT = 100
 TOP = 2000
 GROUP_ROWS = 1 << 20  # suffixes in a group, some 50 MB
 CHUNK_WORDS = 1 << 20  # words that a task looks at together, or one longer text
-WORDS_KEPT = 1 << 20  # words that a task remembers before it starts anew
-BITMAP_BITS = 1 << 27  # 16 MB, sent to all tasks
+WORDS_KEPT = 1 << 18  # words that a task remembers before it starts anew, some 50 MB
 
 # What ends a piece, by the contract.
 _ENDS = b".,;:!?\n\x0b\x0c\r"
@@ -101,32 +100,6 @@ def word_counts(docs: DataFrame) -> DataFrame:
     return counts.agg(F.sum("n").alias("n")).select("lang", "word", F.xxhash64("lang", "word").alias("key"), "n")
 
 
-class Bitmap(NamedTuple):
-    """Hashes of a set, by their last bits. Says yes to all of the set and to some others."""
-
-    cells: np.ndarray
-    bits: int
-
-    def holds(self, keys: np.ndarray) -> np.ndarray:
-        places = keys & np.uint64(self.bits - 1)
-        return (self.cells[places >> np.uint64(6)] >> (places & np.uint64(63))) & np.uint64(1) != 0
-
-
-def bitmap(keys: DataFrame, most: int = BITMAP_BITS) -> Bitmap:
-    """The bitmap of the column `key`: 16 bits a key, as a power of two, and never over `most`."""
-    bits = 64
-    wanted = 16 * keys.count()
-    while bits < min(wanted, most):
-        bits *= 2
-    place = F.col("key").bitwiseAND(F.lit(bits - 1))
-    bit = F.expr("shiftleft(1L, cast(place & 63 as int))")
-    cells = keys.select(place.alias("place")).groupBy(F.shiftright("place", 6).alias("cell")).agg(F.bit_or(bit).alias("bits"))
-    found = cells.toArrow()
-    out = np.zeros(bits // 64, np.uint64)
-    out[found["cell"].to_numpy()] = found["bits"].to_numpy().view(np.uint64)
-    return Bitmap(out, bits)
-
-
 class _Lexicon(dict):
     """Numbers of the words of a language that a task has met, and their hashes; 0 is the break."""
 

@@ -21,14 +21,15 @@ A list or group may hold a third of all sets: see `forests`. Shingles and sets a
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from orderloom.llm.bitmaps import bitmap
 from orderloom.llm.common import batches, texts
 from orderloom.llm.components import components
 from orderloom.llm.forests import Compare, linked
@@ -41,7 +42,7 @@ MATCHES = 34
 STRIP = 16  # coordinates counted between two looks at what can still reach the threshold
 LIST_LIMIT = 2048  # signatures in a tile
 SET_LIMIT = 1 << 21  # shingles in a tile, 16 MB
-WORDS_KEPT = 1 << 20  # words a task remembers the hash of before it starts anew
+WORDS_KEPT = 1 << 17  # words a task remembers the hash of before it starts anew, some 25 MB
 SEED = 13
 
 _FOLD = bytes(b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
@@ -197,12 +198,25 @@ def _by_sets(share: int) -> Callable[[pa.Table], Compare]:
     return prepare
 
 
+def _key(doc_id: Column, mark: Column) -> Column:
+    return F.xxhash64(doc_id, mark).alias("key")
+
+
 def shingle_sets(docs: DataFrame, chosen: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """(node, weight, shingles) of the documents named by (doc_id, mark) in `chosen`."""
-    doc_id, mark = docs["doc_id"].cast("long"), F.xxhash64(docs["text"])
-    wanted = chosen.select(F.col("doc_id").alias("chosen_id"), F.col("mark").alias("chosen_mark"))
-    same = doc_id.eqNullSafe(F.col("chosen_id")) & (mark == F.col("chosen_mark"))
-    here = docs.join(wanted, same, "left_semi").select(docs["text"].alias("text"))
+    """(node, weight, shingles) of the documents named by (doc_id, mark) in `chosen`.
+
+    Most texts are dropped by a bitmap before the join, which then shuffles few of them.
+    """
+    wanted = staged(chosen.select(_key(F.col("doc_id"), F.col("mark"))), "chosen-keys")
+    sent = docs.sparkSession.sparkContext.broadcast(bitmap(wanted))
+    keyed = docs.select(_key(F.col("doc_id").cast("long"), F.xxhash64("text")), "text")
+
+    def fits(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            found = sent.value.holds(part.column(0).to_numpy().view(np.uint64))
+            yield part.filter(pa.array(found))
+
+    here = keyed.mapInArrow(fits, "key long, text string").join(wanted, "key", "left_semi").select("text")
 
     def prepare() -> Callable[[pa.RecordBatch], dict[str, object]]:
         shingles_of = Shingler(shingle)
@@ -217,11 +231,9 @@ def shingle_sets(docs: DataFrame, chosen: DataFrame, shingle: int = SHINGLE) ->
 
         return work
 
-    sets = staged(batches(here, "node long, weight long, shingles array<long>", prepare), "shingle-sets")
-    # Rows that share id and text are all found above; one of them is enough.
-    if sets.groupBy("node").count().where("count > 1").isEmpty():
-        return sets
-    return staged(sets.dropDuplicates(["node"]), "distinct-shingle-sets")
+    # Rows that share id and text are all found; one of them is enough.
+    sets = batches(here, "node long, weight long, shingles array<long>", prepare)
+    return staged(sets.dropDuplicates(["node"]), "shingle-sets")
 
 
 def near_duplicates(
