@@ -17,8 +17,13 @@ TOTAL_MONEY = T.DecimalType(18, 2)
 MOMENT = T.TimestampNTZType()
 
 CORRUPT = "_corrupt_record"
-# The day a line's file is of.
+# The day a line's file is of, and the file.
 RUN_DATE = "run_date"
+FILE = "file"
+# Whether a line is of the newest version of its order.
+CURRENT = "current"
+# Whether an order has current lines in more than one month.
+SPANS = "spans"
 
 # The fields a line cannot do without.
 CRITICAL = ["order_id", "customer_id", "product_id", "order_date", "quantity", "unit_price"]
@@ -78,6 +83,17 @@ FACT_ORDERS = T.StructType(
     ]
 )
 
+# What the fact table holds besides: where a line is from, and the older versions of orders.
+STORED_ORDERS = T.StructType(
+    [
+        *FACT_ORDERS.fields,
+        _column(RUN_DATE, T.DateType()),
+        _column(FILE, T.StringType()),
+        _column(CURRENT, T.BooleanType()),
+        _column(SPANS, T.BooleanType()),
+    ]
+)
+
 DAILY_SALES = T.StructType(
     [
         _int("order_year"),
@@ -127,6 +143,48 @@ MONTHLY_REVENUE = T.StructType(
     ]
 )
 
+# What is kept per month so that months can be added up. Of orders inside a month there are
+# counts; an order that spans months has a row of its own in each, with nothing but its id.
+PRODUCT_STATES = T.StructType(
+    [
+        _int("order_year"),
+        _int("order_month"),
+        _id("product_id"),
+        _category(),
+        _count("total_units_sold"),
+        _count("lines"),
+        _total("total_revenue"),
+        _total("price_sum"),
+        _count("orders"),
+        _id("order_id"),
+    ]
+)
+
+CUSTOMER_STATES = T.StructType(
+    [
+        _int("order_year"),
+        _int("order_month"),
+        _id("customer_id"),
+        _column("last_order_date", MOMENT),
+        _total("monetary"),
+        _count("orders"),
+        _id("order_id"),
+    ]
+)
+
+CHECK_STATES = T.StructType(
+    [
+        _int("order_year"),
+        _int("order_month"),
+        _column("day", T.DateType()),
+        _column("spanning_key", T.ArrayType(T.StringType())),
+        _count("lines"),
+        _count("null_keys"),
+        _count("negative_revenue"),
+        _count("duplicate_keys"),
+    ]
+)
+
 REJECTS = T.StructType(
     list(RAW_ORDERS.fields)
     + [T.StructField(CORRUPT, T.StringType()), T.StructField("reason", T.StringType())]

@@ -4,6 +4,8 @@ from orderloom.functions.fields import (
     calendar_fields,
     exact_total,
     in_period,
+    is_date,
+    is_date_time,
     is_number,
     money,
     net_revenue,
@@ -19,6 +21,8 @@ __all__ = [
     "calendar_fields",
     "exact_total",
     "in_period",
+    "is_date",
+    "is_date_time",
     "is_number",
     "money",
     "net_revenue",

@@ -29,6 +29,14 @@ def parsed_date(text: Column) -> Column:
     return F.coalesce(F.try_to_date(text, DATE_TEXT).cast(MOMENT), with_time)
 
 
+def is_date(text: Column) -> Column:
+    return F.coalesce(F.try_to_date(text, DATE_TEXT).isNotNull(), F.lit(False))
+
+
+def is_date_time(text: Column) -> Column:
+    return F.when(text.rlike(_DATE_TIME), text).try_cast(MOMENT).isNotNull()
+
+
 def is_number(text: Column) -> Column:
     """Whether the text is a number, of whatever size; false for null."""
     return text.try_cast("double").isNotNull()

@@ -11,6 +11,7 @@ from orderloom.contracts import (
     CRITICAL,
     DISCOUNT,
     FACT_ORDERS,
+    FILE,
     MOMENT,
     NO_CATEGORY,
     PRICE,
@@ -76,9 +77,9 @@ def assess(raw: DataFrame, ingestion_ts: Column | None = None) -> DataFrame:
     source = {name: F.col(name) for name in RAW_ORDERS.names}
     source[CORRUPT] = F.col(CORRUPT) if CORRUPT in raw.columns else F.lit(None).cast("string")
 
-    run_date = F.col(RUN_DATE) if RUN_DATE in raw.columns else F.lit(None).cast("date")
+    origin = {RUN_DATE: "date", FILE: "string"}
     parsed = raw.select(
-        run_date.alias(RUN_DATE),
+        *[(F.col(name) if name in raw.columns else F.lit(None)).cast(kind).alias(name) for name, kind in origin.items()],
         F.struct(*[value.alias(name) for name, value in source.items()]).alias("raw"),
         F.col("order_id"),
         normalized_id(F.col("customer_id")).alias("customer_id"),
@@ -106,7 +107,7 @@ def assess(raw: DataFrame, ingestion_ts: Column | None = None) -> DataFrame:
     typed = parsed.select(
         *[fact[name].alias(name) for name in FACT_ORDERS.names],
         "raw",
-        RUN_DATE,
+        *origin,
         "discount_defaulted",
         "category_defaulted",
     )
@@ -145,6 +146,11 @@ def accepted(assessed: DataFrame) -> DataFrame:
     return assessed.where(F.col("reason").isNull()).select(FACT_ORDERS.names)
 
 
+def accepted_with_origin(assessed: DataFrame) -> DataFrame:
+    """Good lines with the day and the file they are from."""
+    return assessed.where(F.col("reason").isNull()).select(*FACT_ORDERS.names, RUN_DATE, FILE)
+
+
 def rejected(assessed: DataFrame) -> DataFrame:
     refused = assessed.where(F.col("reason").isNotNull())
     return refused.select("raw.*", "reason").select(REJECTS.names)

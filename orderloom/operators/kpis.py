@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from orderloom.contracts import (
     CUSTOMER_RFM,
+    CUSTOMER_STATES,
     DAILY_SALES,
     LINE_MONEY,
     MOMENT,
@@ -31,6 +32,8 @@ from orderloom.contracts import (
     MONTHLY_REVENUE,
     PRICE,
     PRODUCT_PERFORMANCE,
+    PRODUCT_STATES,
+    SPANS,
     TOTAL_MONEY,
 )
 from orderloom.functions import exact_total, money
@@ -121,7 +124,10 @@ def customer_rfm(fact: DataFrame, as_of: dt.datetime | None = None) -> DataFrame
     the customers' last orders, so the customers are written once and the date is looked up
     there, as a scalar subquery, instead of going through the fact a second time.
     """
-    customers = customer_value(fact)
+    return with_recency(customer_value(fact), as_of)
+
+
+def with_recency(customers: DataFrame, as_of: dt.datetime | None = None) -> DataFrame:
     if as_of:
         latest = F.lit(as_of).cast(MOMENT)
     else:
@@ -131,6 +137,57 @@ def customer_rfm(fact: DataFrame, as_of: dt.datetime | None = None) -> DataFrame
     return customers.withColumn("recency_days", recency).select(CUSTOMER_RFM.names)
 
 
+# States of months, and what they add up to
+
+
+def spanning(fact: DataFrame) -> Column:
+    """Whether a line's order may span months: where that is not known, it may."""
+    return F.col(SPANS) if SPANS in fact.columns else F.lit(True)
+
+
+def _states(fact: DataFrame, key: list[str], *sums: Column) -> DataFrame:
+    """Sums and the number of orders inside the month per group, and the ids of other orders.
+
+    An order inside a month is in no other, so numbers of orders add up over months; of an order
+    that spans months each has the id, which is counted once when they are put together.
+    """
+    inside = F.count_distinct(F.when(~spanning(fact), F.col("order_id"))).alias("orders")
+    across = fact.where(spanning(fact)).select(*MONTH, *key, "order_id").distinct()
+    return fact.groupBy(*MONTH, *key).agg(*sums, inside).unionByName(across, allowMissingColumns=True)
+
+
+def _all_orders(name: str) -> Column:
+    return (F.coalesce(F.sum("orders"), F.lit(0)) + F.count_distinct("order_id")).alias(name)
+
+
+def product_states(fact: DataFrame) -> DataFrame:
+    """What `product_performance` needs of each month."""
+    totals = [exact_total("revenue").alias("total_revenue"), exact_total("unit_price").alias("price_sum")]
+    return _states(fact, ["product_id", "category"], _units(), _lines(), *totals).select(PRODUCT_STATES.names)
+
+
+def product_performance_of(states: DataFrame) -> DataFrame:
+    totals = states.groupBy("product_id", "category").agg(
+        *[F.sum(name).alias(name) for name in ["total_units_sold", "lines"]],
+        *[exact_total(name).alias(name) for name in ["total_revenue", "price_sum"]],
+        _all_orders("order_count"),
+    )
+    return totals.withColumn("avg_unit_price", _mean("price_sum", "lines", PRICE)).select(PRODUCT_PERFORMANCE.names)
+
+
+def customer_states(fact: DataFrame) -> DataFrame:
+    """What `customer_rfm` needs of each month."""
+    last = F.max("order_date").alias("last_order_date")
+    return _states(fact, ["customer_id"], last, exact_total("revenue").alias("monetary")).select(CUSTOMER_STATES.names)
+
+
+def customer_rfm_of(states: DataFrame, as_of: dt.datetime | None = None) -> DataFrame:
+    customers = states.groupBy("customer_id").agg(
+        F.max("last_order_date").alias("last_order_date"), _all_orders("frequency"), exact_total("monetary").alias("monetary")
+    )
+    return with_recency(customers, as_of)
+
+
 def category_months(fact: DataFrame) -> DataFrame:
     """Revenue per month and category."""
     return fact.groupBy(*MONTH, "category").agg(exact_total("revenue").alias("monthly_revenue"))
@@ -145,7 +202,8 @@ def monthly_revenue(fact: DataFrame) -> DataFrame:
         _distinct(fact, key, "order_id", "total_orders"),
         _distinct(fact, key, "customer_id", "unique_customers"),
     )
-    return rank_within(months, MONTH, F.desc("monthly_revenue"), "revenue_rank").select(MONTHLY_REVENUE.names)
+    ranked = rank_within(months, MONTH, "monthly_revenue", "category", name="revenue_rank")
+    return ranked.select(MONTHLY_REVENUE.names)
 
 
 def product_months(fact: DataFrame) -> DataFrame:

@@ -12,9 +12,25 @@ from orderloom.session import staged
 SEGMENTS = {"High": [1], "Mid": [2, 3], "Low": [4, 5]}
 
 
-def rank_within(df: DataFrame, group: list[str], order: Column, name: str) -> DataFrame:
-    """Rank with gaps inside each group. Meant for aggregates: one task sorts one group."""
-    return df.withColumn(name, F.rank().over(Window.partitionBy(*group).orderBy(order)))
+def rank_within(df: DataFrame, group: list[str], value: str, *key: str, name: str) -> DataFrame:
+    """Rank with gaps inside each group, the highest `value` first; `key` tells its rows apart.
+
+    No task sorts a group: rows are put in order over all tasks, and a row's rank is how far the
+    first row of its value is from the first row of its group. Both are found by an aggregate, so
+    groups and values of any number of rows are spread, and ties may lie in several tasks. Nulls
+    in the group are a group, a null value comes last.
+    """
+    placed = with_position(df, *[F.asc(column) for column in group], F.desc(value), *[F.asc(column) for column in key])
+    firsts = placed.groupBy(*group, value).agg(F.min("position").alias("first"))
+    starts = firsts.groupBy(*group).agg(F.min("first").alias("start"))
+    same_group = [F.col(f"here.{column}").eqNullSafe(F.col(f"there.{column}")) for column in group]
+    ranks = firsts.alias("here").join(starts.alias("there"), same_group).select(
+        *[F.col(f"here.{column}").alias(column) for column in [*group, value]],
+        (F.col("first") - F.col("start") + 1).cast("int").alias(name),
+    )
+    same_value = [F.col(f"row.{column}").eqNullSafe(F.col(f"ranked.{column}")) for column in [*group, value]]
+    both = placed.alias("row").join(ranks.alias("ranked"), same_value)
+    return both.select(*[F.col(f"row.{column}").alias(column) for column in df.columns], name)
 
 
 def top_products(performance: DataFrame, measure: str, k: int = 10) -> DataFrame:

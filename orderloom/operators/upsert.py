@@ -11,8 +11,8 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderloom.contracts import MONTH
-from orderloom.operators.lookups import fits_broadcast
+from orderloom.contracts import CURRENT, MONTH, RUN_DATE, SPANS
+from orderloom.operators.lookups import fits_broadcast, sized
 from orderloom.session import staged
 
 _SPREAD = "_spread"
@@ -84,5 +84,36 @@ def matched_months(target: DataFrame, keys: OrderKeys) -> DataFrame:
     return months.select(year.alias("order_year"), (F.col("n") - year * 12 + 1).alias("order_month"))
 
 
+_MONTH_BITS = 18  # months of ten thousand years
+_MONTH_MASK = (1 << _MONTH_BITS) - 1
+
+
+def mark_newest(lines: DataFrame) -> DataFrame:
+    """The lines with `current`: whether they are of the newest run date that their order has, and
+    `spans`: whether the current lines of their order are of more than one month.
+
+    A later day's file replaces whole orders of an earlier one, in whatever order the two are
+    taken in; lines without a run date are the oldest, and all files of a day count together.
+    Day and month are packed into one number, so an order is one row of plain numbers in the
+    aggregate. Only orders with several days or months are joined back; a hot order is one row
+    on that side and can be split on the other. `lines` should be a written table and hold all
+    lines of its orders.
+    """
+    day = F.unix_date(F.coalesce(F.col(RUN_DATE), F.lit("0001-01-01").cast("date"))).cast("long")
+    month = (F.col("order_year") * 12 + F.col("order_month") - 1).cast("long")
+    at = F.shiftleft(day, _MONTH_BITS)
+    orders = lines.groupBy("order_id").agg(
+        F.max(at + month).alias("last"), F.max(at + (_MONTH_MASK - month)).alias("first"), F.min(day).alias("oldest")
+    )
+    newest = F.shiftright("last", _MONTH_BITS)
+    latest = F.col("last").bitwiseAND(F.lit(_MONTH_MASK))
+    earliest = _MONTH_MASK - F.col("first").bitwiseAND(F.lit(_MONTH_MASK))
+    several = orders.select("order_id", "oldest", newest.alias("newest"), (latest != earliest).alias(SPANS))
+    several = staged(several.where((F.col("oldest") < F.col("newest")) | F.col(SPANS)).drop("oldest"), "several-versions")
+    marked = lines.join(sized(several), "order_id", "left")
+    current = F.coalesce(day == F.col("newest"), F.lit(True)).alias(CURRENT)
+    return marked.select(*lines.columns, current, F.coalesce(SPANS, F.lit(False)).alias(SPANS))
+
+
 def _row_hash(df: DataFrame, key: str) -> Column:
     return F.xxhash64(*[F.col(name) for name in df.columns if name != key] or [F.lit(0)])

@@ -83,7 +83,8 @@ text as (
               when l_linenumber = 6 and l_orderkey % 5 = 0 then '1e300'
               when l_linenumber <> 1 then cast(cast(l_discount as decimal(5,2)) as varchar) end as discount,
          case when l_linenumber <> 3 then case when l_partkey % 97 = 0 then repeat('x', 101) else p_type end end as category,
-         case when l_orderkey % 2 = 1 then 0 when l_suppkey % 43 = 0 then 3 when l_suppkey % 41 = 0 then 2 else 0 end as fields_cut
+         case when l_orderkey % 2 = 1 then 0 when l_suppkey % 43 = 0 then 3 when l_suppkey % 41 = 0 then 2 else 0 end as fields_cut,
+         l_orderkey % 2 as layout
   from lineitem, orders, part
   where l_orderkey = o_orderkey and l_partkey = p_partkey
 )"""
@@ -212,6 +213,7 @@ select *, round(cast(total_revenue - prev_month_revenue as double)
 from pairs order by order_year, order_month"""
 
 _OTHER_LAYOUT = "country,order_date,category,discount,unit_price,quantity,product_id,customer_id,order_id"
+_FIELDS = "order_id customer_id product_id order_date quantity unit_price discount category".split()
 _MOVED = "order_id customer_id product_id order_date unit_price discount category".split()
 
 
@@ -300,6 +302,10 @@ def all_oracles() -> dict[str, str]:
         "upsert_published": upsert,
         "incremental_ingest": upsert,
         "incremental_catchup": upsert,
+        "late_correction": upsert,
+        "redelivered_file": f"""{VERSIONS}
+            select {FACT_COLUMNS} from target where cast(order_id as bigint) % 2 = 1
+            union all select {FACT_COLUMNS} from staging where cast(order_id as bigint) % 2 = 0""",
         "upsert_matched": f"""{VERSIONS}
             select {FACT_COLUMNS} from target where order_id in (select order_id from staging)""",
         "contract_load": f"{FACT} select *, timestamp '2001-08-02 02:00:00' as ingestion_ts from fact",
@@ -308,9 +314,39 @@ def all_oracles() -> dict[str, str]:
             select order_id, product_id, order_date, order_year, order_month, revenue from fact
             where order_date >= date '1998-01-15' and order_date < date '1998-04-15'""",
         "csv_roundtrip_scan": f"with {SCANNED} select * from scanned",
-        "dq_schema_audit": f"""
-            select '{_OTHER_LAYOUT}' as file_group, "column", case "column" when 'country' then 'extra' else 'moved' end as finding
-            from (select unnest({[*_MOVED, 'country']}) as "column")""",
+        "dq_schema_audit": f"""with {TEXT}, written as (
+              select count(distinct replace(substr(order_date, 1, 7), '-', '')) as folders, count(*) as lines
+              from text where layout = 1 having count(*) > 0)
+            select '{_OTHER_LAYOUT}' as file_group, folders, lines, "column",
+                   case "column" when 'country' then 'extra' else 'moved' end as finding
+            from written, (select unnest({[*_MOVED, 'country']}) as "column")""",
+        "dq_type_audit": f"""with {TEXT}, cells as (
+              unpivot (select {", ".join(f"coalesce({name}, chr(0)) as {name}" for name in _FIELDS)} from text)
+              on {", ".join(_FIELDS)} into name "column" value cell),
+            kinds as (
+              select "column", case when cell = chr(0) then 'null'
+                when regexp_full_match(trim(cell), '[+-]?[0-9]{{1,18}}') then 'integer'
+                when regexp_full_match(trim(cell), '[+-]?([0-9]+\\.?[0-9]*|\\.[0-9]+)([eE][+-]?[0-9]+)?') then 'decimal'
+                when try_strptime(trim(cell), '%Y-%m-%d') is not null then 'date'
+                when try_strptime(trim(cell), '%Y-%m-%d %H:%M:%S') is not null then 'timestamp' else 'text' end as kind
+              from cells),
+            counted as (select "column", kind, count(*) as line_count from kinds group by all),
+            held as (select "column", list_filter(list(kind), lambda k: k <> 'null') as kinds from counted group by "column")
+            select "column", kind, line_count,
+                   case when len(kinds) = 0 then 'null' when len(kinds) = 1 then kinds[1]
+                        when list_has_all(['integer', 'decimal'], kinds) then 'decimal'
+                        when list_has_all(['date', 'timestamp'], kinds) then 'timestamp' else 'text' end as column_type
+            from counted join held using ("column")""",
+        "customer_copartitioned": f"""{FACT}
+            select customer_id, c_mktsegment, count(*) as line_count, {_total("revenue")} as total_revenue
+            from fact, customer where cast(c_custkey as varchar) = customer_id group by all""",
+        "distinct_rollup": f"""{FACT}
+            select 'day' as level, order_year, order_month, order_day, count(distinct order_id) as total_orders,
+                   count(distinct customer_id) as unique_customers from fact group by all
+            union all select 'month', order_year, order_month, null, count(distinct order_id), count(distinct customer_id)
+              from fact group by all
+            union all select 'year', order_year, null, null, count(distinct order_id), count(distinct customer_id)
+              from fact group by all""",
         "keyed_layout_scan": f"""{FACT}
             select customer_id, order_id, product_id, order_date, revenue from fact
             where customer_id >= '10' and customer_id < '12'""",
@@ -323,5 +359,6 @@ def all_oracles() -> dict[str, str]:
         "nightly_rejects": f"""with {SCANNED}, {_assessed('scanned')}
             select order_id, customer_id, product_id, order_date, quantity, unit_price, discount, category, reason
             from assessed where reason is not null""",
+        "dq_incremental": f"{NIGHTLY}, {_CHECKS} select * from report",
         "dq_gate": f"{NIGHTLY}, {_CHECKS} select * from report where not passed",
     }

@@ -4,13 +4,15 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
+from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orderloom.contracts import MONTH
 from orderloom.functions import in_period
+from orderloom.session import staged
 
 
 def write_months(df: DataFrame, path: str, sort_by: Sequence[str] = (), mode: str = "overwrite") -> None:
@@ -100,6 +102,84 @@ def write_bucketed_table(
     writer.mode("overwrite").option("path", path).saveAsTable(table)
 
 
+class Copartitioned(NamedTuple):
+    """Tables that share a layout by key, with the keys that have several slots."""
+
+    tables: dict[str, DataFrame]
+    hot: DataFrame
+    key: str
+
+    def joined(self, lines: str, lookup: str) -> DataFrame:
+        """The lines with the columns of their key's row; neither side is shuffled."""
+        return self.tables[lines].join(self.tables[lookup], [self.key, SLOT])
+
+    def totals(self, rows: DataFrame, by: Sequence[str], sums: Sequence[Column], again: Sequence[Column]) -> DataFrame:
+        """`sums` of `rows` per key and the columns `by`, which are not shuffled: all rows of a key
+        and slot are in one bucket. Where a key has several slots, there is a row per slot, and
+        these few are summed up once more by `again`."""
+        slots = rows.groupBy(self.key, SLOT, *by).agg(*sums)
+        names = [name for name in slots.columns if name != SLOT]
+        hot = F.broadcast(self.hot.select("hot_key"))
+        same = F.col(self.key).eqNullSafe(F.col("hot_key"))
+        alone = slots.join(hot, same, "left_anti").select(names)
+        several = slots.join(hot, same, "left_semi").groupBy(self.key, *by).agg(*again)
+        return alone.unionByName(several.select(names))
+
+
+SLOT = "slot"
+
+
+def write_copartitioned(
+    lines: DataFrame, lookups: dict[str, DataFrame], path: str, key: str, buckets: int, name: str
+) -> Copartitioned:
+    """Save `lines` and tables with a row per key bucketed alike, so that they join and group by
+    key as they lie.
+
+    A bucket is one task's, so a key with more rows than an even share of a bucket gets slots,
+    as many as it has shares: its lines are dealt over them by a hash of the whole line, and its
+    row in each other table is repeated in every slot. There are fewer such keys than buckets.
+    Null is a key like any other here, though in a join it finds nothing.
+    """
+    spark = lines.sparkSession
+    hot = staged(_hot_keys(lines, key, buckets), "hot-keys")
+    marked, same = F.broadcast(hot), F.col(key).eqNullSafe(F.col("hot_key"))
+    dealt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in lines.columns]), F.size("slots")) + 1
+    slot = F.when(F.col("slots").isNull(), 0).otherwise(F.element_at("slots", dealt.cast("int")))
+    laid_out = {"lines": lines.join(marked, same, "left").select(*lines.columns, slot.alias(SLOT))}
+    each = F.explode(F.coalesce("slots", F.array(F.lit(0))))
+    for table, rows in lookups.items():
+        laid_out[table] = rows.join(marked, same, "left").select(*rows.columns, each.alias(SLOT))
+    for table, rows in laid_out.items():
+        # The expression is the one bucketing uses, so a task writes few bucket files.
+        bucket = F.pmod(F.hash(F.col(key), F.col(SLOT)), F.lit(buckets))
+        writer = rows.repartition(buckets, bucket).write.bucketBy(buckets, key, SLOT).sortBy(key, SLOT)
+        writer.mode("overwrite").option("path", f"{path}/{table}").saveAsTable(f"{name}_{table}")
+    return Copartitioned({table: spark.table(f"{name}_{table}") for table in laid_out}, hot, key)
+
+
+def _hot_keys(lines: DataFrame, key: str, buckets: int) -> DataFrame:
+    """(hot_key, slots) of the keys with more rows than an even share of a bucket.
+
+    The slots of all of them, one after another, are numbers whose hash falls in one bucket after
+    another, so that no bucket gets many of them.
+    """
+    share = max(1, -(-lines.count() // buckets))
+    sizes = lines.groupBy(F.col(key).alias("hot_key")).agg(F.count(F.lit(1)).alias("rows"))
+    hot = sizes.where(F.col("rows") > share).withColumn("shares", F.ceil(F.col("rows") / F.lit(share)))
+    hot = staged(hot, "heavy-keys")
+    before = Window.orderBy("hot_key").rowsBetween(Window.unboundedPreceding, -1)
+    first = F.coalesce(F.sum("shares").over(before), F.lit(0))
+    wanted = hot.withColumn("first", first).select(
+        "hot_key", F.explode(F.expr("sequence(first, first + shares - 1)")).alias("place")
+    )
+    wanted = wanted.withColumn("bucket", F.pmod("place", F.lit(buckets)).cast("int"))
+    numbers = hot.select("hot_key", F.explode(F.sequence(F.lit(0), F.lit(40 * buckets))).alias(SLOT))
+    falls = F.pmod(F.hash("hot_key", SLOT), F.lit(buckets)).alias("bucket")
+    found = numbers.groupBy(F.col("hot_key").alias("same_key"), falls).agg(F.min(SLOT).alias(SLOT))
+    both = wanted.join(found, F.col("hot_key").eqNullSafe(F.col("same_key")) & (wanted["bucket"] == found["bucket"]))
+    return both.groupBy("hot_key").agg(F.sort_array(F.collect_set(SLOT)).alias("slots"))
+
+
 def write_ranged(df: DataFrame, path: str, *order: str | Column) -> None:
     """Write `df` in this order over all files, for scans that filter on its first columns.
 

@@ -2,24 +2,27 @@
 
 from __future__ import annotations
 
-import csv
 import datetime as dt
 from collections import defaultdict
-from collections.abc import Iterable
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from orderloom.contracts import CORRUPT, CRITICAL, RAW_ORDERS, RUN_DATE
-from orderloom.session import hadoop_path, staged
+from orderloom.contracts import CORRUPT, CRITICAL, FILE, RAW_ORDERS, RUN_DATE
+from orderloom.sources.headers import first_lines
 
 SCAN_SCHEMA = T.StructType(
-    [*RAW_ORDERS.fields, T.StructField(CORRUPT, T.StringType()), T.StructField(RUN_DATE, T.DateType())]
+    [
+        *RAW_ORDERS.fields,
+        T.StructField(CORRUPT, T.StringType()),
+        T.StructField(RUN_DATE, T.DateType()),
+        T.StructField(FILE, T.StringType(), nullable=False),
+    ]
 )
-AUDIT_SCHEMA = "file_group string, files long, column string, finding string"
+LISTED = "path string, file string, length long, modified timestamp"
 
 # Fixed value: the name of a day's file.
 _NAME = "ecommerce_orders_{:%Y-%m-%d}.csv"
@@ -32,7 +35,6 @@ _OPTIONS = {
     # the corrupt-record column empty without a word.
     "columnPruning": "false",
 }
-_OPENED_AT_ONCE = 32
 
 
 class HeaderError(ValueError):
@@ -44,40 +46,38 @@ def day_file(root: str, day: dt.date) -> str:
     return f"{root.rstrip('/')}/{day:%Y%m%d}/{_NAME.format(day)}"
 
 
-def order_files(spark: SparkSession, path: str) -> list[str]:
-    """All files under `path`, at any depth; names that begin with _ or . are left out."""
-    system, root = hadoop_path(spark, path)
-    found, listed = [], system.listFiles(root, True)
-    while listed.hasNext():
-        file = listed.next().getPath()
-        if not file.getName().startswith(("_", ".")):
-            found.append(file.toString())
-    return sorted(found)
-
-
-def header_of(spark: SparkSession, file: str) -> tuple[str, ...]:
-    """The column names in a file's first line; none for an empty file."""
-    system, path = hadoop_path(spark, file)
-    codec = spark._jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(system.getConf()).getCodec(path)
-    stream = system.open(path)
-    try:
-        text = codec.createInputStream(stream) if codec else stream
-        java = spark._jvm.java
-        lines = java.io.BufferedReader(java.io.InputStreamReader(text, "UTF-8"))
-        line = lines.readLine()
-    finally:
-        stream.close()
-    return tuple(name.strip() for name in next(csv.reader([line.lstrip("\ufeff")]))) if line else ()
-
-
-def by_header(spark: SparkSession, files: Iterable[str]) -> dict[tuple[str, ...], list[str]]:
-    """The files of each header. Only first lines are read, many files at a time."""
-    files = list(files)
+def listed_files(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """(path, file, length, modified) of all files under `path`, at any depth, or of the given
+    ones. Names that begin with _ or . are left out, and so are files of no bytes, as if they
+    were not there. Nothing is opened.
+
+    `path` is what a scan takes; `file` is the name that rows of a scan know their file by.
+    """
+    if not path:
+        return spark.createDataFrame([], LISTED)
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    return found.selectExpr(*_LISTED)
+
+
+_LISTED = ["path", f"_metadata.file_path AS {FILE}", "length", "modificationTime AS modified"]
+
+
+def headers(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """(file, header): the names in the first line of each file, none of files without lines."""
+    return first_lines(spark, paths)
+
+
+def paths_of(files: DataFrame) -> list[str]:
+    """The paths of listed files, which a scan of them has to hold in the driver anyway."""
+    return [row["path"] for row in files.select("path").orderBy("path").collect()]
+
+
+def by_header(spark: SparkSession, files: DataFrame) -> dict[tuple[str, ...], list[str]]:
+    """The paths of each header among listed files."""
+    named = files.join(headers(spark, paths_of(files)), FILE).select("header", "path")
     groups: dict[tuple[str, ...], list[str]] = defaultdict(list)
-    with ThreadPoolExecutor(_OPENED_AT_ONCE) as pool:
-        for file, header in zip(files, pool.map(lambda file: header_of(spark, file), files)):
-            if header:
-                groups[header].append(file)
+    for row in named.orderBy("path").collect():
+        groups[tuple(row["header"])].append(row["path"])
     return dict(groups)
 
 
@@ -86,13 +86,17 @@ def read_orders(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
     The header decides which field is which; files of one header are one scan. Further columns
     are dropped, a missing discount or category is null, and a header without a critical
-    column fails with its files named. Malformed lines are marked in _corrupt_record, and
-    run_date is the day of the folder a file lies in, null elsewhere.
+    column fails with its files named. Malformed lines are marked in _corrupt_record, run_date
+    is the day of the folder a file lies in, null elsewhere, and file is the file.
 
     Types are given, never inferred: inference costs a pass over the data and turns the id
     007 into 7.
     """
-    files = order_files(spark, path) if isinstance(path, str) else path
+    return read_files(spark, listed_files(spark, path))
+
+
+def read_files(spark: SparkSession, files: DataFrame) -> DataFrame:
+    """The lines of listed files, as `read_orders` has them."""
     groups = by_header(spark, files)
     lacking = {header: set(CRITICAL) - set(header) for header in groups}
     if any(lacking.values()):
@@ -112,44 +116,54 @@ def _scan(spark: SparkSession, header: tuple[str, ...], files: list[str]) -> Dat
     ]
     schema = T.StructType([T.StructField(name, T.StringType()) for name in [*names, CORRUPT]])
     lines = spark.read.schema(schema).options(**_OPTIONS).csv(files)
-    folder = F.regexp_extract(F.col("_metadata.file_path"), r"^.*/(\d{8})/", 1)
+    file = F.col("_metadata.file_path")
     found = {name: F.col(name) for name in [*names, CORRUPT]}
-    found[RUN_DATE] = F.try_to_date(folder, "yyyyMMdd")
+    found[RUN_DATE] = F.try_to_date(F.regexp_extract(file, r"^.*/(\d{8})/", 1), "yyyyMMdd")
+    found[FILE] = file
     absent = F.lit(None).cast("string")
     return lines.select(*[found.get(name, absent).alias(name) for name in SCAN_SCHEMA.names])
 
 
 def schema_audit(spark: SparkSession, path: str) -> DataFrame:
     """How each group of files differs from the order model: a row per column that is missing,
-    extra or at another place. The group is named by its header."""
-    rows = []
-    for header, files in sorted(by_header(spark, order_files(spark, path)).items()):
-        group = ",".join(header)
-        common = [name for name in RAW_ORDERS.names if name in header]
-        order = [name for name in dict.fromkeys(header) if name in common]
-        rows += [(group, len(files), name, "missing") for name in RAW_ORDERS.names if name not in header]
-        rows += [(group, len(files), name, "extra") for name in dict.fromkeys(header) if name not in RAW_ORDERS.names]
-        rows += [(group, len(files), name, "moved") for name, there in zip(common, order) if name != there]
-    return spark.createDataFrame(rows, AUDIT_SCHEMA)
-
-
-def newest_versions(lines: DataFrame) -> DataFrame:
-    """Of every order, the lines of the newest run date that has any.
-
-    A later day's file replaces whole orders of an earlier one; lines without a run date are
-    the oldest. The newest date per order is written and joined back, so that a hot order is
-    one row on that side and can be split on the other. `lines` should be a written table.
+    extra or at another place, with the group's files, the folders these lie in, and their lines
+    without headers and blank lines. The group is named by its header.
+
+    Lines are counted in one scan that passes on a row per file.
     """
-    if lines.select(RUN_DATE).distinct().limit(2).count() < 2:
-        return lines
-    day = F.coalesce(F.col(RUN_DATE), F.lit("0001-01-01").cast("date"))
-    newest = lines.groupBy("order_id").agg(F.max(day).alias("newest"))
-    both = lines.join(staged(newest, "newest"), "order_id")
-    return both.where(day == F.col("newest")).select(lines.columns)
+    paths = paths_of(listed_files(spark, path))
+    if not paths:
+        return spark.createDataFrame([], "file_group string, files long, folders long, lines long, column string, finding string")
+    filled = F.count_if(F.length(F.trim(F.col("value"))) > 0) - 1
+    lines = spark.read.text(paths).groupBy(F.col("_metadata.file_path").alias(FILE)).agg(filled.alias("lines"))
+    groups = headers(spark, paths).join(lines, FILE).groupBy("header").agg(
+        F.count(F.lit(1)).alias("files"),
+        F.count_distinct(F.regexp_replace(FILE, "/[^/]*$", "")).alias("folders"),
+        F.sum("lines").alias("lines"),
+    )
+    model = F.array(*[F.lit(name) for name in RAW_ORDERS.names])
+    given = F.array_distinct("header")
+    expected = F.filter(model, lambda name: F.array_contains("header", name))
+    found = F.filter(given, lambda name: F.array_contains(model, name))
+    differs = F.filter(
+        F.arrays_zip(expected.alias("name"), found.alias("there")), lambda pair: pair["name"] != pair["there"]
+    )
+    findings = {
+        "missing": F.array_except(model, "header"),
+        "extra": F.array_except(given, model),
+        "moved": F.transform(differs, lambda pair: pair["name"]),
+    }
+    rows = [F.transform(names, _as_row(finding)) for finding, names in findings.items()]
+    listed = groups.select(F.array_join("header", ",").alias("file_group"), "files", "folders", "lines", F.explode(F.concat(*rows)).alias("row"))
+    return listed.select("file_group", "files", "folders", "lines", "row.column", "row.finding")
+
+
+def _as_row(finding: str) -> Callable[[Column], Column]:
+    return lambda name: F.struct(name.alias("column"), F.lit(finding).alias("finding"))
 
 
 def stream_files(spark: SparkSession, path: str) -> DataFrame:
-    """The paths of newly arrived files, as a stream. Contents are not read."""
+    """Newly arrived files as a stream, listed as by `listed_files`. Contents are not read."""
     reader = spark.readStream.format("binaryFile").option("recursiveFileLookup", "true")
     schema = "path string, modificationTime timestamp, length long, content binary"
-    return reader.schema(schema).load(path).select("path")
+    return reader.schema(schema).load(path).selectExpr(*_LISTED)

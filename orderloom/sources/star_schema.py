@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from orderloom.contracts import DISCOUNT, FACT_ORDERS, MOMENT, PRICE, RAW_ORDERS
 from orderloom.functions import calendar_fields, net_revenue
 from orderloom.operators.cleaning import positive_lines, with_defaults
+from orderloom.session import fresh_path, hadoop_path, staged
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -159,19 +160,41 @@ def write_order_files(lines: DataFrame, path: str, layout: int = 0) -> None:
     lines are joined by hand for this, and written as a single column under the header's text.
     """
     if "layout" in lines.columns:
+        lines = staged(lines, "text-lines")
         for k in range(len(LAYOUTS)):
             write_order_files(lines.where(F.col("layout") == k).drop("layout"), f"{path}/layout-{k}", k)
         return
+    arrival = F.coalesce(F.regexp_replace(F.substring("order_date", 1, 7), "-", ""), F.lit("none"))
+    out = lines.select(_joined(lines, layout), arrival.alias("arrival"))
+    out.hint("rebalance", "arrival").write.partitionBy("arrival").options(**_PLAIN).csv(path)
+
+
+# A separator that occurs nowhere, so that the commas of a line stay as they are.
+_PLAIN = {"header": "true", "sep": "\u0001", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+
+
+def _joined(lines: DataFrame, layout: int) -> Column:
+    """The text of each line in a layout, under the name of that layout's header."""
     names = LAYOUTS[layout]
     cut = F.col("fields_cut") if "fields_cut" in lines.columns else F.lit(0)
     text = {name: F.coalesce(F.col(name), F.lit("")) for name in RAW_ORDERS.names}
     fields = F.array(*[text.get(name, F.lit("Elsewhere")) for name in names])
     whole = F.slice(fields, F.lit(1), F.lit(len(names)) - cut)
-    out = lines.select(
-        F.array_join(whole, ",").alias(",".join(names)),
-        F.coalesce(F.regexp_replace(F.substring("order_date", 1, 7), "-", ""), F.lit("none")).alias("arrival"),
-    )
-    writer = out.hint("rebalance", "arrival").write.partitionBy("arrival")
-    # A separator that occurs nowhere, so that the commas of a line stay as they are.
-    plain = {"header": "true", "sep": "\u0001", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
-    writer.options(**plain).csv(path)
+    return F.array_join(whole, ",").alias(",".join(names))
+
+
+def deliver(lines: DataFrame, folder: str, files: int = 4, layout: int = 0) -> None:
+    """Put text lines into `folder` as files of fixed names, over those of an earlier delivery.
+    The lines of an order are in one file."""
+    spark = lines.sparkSession
+    written = fresh_path(spark, "delivery")
+    lines.repartition(files, "order_id").select(_joined(lines, layout)).write.options(**_PLAIN).csv(written)
+    system, source = hadoop_path(spark, written)
+    _, target = hadoop_path(spark, folder)
+    system.mkdirs(target)
+    for status in system.listStatus(source):
+        name = status.getPath().getName()
+        if name.startswith("part-"):
+            _, place = hadoop_path(spark, f"{folder}/orders-{int(name[5:10])}.csv")
+            system.delete(place, False)
+            system.rename(status.getPath(), place)

@@ -1,0 +1,271 @@
+"""Order files that come late, again, changed or in parts: the lake follows what the files say."""
+
+from __future__ import annotations
+
+import datetime as dt
+import itertools
+import os
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from orderloom.operators import kpis
+from orderloom.operators.quality import check_states, quality_report, quality_report_of
+from orderloom.operators.upsert import mark_newest, staged_keys
+from orderloom.plans import tables
+from orderloom.plans.nightly import run_nightly
+from orderloom.plans.tables import aggregate_table, fact_table, ledger, load_aggregate, stored_report
+from orderloom.session import staged
+from orderloom.sources.key_marks import key_marks, marked_keys
+from orderloom.sources.orders import OrderTable
+from orderloom.sources.versions import MonthlyTable
+from orderloom.streaming.arrivals import ingest_new_files
+from tests.test_kpis import facts
+from tests.test_order_files import write_day
+
+AS_OF = dt.date(2025, 2, 2)
+TABLES = ["agg_daily_sales", "agg_monthly_revenue", "agg_product_performance", "agg_customer_rfm"]
+
+DAY = [dt.date(2025, 1, 5), dt.date(2025, 1, 6), dt.date(2025, 2, 1)]
+LINES = {
+    DAY[0]: ["o1,c,p,2025-01-05,2,10.00,0,x", "o1,c,q,2025-01-05,1,10.00,0,x", "o2,d,p,2025-01-05,1,10.00,0,x"],
+    DAY[1]: ["o1,c,p,2025-01-06,5,10.00,0,x", "o3,d,q,2025-01-31,1,10.00,0,y", "o3,d,p,2025-02-01,1,10.00,0,y"],
+    DAY[2]: ["o2,d,q,2025-02-01,7,10.00,0,x", "o3,e,q,2025-02-01,4,10.00,0,y", "o4,c,p,2025-02-01,1,10.00,0,x"],
+}
+
+
+def ingest(spark, root):
+    ingest_new_files(spark, f"{root}/files", f"{root}/lake", f"{root}/progress")
+
+
+def contents(spark, root):
+    """The rows of all tables that readers see."""
+    lake = f"{root}/lake"
+    fact = fact_table(spark, lake).read().drop("ingestion_ts")
+    found = {"fact": fact, **{name: load_aggregate(spark, lake, name) for name in TABLES}, "report": stored_report(spark, lake, AS_OF)}
+    return {name: sorted(map(str, df.collect())) for name, df in found.items()}
+
+
+def rebuilt(spark, root):
+    run_nightly(spark, f"{root}/files", f"{root}/rebuilt/lake", dt.datetime(2025, 2, 2), AS_OF, full_rebuild=True, gate=False)
+    return contents(spark, f"{root}/rebuilt")
+
+
+def follows(spark, lake):
+    """Every table is what its plain form makes of the whole fact."""
+    fact = fact_table(spark, lake).read()
+    plain = {
+        "agg_daily_sales": kpis.daily_sales,
+        "agg_monthly_revenue": kpis.monthly_revenue,
+        "agg_product_performance": kpis.product_performance,
+        "agg_customer_rfm": kpis.customer_rfm,
+    }
+    for name, compute in plain.items():
+        assert sorted(map(str, load_aggregate(spark, lake, name).collect())) == sorted(map(str, compute(fact).collect())), name
+    assert sorted(map(str, stored_report(spark, lake, AS_OF).collect())) == sorted(map(str, quality_report(fact, AS_OF).collect()))
+
+
+def test_days_backwards_give_what_a_rebuild_gives(spark, tmp_path):
+    for day in reversed(DAY):
+        write_day(tmp_path / "files", day, LINES[day])
+        ingest(spark, tmp_path)
+    assert contents(spark, tmp_path) == rebuilt(spark, tmp_path)
+    follows(spark, f"{tmp_path}/lake")
+    ids = fact_table(spark, f"{tmp_path}/lake").read().select("order_id", "quantity").collect()
+    assert sorted(map(tuple, ids)) == [("o1", 5), ("o2", 7), ("o3", 4), ("o4", 1)]
+
+
+@pytest.mark.parametrize("order", list(itertools.permutations(range(3))), ids=str)
+def test_days_in_any_order_give_the_same_history(spark, tmp_path, order):
+    parts = []
+    for day in DAY:
+        rows = [line.split(",") for line in LINES[day]]
+        lines = facts(spark, [(o, c, p, g, moment, int(n), price, d) for o, c, p, moment, n, price, d, g in rows])
+        stamp = {"ingestion_ts": "timestamp_ntz", "run_date": "date", "file": "string"}
+        values = dict(zip(stamp, [None, day, str(day)]))
+        parts.append(staged(lines.withColumns({name: F.lit(values[name]).cast(kind) for name, kind in stamp.items()}), "day"))
+    table, whole = OrderTable(spark, f"{tmp_path}/in-turn"), OrderTable(spark, f"{tmp_path}/at-once")
+    for k in order:
+        table.take(parts[k])
+    whole.rebuild(staged(parts[0].unionByName(parts[1]).unionByName(parts[2]), "days"))
+    columns = ["order_id", "product_id", "quantity", "file", "current", "spans"]
+    found = [sorted(map(str, each.history().select(*columns).collect())) for each in (table, whole)]
+    # Of older versions it is of no account whether they span months.
+    plain = [[row for row in rows if "current=True" in row] for rows in found]
+    assert plain[0] == plain[1] and len(found[0]) == len(found[1])
+
+
+def test_a_late_older_file_does_not_replace_the_newer_version(spark, tmp_path):
+    write_day(tmp_path / "files", dt.date(2025, 1, 7), ["o1,c,p,2025-01-07,5,10.00,0,x"])
+    ingest(spark, tmp_path)
+    write_day(tmp_path / "files", dt.date(2025, 1, 6), ["o1,c,p,2025-01-06,2,10.00,0,x"])
+    ingest(spark, tmp_path)
+    table = fact_table(spark, f"{tmp_path}/lake")
+    assert [r["quantity"] for r in table.read().collect()] == [5]
+    # The older version is kept, and seen by nobody.
+    assert sorted(map(tuple, table.history().select("quantity", "current").collect())) == [(2, False), (5, True)]
+
+
+def test_a_redelivered_file_replaces_what_it_said(spark, tmp_path):
+    for day in DAY:
+        write_day(tmp_path / "files", day, LINES[day])
+    ingest(spark, tmp_path)
+    # The last day comes again: o2 and o3 fall back to their versions before, o4 changes.
+    write_day(tmp_path / "files", DAY[2], ["o4,c,p,2025-02-01,3,10.00,0,x", "o5,c,p,2025-02-01,1,10.00,0,x"])
+    ingest(spark, tmp_path)
+    found = contents(spark, tmp_path)
+    assert found == rebuilt(spark, tmp_path)
+    follows(spark, f"{tmp_path}/lake")
+    rows = fact_table(spark, f"{tmp_path}/lake").read().select("order_id", "quantity").collect()
+    assert sorted(map(tuple, rows)) == [("o1", 5), ("o2", 1), ("o3", 1), ("o3", 1), ("o4", 3), ("o5", 1)]
+    # And to nothing but a header.
+    write_day(tmp_path / "files", DAY[1], [])
+    ingest(spark, tmp_path)
+    assert contents(spark, tmp_path) == rebuilt(spark, tmp_path)
+    rows = fact_table(spark, f"{tmp_path}/lake").read().select("order_id", "quantity").collect()
+    assert sorted(map(tuple, rows)) == [("o1", 1), ("o1", 2), ("o2", 1), ("o4", 3), ("o5", 1)]
+
+
+def test_two_files_of_a_day_count_together(spark, tmp_path):
+    for name, line in [("a", "o1,c,p,2025-01-05,1,10.00,0,x"), ("b", "o1,c,q,2025-01-05,2,10.00,0,x")]:
+        os.makedirs(f"{tmp_path}/files/20250105", exist_ok=True)
+        with open(f"{tmp_path}/files/20250105/{name}.csv", "w") as out:
+            out.write("order_id,customer_id,product_id,order_date,quantity,unit_price,discount,category\n" + line + "\n")
+        ingest(spark, tmp_path)
+    assert sorted(r["quantity"] for r in fact_table(spark, f"{tmp_path}/lake").read().collect()) == [1, 2]
+    assert contents(spark, tmp_path) == rebuilt(spark, tmp_path)
+
+
+def test_random_deliveries(spark, tmp_path):
+    """Days come, come again with other lines, and are taken in by either job."""
+    pick = random.Random(7)
+
+    def lines():
+        return [
+            f"o{pick.randrange(6)},c{pick.randrange(3)},p{pick.randrange(3)},2025-0{pick.randrange(1, 4)}-15,{pick.randrange(1, 9)},10.00,0,x"
+            for _ in range(pick.randrange(0, 8))
+        ]
+
+    days = [dt.date(2025, 1, k) for k in (5, 6, 7, 8)]
+    for step in range(3):
+        for day in pick.sample(days, pick.randrange(1, 3)):
+            write_day(tmp_path / "files", day, lines())
+        if step % 2:
+            run_nightly(spark, f"{tmp_path}/files", f"{tmp_path}/lake", dt.datetime(2025, 2, 2, step), AS_OF, gate=False)
+        else:
+            ingest(spark, tmp_path)
+    assert contents(spark, tmp_path) == rebuilt(spark, tmp_path)
+    follows(spark, f"{tmp_path}/lake")
+
+
+def test_files_taken_in_are_not_read_again(spark, tmp_path):
+    write_day(tmp_path / "files", DAY[0], LINES[DAY[0]])
+    ingest(spark, tmp_path)
+    lake = f"{tmp_path}/lake"
+    version = fact_table(spark, lake).live()[0]
+    again = run_nightly(spark, f"{tmp_path}/files", lake, dt.datetime(2025, 2, 2), AS_OF, gate=False)
+    assert again.audit["input_rows"] == 0 and fact_table(spark, lake).live()[0] == version
+    entries = ledger(spark, lake).entries().collect()
+    assert [(r["done"], r["months"]) for r in entries] == [(True, [2025 * 12])]
+
+
+@pytest.mark.parametrize("fails", ["fact", "aggregates", "ledger"])
+def test_a_run_that_dies_is_made_up_for(spark, tmp_path, monkeypatch, fails):
+    write_day(tmp_path / "files", DAY[1], LINES[DAY[1]])
+    ingest(spark, tmp_path)
+    # Moves o3 out of January: a second try no longer sees that it was there.
+    write_day(tmp_path / "files", DAY[2], LINES[DAY[2]])
+
+    def lost(*args, **options):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patch:
+        if fails == "fact":
+            patch.setattr(OrderTable, "_publish", lost)
+        elif fails == "aggregates":
+            patch.setattr(tables, "write_aggregates", lost)
+        else:
+            record = tables.Ledger.record
+            patch.setattr(tables.Ledger, "record", lambda self, files, done, **o: lost() if done else record(self, files, done, **o))
+        with pytest.raises(Exception, match="lost"):
+            ingest(spark, tmp_path)
+    ingest(spark, tmp_path)
+    follows(spark, f"{tmp_path}/lake")
+    rows = fact_table(spark, f"{tmp_path}/lake").read().select("order_id", "quantity").collect()
+    assert sorted(map(tuple, rows)) == [("o1", 5), ("o2", 7), ("o3", 4), ("o4", 1)]
+
+
+def test_a_day_reads_the_lines_of_its_months_only(spark, tmp_path, monkeypatch):
+    for month in range(1, 7):
+        write_day(tmp_path / "files", dt.date(2025, month, 5), [f"m{month},c,p,2025-0{month}-05,1,10.00,0,x"])
+    ingest(spark, tmp_path)
+    opened = []
+    plain = MonthlyTable._open
+
+    def recorded(self, live, months=None):
+        opened.append((self.path.rsplit("/", 1)[1], frozenset(live if months is None else months)))
+        return plain(self, live, months)
+
+    monkeypatch.setattr(MonthlyTable, "_open", recorded)
+    write_day(tmp_path / "files", dt.date(2025, 6, 6), ["m7,c,p,2025-06-06,1,10.00,0,x"])
+    ingest(spark, tmp_path)
+    assert {months for name, months in opened if name == "fact_orders"} <= {frozenset({(2025, 6)}), frozenset()}
+    # A correction of two older orders opens their months besides.
+    opened.clear()
+    write_day(tmp_path / "files", dt.date(2025, 6, 7), ["m2,c,p,2025-06-07,1,10.00,0,x", "m4,c,p,2025-04-07,1,10.00,0,x"])
+    ingest(spark, tmp_path)
+    months = set().union(*(months for name, months in opened if name == "fact_orders"))
+    assert months == {(2025, 2), (2025, 4), (2025, 6)}
+
+
+def test_marks_miss_no_key(spark):
+    """Months of one block and of several; few keys that are not there are taken for such."""
+    many = [(2025, 1, f"a{k}") for k in range(5000)] + [(2025, 2, f"b{k}") for k in range(900)] + [(2024, 12, None)]
+    lines = spark.createDataFrame(many, "order_year int, order_month int, order_id string")
+    marks = staged(key_marks(lines), "marks")
+    assert {row["level"] for row in marks.collect()} == {0, 3}
+    present = {(name, year, month) for year, month, name in many if name}
+    for few in (True, False):
+        found = marked_keys(marks, staged_keys(lines)._replace(few=few)).collect()
+        assert present <= set(map(tuple, found)) and len(found) < len(present) + 5
+        absent = staged_keys(spark.createDataFrame([(f"no{k}",) for k in range(20_000)], "order_id string"))._replace(few=few)
+        assert marked_keys(marks, absent).count() < 5
+    assert marked_keys(marks.limit(0), staged_keys(lines)).collect() == []
+
+
+# States of months
+
+
+def spanning_facts(spark):
+    rows = [("A", "c1", "p", "x", "2025-01-31", 1), ("A", "c1", "p", "x", "2025-02-01", 2), ("A", "c1", "q", "x", "2025-02-01", 2)]
+    rows += [("B", "c1", "p", "x", "2025-01-05", 3), ("B", "c1", "p", "x", "2025-01-05", 1), ("C", "c2", "p", "y", "2025-03-01", 1)]
+    lines = facts(spark, [(o, c, p, g, day, n, "2.50", "0") for o, c, p, g, day, n in rows])
+    return lines.withColumns({"run_date": F.lit(None).cast("date"), "file": F.lit("f")})
+
+
+@pytest.mark.parametrize("known", [True, False], ids=["spans known", "spans not known"])
+def test_states_of_months_add_up(spark, known):
+    lines = spanning_facts(spark)
+    fact = mark_newest(lines).where("current") if known else lines
+    same = lambda a, b: sorted(map(str, a.collect())) == sorted(map(str, b.collect()))
+    assert same(kpis.product_performance_of(kpis.product_states(fact)), kpis.product_performance(lines))
+    assert same(kpis.customer_rfm_of(kpis.customer_states(fact)), kpis.customer_rfm(lines))
+    for key in [("order_id",), ("order_id", "product_id"), ("customer_id",)]:
+        for as_of in (dt.date(2025, 2, 2), dt.date(2025, 1, 6), dt.date(2030, 1, 1)):
+            assert same(quality_report_of(check_states(fact, *key), as_of), quality_report(lines, as_of, *key))
+    empty = quality_report_of(check_states(fact.limit(0)), AS_OF)
+    assert same(empty, quality_report(lines.limit(0), AS_OF))
+
+
+def test_keys_with_nulls_add_up(spark):
+    lines = spanning_facts(spark).withColumn("order_id", F.when(F.col("order_id") != "B", F.col("order_id")))
+    fact = mark_newest(lines).where("current")
+    for key in [("order_id",), ("order_id", "product_id")]:
+        one, other = quality_report_of(check_states(fact, *key), AS_OF), quality_report(lines, AS_OF, *key)
+        assert sorted(map(str, one.collect())) == sorted(map(str, other.collect()))
+
+
+def test_orders_that_span_months_are_marked(spark):
+    marked = mark_newest(spanning_facts(spark)).groupBy("order_id").agg(F.max("spans").alias("spans"), F.min("spans").alias("all"))
+    assert sorted(map(tuple, marked.collect())) == [("A", True, True), ("B", False, False), ("C", False, False)]

@@ -15,7 +15,7 @@ from orderloom.operators import kpis
 from orderloom.operators.lookups import enrich, fits_broadcast
 from orderloom.operators.quality import QualityError, duplicate_keys, enforce, quality_report
 from orderloom.operators.upsert import matched_months, matched_rows, merged, staged_keys
-from orderloom.plans.catalog import write_two_days
+from orderloom.plans.catalog import write_first_day, write_second_day
 from orderloom.plans.nightly import run_nightly
 from orderloom.plans.tables import (
     aggregate_table,
@@ -144,7 +144,7 @@ def test_aggregates_are_refreshed_for_touched_months_only(spark, tmp_path):
     before = daily.live()[1]
     touched = fact.upsert(orders(spark, ("B", "2025-03-01", 5)))
     assert touched == {(2025, 2), (2025, 3)}
-    write_aggregates(fact, str(tmp_path), touched)
+    write_aggregates(fact, str(tmp_path))
     after = daily.live()[1]
     assert after.keys() == {(2025, 1), (2025, 3)} and after[2025, 1] == before[2025, 1]
     assert {r["total_units_sold"] for r in daily.read().collect()} == {1, 5}
@@ -435,7 +435,8 @@ def test_missed_nights_give_the_same_as_every_night(spark, tmp_path):
 def test_rebuild_of_two_days_is_the_upsert(spark, tmp_path):
     files, lake = fresh_path(spark, "files"), str(tmp_path / "lake")
     lines = star.order_lines(spark, FOLDER)
-    write_two_days(lines, files)
+    write_first_day(lines, files)
+    write_second_day(lines, files)
     run_nightly(spark, files, lake, dt.datetime(2001, 8, 2), dt.date(2001, 8, 2), full_rebuild=True, gate=False)
     staging = star.as_fact(star.corrected(lines))
     expected = merged(star.as_fact(star.first_version(lines)), staging, staged_keys(staging))

@@ -10,11 +10,11 @@ from pyspark.sql import functions as F
 
 from orderloom.contracts import CORRUPT, FACT_ORDERS, RAW_ORDERS
 from orderloom.operators.cleaning import accepted, assess, drop_incomplete, ingest_audit, rejected
+from orderloom.operators.upsert import mark_newest
 from orderloom.sources.order_files import (
     SCAN_SCHEMA,
     HeaderError,
     day_file,
-    newest_versions,
     read_orders,
     schema_audit,
 )
@@ -260,7 +260,7 @@ def test_newest_version_of_a_hot_order(spark):
         "if(id % 3 < 2, 'hot', cast(id as string)) as order_id",
         "if(id % 3 = 1, date'2025-01-02', if(id % 3 = 0, date'2025-01-01', cast(null as date))) as run_date",
     )
-    left = newest_versions(lines).groupBy("order_id", "run_date").count().collect()
+    left = mark_newest(lines).where("current").groupBy("order_id", "run_date").count().collect()
     assert {r["run_date"] for r in left if r["order_id"] == "hot"} == {dt.date(2025, 1, 2)}
     assert sum(r["count"] for r in left) == 2000
 

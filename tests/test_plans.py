@@ -77,9 +77,10 @@ def test_aggregates_read_their_columns_only(spark, written):
     assert "order_id" in schema and "unit_price" not in schema and "category" not in schema
 
 
-def test_distinct_counts_group_by_the_counted_id_first(spark, written):
+def test_distinct_counts_group_by_the_counted_id_first(spark, written, written_plans):
     assert "Expand" not in plan(kpis.product_performance(spark.read.parquet(written)))
-    text = plan(kpis.monthly_revenue(spark.read.parquet(written)))
+    kpis.monthly_revenue(spark.read.parquet(written))
+    text = "\n".join(written_plans)
     shuffles = [line for line in text.splitlines() if "Exchange hashpartitioning(order_year" in line]
     for counted in ["order_id", "customer_id"]:
         assert any(counted in line for line in shuffles)

@@ -5,6 +5,7 @@ from types import SimpleNamespace
 
 import pytest
 
+from orderloom.plans.catalog import all_queries
 from orderloom.session import clear_staged, folder_exists, fresh_path, scratch, shared_folder, shuffle_settings, staged
 
 
@@ -64,3 +65,17 @@ def test_partitions_grow_with_the_shuffle():
     small, large = shuffle_settings(1 << 30, 8), shuffle_settings(10 << 40, 4000)
     assert small["spark.sql.shuffle.partitions"] == "24"
     assert int(large["spark.sql.shuffle.partitions"]) == 52429
+
+
+def test_shared_results_follow_the_tables(spark, tmp_path):
+    """A table that is replaced in the session gives the new answer."""
+    for name in ("orders", "lineitem", "part"):
+        spark.read.parquet(f"/root/testdata/sf0.001/{name}.parquet").write.parquet(f"{tmp_path}/{name}.parquet")
+    names = ["clean_orders", "discount_impact", "nightly_daily"]
+    before = {name: all_queries()[name](spark, str(tmp_path)).collect() for name in names}
+    assert {name: all_queries()[name](spark, str(tmp_path)).collect() for name in names} == before
+    few = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet").limit(100)
+    few.write.mode("overwrite").parquet(f"{tmp_path}/lineitem.parquet")
+    after = {name: all_queries()[name](spark, str(tmp_path)).collect() for name in names}
+    assert all(len(after[name]) < len(before[name]) or after[name] != before[name] for name in names)
+    assert 0 < len(after["clean_orders"]) <= 100

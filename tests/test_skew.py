@@ -39,6 +39,8 @@ CHECKED = [
     "upsert_published",
     "contract_load",
     "incremental_ingest",
+    "customer_copartitioned",
+    "distinct_rollup",
 ]
 
 
