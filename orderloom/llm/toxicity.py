@@ -1,8 +1,10 @@
 """Toxicity by a weighted lexicon, matched by Aho-Corasick after folding look-alike characters.
 
-The lexicon is a list of words known beforehand and of word beginnings that labelled texts
-show to be toxic in any language. A text's hits, weighted and set in relation to its length,
-go through a logistic curve fitted to the labels. Hits inside exception phrases do not count.
+The lexicon is a list of words known beforehand and of stems that labelled texts show to be
+toxic in any language: beginnings of words, whole words where they are short, and runs of
+characters in scripts that are written without blanks. A text's hits, weighted and set in
+relation to its length, go through a logistic curve fitted to the labels. Hits inside exception
+phrases do not count.
 """
 
 from __future__ import annotations
@@ -10,7 +12,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter, defaultdict
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -26,7 +28,10 @@ HELD_MODULUS, HELD_RESIDUE = 4, 2
 LABELLED_ROWS = 6000  # labelled documents per label that lexicon and curve are fitted to
 THRESHOLD = 0.3
 STEM_CHARS = range(4, 9)  # lengths of word beginnings that are tried
-MAX_STEMS = 400
+SHORT_CHARS = range(2, 4)  # lengths of whole words that are tried
+RUN_CHARS = range(2, 5)  # lengths of runs that are tried in scripts without blanks
+WHOLE = "$"  # after a stem that is a whole word; no letter, so in no other stem
+LEAST_GAIN = 12  # log-likelihood that a stem must tell
 
 # Words known beforehand, with the weight they have until labels say otherwise.
 SEEDS = {
@@ -57,15 +62,31 @@ _FOLD |= {code: None for code in (0x00AD, 0x200B, 0x200C, 0x200D, 0x2060, 0xFEFF
 _STANDS_FOR = str.maketrans("013457@$!|", "oieastasii")
 _SIGN = re.compile(r"[013457@$!|]")
 _DISGUISED = re.compile(r"(?<![^\W_])[a-z]*[013457@$!|][a-z013457@$!|]*[a-z](?![^\W_])")
+# A word with a letter in it that ends in a digit or sign, other than one that ends a sentence.
+_OPEN_END = re.compile(r"(?<![^\W_])[013457@$!|]*[a-z][a-z013457@$!|]*(?<=[013457@$|])(?![^\W_])")
 _WORD = re.compile(r"[^\W\d_]+")
+# Thai and Lao, Myanmar, Khmer, Japanese syllables, and Han, which set no blanks.
+_UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff]+")
 
 
-def folded(text: str) -> str:
-    """Lower case, look-alikes as Latin letters, and digits or signs inside words as letters."""
+def folded(text: str, known: Mapping[str, float] = SEEDS) -> str:
+    """Lower case, look-alikes as Latin letters, and digits or signs inside words as letters.
+
+    A word's last digits and signs are read as letters if that makes a word of the lexicon or
+    one that begins like it, since numbers and prices end so as well.
+    """
     text = text.lower()
     if not text.isascii():
         text = text.translate(_FOLD)
-    return _DISGUISED.sub(_undisguised, text) if _SIGN.search(text) else text
+    if not _SIGN.search(text):
+        return text
+    return _OPEN_END.sub(lambda found: _known_or_as_is(found.group(), known), _DISGUISED.sub(_undisguised, text))
+
+
+def _known_or_as_is(word: str, known: Mapping[str, float]) -> str:
+    letters = word.translate(_STANDS_FOR)
+    begins = any(letters[:size] in known for size in range(STEM_CHARS.start, len(letters) + 1))
+    return letters if begins or letters + WHOLE in known else word
 
 
 def _undisguised(found: re.Match) -> str:
@@ -89,19 +110,23 @@ class Matcher:
         self.weight = dict(stems)
         self.automaton = ahocorasick.Automaton()
         for stem in self.weight:
-            self.automaton.add_word(stem, (stem, False))
+            self.automaton.add_word(stem.removesuffix(WHOLE), (stem, False))
         for phrase in EXCEPTIONS:
             self.automaton.add_word(phrase, (phrase, True))
         self.automaton.make_automaton()
 
     def hits(self, text: str) -> Counter:
-        """How often each stem begins a word of a folded text outside exception phrases; of
-        stems that begin at the same place the longest counts."""
+        """How often each stem begins a word of a folded text, is that word, or, in a script
+        without blanks, is anywhere, outside exception phrases; of stems that begin at the same
+        place the longest counts."""
         at: dict[int, str] = {}
         excepted: list[tuple[int, int]] = []
         for end, (stem, exception) in self.automaton.iter(text):
-            start = end - len(stem) + 1
-            if start and text[start - 1].isalpha():
+            whole = stem.endswith(WHOLE)
+            start = end - len(stem) + 1 + whole
+            if start and text[start - 1].isalpha() and not _UNSPACED.match(stem):
+                continue
+            if whole and text[end + 1 : end + 2].isalpha():
                 continue
             if exception:
                 excepted.append((start, end))
@@ -113,7 +138,7 @@ class Matcher:
 
     def measures(self, text: str) -> tuple[float, float, float]:
         """Weight of hits per hundred words, log of their weight, and log of the words."""
-        clean = folded(text)
+        clean = folded(text, self.weight)
         words = len(clean.split())
         weight = sum(self.weight[stem] * n for stem, n in self.hits(clean).items())
         return 100 * weight / (words + 10), math.log1p(weight), math.log1p(words)
@@ -163,9 +188,20 @@ def labelled(docs: DataFrame, labels: DataFrame, rows: int = LABELLED_ROWS) -> t
     return staged(joined.select("text", "toxic", "half"), "labelled"), share
 
 
+def stems_of(word: str) -> list[str]:
+    """The stems that a word could be found by."""
+    if len(word) in SHORT_CHARS and not _UNSPACED.match(word):
+        return [word + WHOLE]
+    runs = [run for run in _UNSPACED.findall(word)] if not word.isascii() else []
+    inside = [run[k : k + size] for run in runs for size in RUN_CHARS for k in range(len(run) - size + 1)]
+    if runs:
+        return inside
+    return [word[:size] for size in STEM_CHARS if size <= len(word)]
+
+
 def stem_counts(sample: DataFrame) -> DataFrame:
-    """(stem, toxic, docs, uses): word beginnings, and whole words, in texts of either label.
-    A text counts at most 5 uses of a stem, so that no single text makes a stem."""
+    """(stem, toxic, docs, uses): what may become a stem, in texts of either label. A text counts
+    at most 5 uses of a stem, so that no single text makes a stem."""
 
     def prepare() -> Callable[[pa.RecordBatch], dict[str, object]]:
         def work(batch: pa.RecordBatch) -> dict[str, object]:
@@ -173,9 +209,8 @@ def stem_counts(sample: DataFrame) -> DataFrame:
             for text, toxic in zip(texts(batch.column(0)), batch.column(1).to_pylist()):
                 mine: Counter = Counter()
                 for word, n in Counter(_WORD.findall(folded(text))).items():
-                    for size in STEM_CHARS:
-                        if size <= len(word):
-                            mine[word[:size]] += n
+                    for stem in stems_of(word):
+                        mine[stem] += n
                 for stem, n in mine.items():
                     docs[stem, toxic] += 1
                     uses[stem, toxic] += min(n, 5)
@@ -227,21 +262,22 @@ def pick(found: list[dict], toxic: int, clean: int) -> dict[str, float]:
         gain = a * math.log(a / toxic / common) if a else 0.0
         return gain + (b * math.log(b / clean / common) if b else 0.0)
 
+    lengths = range(RUN_CHARS.start, STEM_CHARS.stop)
     taken: dict[str, float] = {}
     related: dict[str, set[str]] = defaultdict(set)
     told = {x["stem"]: (telling(x), x) for x in found}
     for start in sorted(told, key=lambda stem: (-told[stem][0], stem)):
         gain = told[start][0]
-        if len(taken) == MAX_STEMS or gain < 12:
+        if gain < LEAST_GAIN:
             break
-        if any(start[:k] in taken for k in STEM_CHARS) or related[start]:
+        if any(start[:k] in taken for k in lengths) or related[start]:
             continue
         # A longer stem that tells nearly as much is less likely to begin other words.
         alike = [stem for stem in told if stem.startswith(start) and told[stem][0] >= 0.95 * gain]
         stem = max(alike, key=lambda stem: (len(stem), told[stem][0], stem))
         x = told[stem][1]
         taken[stem] = min(ratio(x), 6.0)
-        for k in STEM_CHARS:
+        for k in lengths:
             related[stem[:k]].add(stem)
     return taken
 
@@ -259,7 +295,8 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = LABELLED_ROWS) -> Model:
         return work
 
     other = sample.where("NOT half").select("text", "toxic")
-    rows_of = batches(other, "measures array<double>, toxic int", prepare).collect()
+    # In an order of their own, so that sums do not depend on how the rows lie in files.
+    rows_of = sorted(batches(other, "measures array<double>, toxic int", prepare).collect())
     measures = np.array([row["measures"] for row in rows_of]).reshape(-1, 3)
     label = np.array([row["toxic"] for row in rows_of], float)
     weight = np.array([1 / share[row["toxic"]] for row in rows_of])
