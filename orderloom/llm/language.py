@@ -25,7 +25,7 @@ from orderloom.session import staged
 HELD_MODULUS, HELD_RESIDUE = 5, 0
 SAMPLE_DOCS = 96  # labelled documents per language that the automata are made of
 SAMPLE_BYTES = 32 << 10  # of them, which fewer documents meet where they are long
-SEGMENT = 256  # bytes parsed on end
+SEGMENT = 256  # bytes of a text that are parsed side by side with the next ones
 SURE_BYTES = 64  # the score does not grow with text beyond so many bytes
 UNKNOWN = "und"
 MIN_SCORE = 0.2  # fit of documents that the pipeline keeps
@@ -118,8 +118,10 @@ class Parser:
     def phrases(self, streams: list[np.ndarray]) -> np.ndarray:
         """Phrases of each text (rows) in each language (columns).
 
-        Texts are parsed in segments, all of them a byte at a time; a phrase that a segment's
-        end cuts is not counted for any language.
+        Texts are parsed in segments, all of them a byte at a time, each as if a phrase began
+        with it. Then the parse of each segment is carried on into the next, until it begins a
+        phrase where that one's own parse does, from where on the two are the same. So the
+        phrases are those of whole texts; only the last, which the text's end cuts, is not counted.
         """
         sizes = np.array([-(-len(x) // SEGMENT) for x in streams], np.int64)
         grid = np.zeros((int(sizes.sum()), SEGMENT), np.int64)
@@ -130,17 +132,52 @@ class Parser:
         owner = np.repeat(np.arange(len(streams)), sizes)
         out = np.zeros((len(streams), len(self.tables)))
         for k, table in enumerate(self.tables):
-            entries, restart = table.reshape(-1), np.maximum(table[0], 0)
+            breaks = np.empty(grid.shape, bool)
             state = np.zeros(grid.shape[1], np.int64)
-            count = np.zeros(grid.shape[1], np.int64)
-            for symbol in grid:
-                move = entries.take(state * self.width + symbol)
-                stuck = move < 0
-                count += stuck
-                state = np.where(stuck, restart.take(symbol), move).astype(np.int64, copy=False)
+            for place, symbol in enumerate(grid):
+                state, breaks[place] = self._step(table, state, symbol)
+            count, ends = breaks.sum(axis=0), state.copy()
+            inner = np.flatnonzero(owner[1:] == owner[:-1]) + 1
+            while len(inner):
+                was = ends.copy()
+                self._carry(table, grid, breaks, inner, state, ends, count)
+                after = np.flatnonzero(ends != was) + 1
+                after = after[after < len(owner)]
+                inner = after[owner[after] == owner[after - 1]]
             out[:, k] = np.bincount(owner, weights=count, minlength=len(streams))
         return out
 
+    def _step(self, table: np.ndarray, state: np.ndarray, symbol: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The states after a byte, and where a phrase had to begin with it."""
+        move = table.reshape(-1).take(state * self.width + symbol)
+        stuck = move < 0
+        return np.where(stuck, np.maximum(table[0], 0).take(symbol), move).astype(np.int64, copy=False), stuck
+
+    def _carry(
+        self,
+        table: np.ndarray,
+        grid: np.ndarray,
+        breaks: np.ndarray,
+        columns: np.ndarray,
+        own: np.ndarray,
+        ends: np.ndarray,
+        count: np.ndarray,
+    ) -> None:
+        """Parse some segments from the states that the ones before end in, and put right their
+        `count` and `ends`. `own` are the ends of the segments' own parses, with `breaks`."""
+        state, carried = ends[columns - 1], np.zeros(len(columns), np.int64)
+        for place in range(len(grid)):
+            state, stuck = self._step(table, state, grid[place, columns])
+            carried += stuck
+            met = stuck & breaks[place, columns]
+            if met.any():
+                same = columns[met]
+                count[same], ends[same] = breaks[place + 1 :, same].sum(axis=0) + carried[met], own[same]
+                columns, state, carried = columns[~met], state[~met], carried[~met]
+                if not len(columns):
+                    return
+        count[columns], ends[columns] = carried, state
+
     def judge(self, found: list[str]) -> list[tuple[str, float, float]]:
         """Language, score and fit of each text.
 
@@ -301,7 +338,8 @@ def identify(docs: DataFrame, model: Model | None = None) -> DataFrame:
 def identified(docs: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
     """The rows whose text fits a language that was learned by `min_score` or more; all columns
     unchanged. Text of no known language does not fit the nearest one either; a short text
-    stays, also where it could be of several."""
+    stays, also where it could be of several. Null, empty and letterless texts are of none and
+    go; repeated rows are judged alike."""
     ship(docs.sparkSession)
     told = docs.sparkSession.sparkContext.broadcast(learn(docs))
     at = docs.columns.index("text")
