@@ -12,7 +12,7 @@ import csv
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 FIRST_LINES = "file string, header array<string>"
@@ -27,14 +27,13 @@ _ONE_PART_A_TASK = {
 _READ_ON = 32  # batches that are cheaper to read than a new worker is to start
 
 
-def first_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """(file, header): the fields of the first line of each file that is not blank.
+def first_lines(spark: SparkSession, paths: list[str]) -> dict[str, tuple[str, ...]]:
+    """The fields of the first line that is not blank, by file, of files that have one.
 
-    There is a row per file, as there is a path per file in every scan of them, so the rows pass
-    through the driver.
+    There is an entry per file, as there is a path per file in every scan of them.
     """
     if not paths:
-        return spark.createDataFrame([], FIRST_LINES)
+        return {}
     shape = pa.schema([("file", pa.string()), ("header", pa.list_(pa.string()))])
 
     # Nested, so that it is sent to workers as it is and they need not have this package.
@@ -61,4 +60,4 @@ def first_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
         own.conf.set(key, value)
     places = [F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start")]
     rows = own.read.text(paths).select(*places, "value").mapInArrow(first, FIRST_LINES).collect()
-    return spark.createDataFrame(rows, FIRST_LINES)
+    return {row["file"]: tuple(row["header"]) for row in rows}

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orderloom.contracts import CORRUPT, CRITICAL, FILE, RAW_ORDERS, RUN_DATE
-from orderloom.sources.headers import first_lines
+from orderloom.sources.headers import FIRST_LINES, first_lines
 
 SCAN_SCHEMA = T.StructType(
     [
@@ -62,22 +62,19 @@ def listed_files(spark: SparkSession, path: str | list[str]) -> DataFrame:
 _LISTED = ["path", f"_metadata.file_path AS {FILE}", "length", "modificationTime AS modified"]
 
 
-def headers(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """(file, header): the names in the first line of each file, none of files without lines."""
-    return first_lines(spark, paths)
-
-
 def paths_of(files: DataFrame) -> list[str]:
     """The paths of listed files, which a scan of them has to hold in the driver anyway."""
     return [row["path"] for row in files.select("path").orderBy("path").collect()]
 
 
 def by_header(spark: SparkSession, files: DataFrame) -> dict[tuple[str, ...], list[str]]:
-    """The paths of each header among listed files."""
-    named = files.join(headers(spark, paths_of(files)), FILE).select("header", "path")
+    """The paths of each header among listed files; files without lines have none."""
+    listed = sorted((row["path"], row[FILE]) for row in files.select("path", FILE).collect())
+    found = first_lines(spark, [path for path, _ in listed])
     groups: dict[tuple[str, ...], list[str]] = defaultdict(list)
-    for row in named.orderBy("path").collect():
-        groups[tuple(row["header"])].append(row["path"])
+    for path, file in listed:
+        if file in found:
+            groups[found[file]].append(path)
     return dict(groups)
 
 
@@ -136,7 +133,8 @@ def schema_audit(spark: SparkSession, path: str) -> DataFrame:
         return spark.createDataFrame([], "file_group string, files long, folders long, lines long, column string, finding string")
     filled = F.count_if(F.length(F.trim(F.col("value"))) > 0) - 1
     lines = spark.read.text(paths).groupBy(F.col("_metadata.file_path").alias(FILE)).agg(filled.alias("lines"))
-    groups = headers(spark, paths).join(lines, FILE).groupBy("header").agg(
+    found = spark.createDataFrame(list(first_lines(spark, paths).items()), FIRST_LINES)
+    groups = found.join(lines, FILE).groupBy("header").agg(
         F.count(F.lit(1)).alias("files"),
         F.count_distinct(F.regexp_replace(FILE, "/[^/]*$", "")).alias("folders"),
         F.sum("lines").alias("lines"),

@@ -170,8 +170,8 @@ def test_first_lines_of_many_files(spark, tmp_path):
     (tmp_path / "blank.csv").write_text("\n \n")
     paths = paths_of(listed_files(spark, str(tmp_path)))
     assert len(paths) == 13  # a file without bytes is not listed
-    found = {row["file"].rsplit("/", 1)[1]: row["header"] for row in first_lines(spark, paths).collect()}
-    assert found == {f"{k}.csv": ["a", f"b{k % 2}", "c"] for k in range(12)}
+    found = {file.rsplit("/", 1)[1]: header for file, header in first_lines(spark, paths).items()}
+    assert found == {f"{k}.csv": ("a", f"b{k % 2}", "c") for k in range(12)}
 
 
 def test_schema_audit_counts_lines_and_folders(spark, tmp_path):
