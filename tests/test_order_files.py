@@ -259,6 +259,8 @@ def test_newest_version_of_a_hot_order(spark):
     lines = spark.range(3000).selectExpr(
         "if(id % 3 < 2, 'hot', cast(id as string)) as order_id",
         "if(id % 3 = 1, date'2025-01-02', if(id % 3 = 0, date'2025-01-01', cast(null as date))) as run_date",
+        "2025 as order_year",
+        "1 as order_month",
     )
     left = mark_newest(lines).where("current").groupBy("order_id", "run_date").count().collect()
     assert {r["run_date"] for r in left if r["order_id"] == "hot"} == {dt.date(2025, 1, 2)}
