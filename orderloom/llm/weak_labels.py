@@ -19,12 +19,11 @@ from orderloom.llm.common import batches, ship, texts
 from orderloom.llm.quality_rules import Facts
 
 GOOD, BAD, SILENT = 1, 0, 2
-TRAIN_ROWS = 4000  # documents the scorer is trained on, a random sample
+TRAIN_ROWS = 4000  # distinct texts the scorer is trained on, about, picked by their hash
 BUCKETS = 1 << 14
 THRESHOLD = 0.2  # below it a document counts as junk; in doubt it stays
 STEPS = 400
-LONGEST = 64  # kinds in a word's shape; longer words count by their steps from kind to kind
-LONG = "long"  # their shape
+_PLAIN = {kind + last for kind in ("a", "Aa") for last in ("", ".", ",")}  # shapes of ordinary words
 
 
 def _share(part: float, whole: float) -> float:
@@ -183,12 +182,7 @@ def shape(word: str) -> str:
             return "a" + last
         if stem[0].isupper() and stem[1:].islower():
             return "Aa" + last
-    return _any_shape(word)
-
-
-def _any_shape(word: str) -> str:
-    out = _kinds(word)
-    return "".join(out) if len(out) <= LONGEST else LONG
+    return "".join(_kinds(word))
 
 
 def _kinds(word: str) -> list[str]:
@@ -208,7 +202,7 @@ def _bucket(feature: str) -> int:
 
 def features(text: str) -> tuple[np.ndarray, np.ndarray]:
     """Hashed features and values: shapes of words and of word pairs by their share, echoes,
-    and the share of distinct words in steps. Words of long shapes, such as lines of a script
+    and the share of distinct words in steps. Words that are not plain, such as lines of a script
     without blanks, add the steps from kind to kind in them, by the characters they make up."""
     words = text.split()
     n = len(words)
@@ -220,16 +214,14 @@ def features(text: str) -> tuple[np.ndarray, np.ndarray]:
         found[_bucket(f"1 {kind}")] += (times / n) ** 0.5
     for (a, b), times in Counter(zip(kinds, kinds[1:])).items():
         found[_bucket(f"2 {a} {b}")] += (times / n) ** 0.5
-    if LONG in kinds:
-        long = [word for word, kind in zip(words, kinds) if kind == LONG]
+    mixed = [(word, kind) for word, kind in zip(words, kinds) if kind not in _PLAIN]
+    if mixed:
         steps: Counter = Counter()
-        for word in long:
-            inside = _kinds(word)
-            steps.update(zip(inside, inside[1:]))
-        total, share = sum(steps.values()), sum(map(len, long)) / sum(map(len, words))
+        for _, kind in mixed:
+            steps.update(zip(kind, kind[1:]))
+        total, share = sum(steps.values()), sum(len(word) for word, _ in mixed) / sum(map(len, words))
         for (a, b), times in steps.items():
             found[_bucket(f"3 {a} {b}")] += (times / total * share) ** 0.5
-        found[_bucket(f"steps {total.bit_length()}")] += share**0.5
     echoes = sum(map(eq, words, words[1:])) / n
     found[_bucket(f"echoes {int(10 * echoes)}")] += 1
     top = max(Counter(words).values()) / n if n >= 20 else 0
@@ -273,11 +265,15 @@ def train(samples: list[tuple[list[int], list[float], float]], steps: int = STEP
 
 def fit(docs: DataFrame, train_rows: int = TRAIN_ROWS) -> Scorer:
     """The scorer for these documents: labellers' accuracies from the votes of all of them,
-    weights from a random sample of about `train_rows`."""
+    weights from about `train_rows` distinct texts.
+
+    Texts are picked by a hash and put in its order, so the scorer follows from the rows alone,
+    not from how they lie in files, and copies of a text are one.
+    """
     ship(docs.sparkSession)
-    counts = vote_counts(docs)
-    model = fit_labels(counts)
-    total = sum(counts.values())
+    model = fit_labels(vote_counts(docs))
+    rows = docs.select(F.coalesce("text", F.lit("")).alias("text")).withColumn("mark", F.xxhash64("text"))
+    total = rows.select("mark").distinct().count()
 
     def prepare() -> Callable[[pa.RecordBatch], dict[str, object]]:
         def work(batch: pa.RecordBatch) -> dict[str, object]:
@@ -285,6 +281,7 @@ def fit(docs: DataFrame, train_rows: int = TRAIN_ROWS) -> Scorer:
             hashed = list(map(features, found))
             pattern = np.array(list(map(votes, found)), np.int64)
             return {
+                "mark": batch.column(1),
                 "at": [x[0].tolist() for x in hashed],
                 "value": [x[1].tolist() for x in hashed],
                 "label": model.posterior(pattern) if len(pattern) else [],
@@ -292,9 +289,12 @@ def fit(docs: DataFrame, train_rows: int = TRAIN_ROWS) -> Scorer:
 
         return work
 
-    picked = docs.select("text").sample(min(1.0, train_rows / max(total, 1)), seed=11)
-    rows = batches(picked, "at array<int>, value array<double>, label double", prepare).collect()
-    return train([(row["at"], row["value"], row["label"]) for row in rows])
+    # The upper bits of a hash of the hash, as texts are told apart by the hash itself.
+    place = F.shiftrightunsigned(F.xxhash64("mark"), 33)
+    picked = rows.where(place < int(min(1.0, train_rows / max(total, 1)) * (1 << 31)))
+    distinct = picked.groupBy("mark").agg(F.any_value("text").alias("text")).select("text", "mark")
+    found = batches(distinct, "mark long, at array<int>, value array<double>, label double", prepare).collect()
+    return train([(row["at"], row["value"], row["label"]) for row in sorted(found, key=lambda row: row["mark"])])
 
 
 def weak_label_scores(docs: DataFrame, train_rows: int = TRAIN_ROWS, threshold: float = THRESHOLD) -> DataFrame:
@@ -319,7 +319,11 @@ def weak_label_scores(docs: DataFrame, train_rows: int = TRAIN_ROWS, threshold:
 
 
 def kept_documents(docs: DataFrame, train_rows: int = TRAIN_ROWS, threshold: float = THRESHOLD) -> DataFrame:
-    """The rows whose text scores `threshold` or more, all columns unchanged."""
+    """The rows whose text scores `threshold` or more, all columns unchanged.
+
+    A null or empty text scores as `weak_label_scores` says, and repeated rows alike; an empty
+    table stays empty.
+    """
     scorer = docs.sparkSession.sparkContext.broadcast(fit(docs, train_rows))
     at = docs.columns.index("text")
 
