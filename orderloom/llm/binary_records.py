@@ -22,10 +22,12 @@ from pyspark.sql import functions as F
 
 from orderloom.llm.common import batches, texts
 from orderloom.llm.token_ids import default_file, encoder
-from orderloom.session import fresh_path
+from orderloom.operators.lookups import sized
+from orderloom.session import fresh_path, staged
 
 END_ID = 2
 FILE_BYTES = 16 << 20  # text that goes to one file, so that a file fits a task
+FILES_IN_BLOCK = 4096  # files that are summed up before the sums are
 _HEAD = struct.Struct("<QI")
 _BODY = struct.Struct("<Bq")
 _CRC = struct.Struct("<I")
@@ -85,7 +87,7 @@ def write_records(
     file_bytes: int = FILE_BYTES,
     added: bool = False,
 ) -> None:
-    """Write the encoded documents to `path`, in ascending doc_id over the files by name.
+    """Write the encoded documents to `path`, in ascending doc_id over the files by number.
 
     Each text is followed by `end_id`. A null text counts as empty; rows without id come
     first; rows of one id are ordered by text; other columns are ignored; an empty table
@@ -139,26 +141,38 @@ def write_index(spark: SparkSession, path: str, target: str) -> DataFrame:
     return spark.read.schema(INDEX).parquet(target)
 
 
-def starts(index: DataFrame) -> DataFrame:
+def starts(index: DataFrame, block: int = FILES_IN_BLOCK) -> DataFrame:
     """The index with `start`: the ids of all records before, over all files in order.
 
-    Only a row per file is put in order in one task.
+    Files are in order of the number in their names, which has five digits or as many as it
+    takes. Files are summed up inside blocks of so many numbers, blocks in one task.
     """
-    totals = index.groupBy("file").agg(F.sum("n_tokens").alias("all"))
-    earlier = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
-    bases = totals.select("file", F.coalesce(F.sum("all").over(earlier), F.lit(0)).alias("base"))
-    return index.join(bases, "file").withColumn("start", F.col("base") + F.col("before"))
+    number = F.regexp_extract("file", r"part-(\d+)", 1).cast("long")
+    totals = index.groupBy("file").agg(F.sum("n_tokens").alias("all")).withColumn("number", number)
+    totals = totals.withColumn("block", F.floor(F.col("number") / F.lit(block)))
+    so_far = Window.rowsBetween(Window.unboundedPreceding, -1)
+    within = Window.partitionBy("block").orderBy("number", "file").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = totals.groupBy("block").agg(F.sum("all").alias("whole"))
+    bases = blocks.select("block", F.coalesce(F.sum("whole").over(so_far.orderBy("block")), F.lit(0)).alias("base"))
+    files = totals.withColumn("inside", F.coalesce(F.sum("all").over(within), F.lit(0))).join(bases, "block")
+    files = files.select("file", (F.col("base") + F.col("inside")).alias("base"))
+    return index.join(files, "file").withColumn("start", F.col("base") + F.col("before"))
 
 
 def fetch(spark: SparkSession, path: str, index: DataFrame, wanted: DataFrame) -> DataFrame:
     """(doc_id, ids) of the documents whose id is in `wanted`, by their places in the index.
 
-    Only files that hold one of them are opened; each id of `wanted` counts once.
+    Only files that hold one of them are listed and opened; their paths are handed to the scan
+    by the driver. Each id of `wanted` counts once, and all documents of an id are given; a null
+    id names no document. `index` should be a written table.
     """
     chosen = index.join(wanted.select("doc_id").distinct(), "doc_id", "left_semi")
-    places = chosen.groupBy("file").agg(F.collect_list("place").alias("places"))
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path)
-    both = files.join(places, files["path"] == places["file"]).select("content", "places")
+    places = staged(chosen.groupBy("file").agg(F.collect_list("place").alias("places")), "record-places")
+    paths = [row["file"] for row in places.select("file").collect()]
+    if not paths:
+        return spark.createDataFrame([], "doc_id long, ids array<long>")
+    files = spark.read.format("binaryFile").load(paths)
+    both = files.join(sized(places), files["path"] == places["file"]).select("content", "places")
 
     def prepare() -> Callable[[pa.RecordBatch], dict[str, object]]:
         def work(batch: pa.RecordBatch) -> dict[str, object]:
