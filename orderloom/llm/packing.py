@@ -1,9 +1,9 @@
 """Best-fit packing with exact complements, planned on the histogram of piece lengths.
 
 Pieces of one length are alike, so a plan over at most `capacity` lengths and their counts
-fits the driver whatever the number of documents. The histogram is the index: a gap is looked
-up as a single length, then as a sum of two, then of three, and a combination that fills it
-exactly is taken as often as its counts allow. What is left goes best-fit, longest first.
+fits the driver whatever the number of documents. Sums of one, two and three lengths are indexed:
+a gap is looked up as a single length, then as a pair, then as a triple, and a combination that
+fills it exactly is taken as often as its counts allow. What is left goes best-fit, longest first.
 """
 
 from __future__ import annotations
@@ -49,52 +49,83 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[Group]:
     return groups + _best_fit(left, capacity)
 
 
+class SumIndex:
+    """Which lengths are there, indexed by the sums of one, two and three of them.
+
+    For every sum there is a row of the pairs that make it up, by their longer part; it follows
+    every change of what is there, so no pair is ever looked for. A triple is a length and a pair
+    of the sum that is left.
+    """
+
+    def __init__(self, left: np.ndarray):
+        self.left = left
+        self.capacity = len(left) - 1
+        self.pairs = np.zeros((len(left), len(left)), bool)
+        for length in np.flatnonzero(left):
+            self._enter(int(length))
+
+    def take(self, length: int, count: int = 1) -> None:
+        self._set(length, int(self.left[length]) - count)
+
+    def give(self, length: int) -> None:
+        self._set(length, int(self.left[length]) + 1)
+
+    def _set(self, length: int, count: int) -> None:
+        before = min(int(self.left[length]), 2)
+        self.left[length] = count
+        if min(count, 2) != before:
+            self._enter(length)
+
+    def _enter(self, length: int) -> None:
+        """Put right the pairs that a length is part of."""
+        others = np.flatnonzero(self.left[: self.capacity - length + 1])
+        others = others[(others > 0) & (others != length)]
+        self.pairs[others + length, np.maximum(others, length)] = self.left[length] > 0
+        if 2 * length <= self.capacity:
+            self.pairs[2 * length, length] = self.left[length] > 1
+
+    def pair(self, total: int) -> tuple[int, int] | None:
+        """Two lengths of this sum, the first the longer and as long as possible."""
+        longer = total - int(self.pairs[total, total::-1].argmax())
+        return (longer, total - longer) if self.pairs[total, longer] else None
+
+    def filling(self, gap: int) -> tuple[int, ...] | None:
+        """At most three lengths that add up to the gap, the longest first."""
+        if not gap:
+            return ()
+        if self.left[gap]:
+            return (gap,)
+        pair = self.pair(gap)
+        if pair:
+            return pair
+        longest = np.arange(gap - 2, (gap - 1) // 3, -1)
+        longest = longest[self.left[longest] > 0]
+        for length in longest[self.pairs[gap - longest].any(axis=1)].tolist():
+            self.take(length)  # it is not there to be in the pair as well
+            pair = self.pair(gap - length)
+            self.give(length)
+            if pair and pair[0] <= length:
+                return (length, *pair)
+        return None
+
+
 def _complements(left: np.ndarray, capacity: int) -> list[Group]:
-    groups = []
+    index, groups = SumIndex(left), []
     for length in range(capacity, 0, -1):
         while left[length]:
-            left[length] -= 1  # the piece whose gap is to be filled is not there to fill it
-            filling = _filling(left, capacity - length)
-            left[length] += 1
+            index.take(length)  # the piece whose gap is to be filled is not there to fill it
+            filling = index.filling(capacity - length)
+            index.give(length)
             if filling is None:
                 break
             need = Counter((length, *filling))
             times = min(int(left[size]) // n for size, n in need.items())
             for size, n in need.items():
-                left[size] -= n * times
+                index.take(size, n * times)
             groups.append(Group(tuple(sorted(need.items(), reverse=True)), times))
     return groups
 
 
-def _filling(left: np.ndarray, gap: int) -> tuple[int, ...] | None:
-    """At most three available lengths that add up to the gap, the longest first."""
-    if not gap:
-        return ()
-    if left[gap]:
-        return (gap,)
-    pair = _pair(left, gap)
-    if pair:
-        return pair
-    for longest in range(gap - 2, (gap - 1) // 3, -1):
-        if left[longest]:
-            left[longest] -= 1
-            pair = _pair(left, gap - longest)
-            left[longest] += 1
-            if pair and pair[0] <= longest:
-                return (longest, *pair)
-    return None
-
-
-def _pair(left: np.ndarray, total: int) -> tuple[int, int] | None:
-    """Two available lengths of this sum, the first the longer and as long as possible."""
-    shorter = np.arange(1, total // 2 + 1)
-    fits = (left[shorter] > 0) & (left[total - shorter] > 0)
-    if total % 2 == 0 and len(fits):
-        fits[-1] = left[total // 2] > 1
-    found = np.flatnonzero(fits)
-    return (total - int(shorter[found[0]]), int(shorter[found[0]])) if len(found) else None
-
-
 def _best_fit(left: np.ndarray, capacity: int) -> list[Group]:
     """Each remaining piece, longest first, into the fullest sequence that has room for it."""
     open_groups: dict[int, list[Group]] = {}
