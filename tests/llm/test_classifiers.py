@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import random
 
 import numpy as np
 import pytest
@@ -98,29 +99,64 @@ def test_suffix_automaton_knows_the_substrings(data):
     assert not any(knows(p + bytes([c])) for p in parts for c in b"abcd" if p + bytes([c]) not in data)
 
 
-def test_phrases_by_hand():
-    model = language.Model((("a", b"the cat sat on the mat"), ("b", b"der hund lag auf der matte")))
-    texts = ["the cat on the mat " * 30, "Der Hund!", "xyz"]
-
-    def greedy(sample, stream):
-        """Longest phrases; a byte that the sample lacks is a phrase and stays out of the next."""
-        count = 0
-        for at in range(0, len(stream), language.SEGMENT):
-            phrase = b""
-            for byte in stream[at : at + language.SEGMENT]:
-                if phrase + bytes([byte]) in sample:
-                    phrase += bytes([byte])
-                else:
-                    count += 1
-                    phrase = bytes([byte]) if byte in sample else b""
-        return count
+def test_a_verdict_does_not_depend_on_how_rows_lie(spark):
+    """Other files, other order, other tasks, and a text that a third of the rows repeat."""
+    rows = [(row["doc_id"], row["text"]) for row in table(spark, "documents").where("doc_id % 7 = 0").select("doc_id", "text").collect()]
+    rows += [(-k, rows[0][1]) for k in range(1, len(rows) // 2)]
+    pick = random.Random(2)
+    results = []
+    for parts in (1, 7):
+        pick.shuffle(rows)
+        docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(parts)
+        found = weak_labels.weak_label_scores(docs, train_rows=500).collect()
+        results.append({row["doc_id"]: (row["score"], row["kept"]) for row in found})
+    assert results[0] == results[1]
+
+
+@pytest.mark.parametrize("kinds", [63, 64, 65, 200])
+def test_words_of_many_kinds_keep_their_shape(kinds):
+    word = ("a1" * kinds)[:kinds]
+    assert weak_labels.shape(word) == word.replace("1", "0")
+    at, _ = weak_labels.features(word)
+    other, _ = weak_labels.features(word[:-1] + "#")
+    assert set(at) != set(other)
+
+
+def greedy(sample, stream):
+    """Longest phrases of a whole text; a byte that the sample lacks is a phrase and stays out of the next."""
+    count, phrase = 0, b""
+    for byte in stream:
+        if phrase + bytes([byte]) in sample:
+            phrase += bytes([byte])
+        else:
+            count += 1
+            phrase = bytes([byte]) if byte in sample else b""
+    return count
+
+
+def same_phrases(samples, streams):
+    model = language.Model(tuple((str(k), sample) for k, sample in enumerate(samples)))
+    found = language.Parser(model).phrases(streams)
+    assert found.tolist() == [[greedy(s, x.tobytes()) for s in samples] for x in streams]
+
 
+def test_phrases_by_hand():
+    texts = ["the cat on the mat " * 30, "Der Hund!", "xyz", ""]
     streams = [language.normalised(text) for text in texts]
-    found = language.Parser(model).phrases(streams)
-    assert found.tolist() == [[greedy(s, x.tobytes()) for _, s in model.samples] for x in streams]
+    same_phrases([b"the cat sat on the mat", b"der hund lag auf der matte"], streams)
     assert language.normalised("A1, b é").tobytes() == "a b é".encode()
 
 
+def test_phrases_go_on_over_the_ends_of_segments():
+    """Texts around the borders, and copies of the sample, which are one phrase over many segments."""
+    pick = random.Random(1)
+    samples = ["".join(pick.choices("abc de", k=n)).encode() for n in (3000, 500)] + [b"abababababab" * 60]
+    sizes = [k * language.SEGMENT + d for k in (1, 2, 5) for d in (-1, 0, 1)] + [0, 1, 2, 3000]
+    texts = ["".join(pick.choices("abc dexé", k=size)).encode() for size in sizes]
+    texts += [samples[0], samples[2], samples[2] * 3 + samples[0], samples[0][100:] + b"?" + samples[0], b"ab" * 2000]
+    same_phrases(samples, [np.frombuffer(text, np.uint8) for text in texts])
+
+
 def test_languages_of_held_out_documents(spark):
     found = language.identify(table(spark, "documents")).where("held_out")
     both = found.join(table(spark, "documents").select("doc_id", "lang"), "doc_id").toPandas()
@@ -182,6 +218,47 @@ def test_folding_and_exceptions():
     assert match.measures("idiot " * 5 + "word " * 95)[0] > match.measures("idiot " * 5 + "word " * 995)[0]
 
 
+@pytest.mark.parametrize(
+    "text, plain",
+    [
+        ("idio7", "idiot"), ("1d107", "idiot"), ("wh0r3", "whore"), ("m0r0n5", "morons"), ("dumba$$", "dumbass"),
+        ("l0s3r5", "losers"), ("a$$hole", "asshole"), ("1055", "1055"), ("$500", "$500"), ("v3", "v3"), ("mp3", "mp3"),
+        ("win7", "win7"), ("loser!", "loser!"), ("4 5", "4 5"),
+    ],
+)
+def test_disguised_last_letters(text, plain):
+    """Read as letters where that makes a word of the lexicon, at the end of words as inside."""
+    assert toxicity.folded(text) == plain
+    assert toxicity.folded(f"so, {text}.") == f"so, {plain}."
+
+
+def test_short_words_and_scripts_without_blanks():
+    match = toxicity.Matcher((("kys$", 3.0), ("马鹿", 2.0), ("idiot", 3.0)))
+    assert match.hits("kys kyss skys, kys! 你马鹿啊马鹿 idiots") == {"kys$": 2, "马鹿": 2, "idiot": 1}
+    assert toxicity.folded("ky5", {"kys$": 1.0}) == "kys" and toxicity.folded("ky5", {}) == "ky5"
+    assert toxicity.stems_of("kys") == ["kys$"] and "马鹿" in toxicity.stems_of("你马鹿啊") and toxicity.stems_of("a") == []
+
+
+def test_lexicon_of_labelled_words(spark):
+    """Abusive words of three letters and of a script without blanks are learned and found."""
+    pick = random.Random(4)
+    common = ["alpha", "beta", "gamma", "delta", "he", "is", "at", "it", "你好", "天气"]
+
+    def text(toxic):
+        words = pick.choices(common, k=30)
+        if toxic:
+            words[3], words[7] = "zug", "今天马鹿真好"
+        return " ".join(words)
+
+    rows = [(k, text(k % 4 == 1), int(k % 4 == 1)) for k in range(1600)]
+    docs = spark.createDataFrame([row[:2] for row in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(row[0], row[2]) for row in rows], "doc_id long, toxic int")
+    model = toxicity.fit(docs, labels)
+    assert {"zug$", "马鹿"} & {stem for stem, _ in model.stems} and len(model.stems) < len(toxicity.SEEDS) + 30
+    found = {row["doc_id"]: row["predicted"] for row in toxicity.toxicity(docs, labels).collect()}
+    assert found == {k: toxic for k, _, toxic in rows}
+
+
 def test_stems_that_tell():
     found = [
         {"stem": "vejut", "docs1": 30, "docs0": 0, "uses1": 90, "uses0": 0},

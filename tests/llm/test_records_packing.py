@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import zlib
 from collections import Counter, defaultdict
 
@@ -132,6 +133,50 @@ def test_a_plan_holds_every_piece_once(counts):
     assert sequences <= 1.25 * lower_bound(counts, 64) + 2 * counts.get(64, 0) + 64 or any(k > 32 for k in counts)
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.dictionaries(st.integers(1, 40), st.integers(1, 3), max_size=12), st.lists(st.integers(0, 11), max_size=20))
+def test_sums_are_indexed_as_lengths_come_and_go(counts, taken):
+    """The index after any changes against all pairs and triples of what is there."""
+    left = np.zeros(41, np.int64)
+    for length, count in counts.items():
+        left[length] = count
+    index = packing.SumIndex(left)
+    for k in taken:
+        there = np.flatnonzero(left)
+        if len(there):
+            index.take(int(there[k % len(there)]))
+        elif counts:
+            index.give(next(iter(counts)))
+    pieces = [length for length in range(41) for _ in range(min(int(left[length]), 3))]
+    pairs = {(max(p), min(p)) for p in itertools.combinations(pieces, 2)}
+    triples = {tuple(sorted(p, reverse=True)) for p in itertools.combinations(pieces, 3)}
+    for gap in range(1, 41):
+        of_two = [p for p in pairs if sum(p) == gap]
+        assert index.pair(gap) == max(of_two, default=None)
+        of_three = [p for p in triples if sum(p) == gap]
+        best = (gap,) if left[gap] else max(of_two, default=max(of_three, default=None))
+        assert index.filling(gap) == best
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.integers(1, 12), max_size=9))
+def test_few_sequences_more_than_the_fewest(lengths):
+    """Against the exact optimum of small inputs, found by trying every place for each piece."""
+
+    def fewest(rest, rooms, best):
+        if len(rooms) >= best:
+            return best
+        if not rest:
+            return len(rooms)
+        for k in {room: k for k, room in enumerate(rooms) if room >= rest[0]}.values():
+            best = min(best, fewest(rest[1:], [*rooms[:k], rooms[k] - rest[0], *rooms[k + 1 :]], best))
+        return min(best, fewest(rest[1:], [*rooms, 12 - rest[0]], best))
+
+    groups = packing.plan(dict(Counter(lengths)), 12)
+    optimum = fewest(sorted(lengths, reverse=True), [], len(lengths) + 1) if lengths else 0
+    assert optimum <= sum(group.times for group in groups) <= optimum + 1
+
+
 def test_exact_fillings_are_found():
     counts = {2000: 10, 48: 4, 24: 8, 16: 6, 100: 3, 1948: 3}
     groups = packing.plan(counts, 2048)
@@ -171,3 +216,30 @@ def test_packing_of_documents(spark, whole):
             end += length
         assert end <= 2048
     assert len(sequences) <= 1.01 * lower_bound(Counter(r["length"] for r in found), 2048) + 1
+
+
+def test_files_are_ordered_by_number(spark):
+    """Numbers of more than five digits, over the borders of blocks."""
+    numbers = [0, 7, 99_998, 99_999, 100_000, 100_001, 1_000_000]
+    names = {k: f"file:/x/part-{k:05d}-0a1b-c000.txt" for k in numbers}
+    rows = [(names[k], 10 * at, k, 3 + at, before, 1) for k in numbers for at, before in ((0, 0), (1, 3))]
+    index = spark.createDataFrame(rows, br.INDEX)
+    for block in (1, 3, 1 << 12):
+        found = br.starts(index.repartition(3), block).orderBy("start").collect()
+        assert [row["doc_id"] for row in found] == [k for k in numbers for _ in (0, 1)]
+        assert [row["start"] for row in found] == [7 * k + at for k in range(len(numbers)) for at in (0, 3)]
+
+
+def test_fetch_opens_chosen_files_only(spark):
+    path, target = fresh_path(spark, "records"), fresh_path(spark, "index")
+    br.write_records(documents(spark, [(k, f"{PROSE} {k}") for k in range(60)]), path, file_bytes=4000)
+    index = br.write_index(spark, path, target)
+    files = {row["doc_id"]: row["file"] for row in index.collect()}
+    assert len(set(files.values())) > 4
+    wanted = spark.createDataFrame([(3,), (59,), (3,), (None,), (1000,)], "doc_id long")
+    found = br.fetch(spark, path, index, wanted)
+    assert {name for name in found.inputFiles() if "/part-" in name and "/records-" in name} == {
+        file.replace("file:/", "file:///") for file in (files[3], files[59])
+    }
+    assert sorted(row["doc_id"] for row in found.collect()) == [3, 59]
+    assert br.fetch(spark, path, index, wanted.where("doc_id = 1000")).collect() == []

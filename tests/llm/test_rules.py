@@ -100,6 +100,17 @@ def test_blocks_of_the_benchmark_give_the_same(spark):
         assert {r["doc_id"] for r in clean.collect()} == {row[0] for row in plain if not row[-1]}
 
 
+def test_repeated_items_are_held_once_and_blocks_one_by_one(spark):
+    items = [(1, "one two three four")] * 500 + [(k, f"item {k} of the benchmark text") for k in range(40)]
+    table = spark.createDataFrame(items, "item_id long, text string")
+    blocks = decontamination.blocks_of(table, 300)
+    first, last = next(blocks)
+    assert not last and len(first) < 30
+    rest = list(blocks)
+    assert [last for _, last in rest] == [False] * (len(rest) - 1) + [True]
+    assert sorted(first + [item for block, _ in rest for item in block]) == sorted({(str(k), text) for k, text in items})
+
+
 URLS = [
     "http://com/", "http://a.com/x", "http://xcom/", "HTTP://EXAMPLE.com/en/1", "http://www.example.com/en/1",
     "http://a.www.example.com/en/", "http://example.com/EN/", "http://example.com/en", "http://b.net/es/?q",
