@@ -105,18 +105,18 @@ class Search:
         return inside, names
 
 
-def blocks_of(benchmark: DataFrame, block_bytes: int) -> list[list[tuple[str | None, str | None]]]:
-    """The items in blocks of about `block_bytes` of text, each fetched by itself."""
+def blocks_of(benchmark: DataFrame, block_bytes: int) -> Iterator[tuple[list[tuple[str | None, str | None]], bool]]:
+    """The items in blocks of about `block_bytes` of text, each once however often it is repeated,
+    and whether the block is the last. A block is fetched when its turn comes."""
     items = benchmark.select(F.col("item_id").cast("string").alias("item"), "text").where(
         F.col("text").isNotNull()
     )
+    items = staged(items.distinct(), "items")
     total = items.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
     count = max(1, -(-total // block_bytes))
     slot = F.pmod(F.xxhash64("item", "text"), F.lit(count))
-    return [
-        [(row["item"], row["text"]) for row in items.where(slot == k).collect()]
-        for k in range(count)
-    ]
+    for k in range(count):
+        yield [(row["item"], row["text"]) for row in items.where(slot == k).collect()], k == count - 1
 
 
 _STATE = "doc_id long, n_words long, inside binary, items array<string>"
@@ -135,15 +135,13 @@ def decontaminate(
     hits nothing.
     """
     spark = docs.sparkSession
-    blocks = blocks_of(benchmark, block_bytes)
     rows = docs.select(
         F.col("doc_id").cast("long"),
         "text",
         F.lit(None).cast("binary").alias("inside"),
         F.array().cast("array<string>").alias("items"),
     )
-    for k, items in enumerate(blocks):
-        last = k == len(blocks) - 1
+    for items, last in blocks_of(benchmark, block_bytes):
         found = _searched(rows, spark.sparkContext.broadcast(items), window, keep_text=not last)
         rows = found if last else staged(found, "searched")
     return rows
@@ -179,13 +177,16 @@ def _searched(rows: DataFrame, items, window: int, keep_text: bool) -> DataFrame
 def clean_documents(
     docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES
 ) -> DataFrame:
-    """The rows whose text holds no window of the benchmark, all columns unchanged."""
+    """The rows whose text holds no window of the benchmark, all columns unchanged.
+
+    A null, empty or wordless text holds none and stays; repeated rows are judged each; an empty
+    benchmark leaves all rows. Rows are read once for each block of the benchmark.
+    """
     ship(docs.sparkSession)
-    blocks = blocks_of(benchmark, block_bytes)
-    for k, items in enumerate(blocks):
+    for items, last in blocks_of(benchmark, block_bytes):
         told = docs.sparkSession.sparkContext.broadcast(items)
         docs = _without(docs, told, window)
-        docs = docs if k == len(blocks) - 1 else staged(docs, "clean")
+        docs = docs if last else staged(docs, "clean")
     return docs
 
 
