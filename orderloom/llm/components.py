@@ -11,8 +11,6 @@ from pyspark.sql import functions as F
 
 from orderloom.session import staged
 
-MAX_ROUNDS = 60
-
 
 def components(links: DataFrame) -> DataFrame:
     """(node, root): the smallest node that a node of `links` (a, b) is connected with.
@@ -25,12 +23,10 @@ def components(links: DataFrame) -> DataFrame:
     edges = links.where("a IS NOT NULL AND b IS NOT NULL AND a <> b").select(
         F.greatest("a", "b").alias("node"), F.least("a", "b").alias("root")
     )
-    edges = staged(edges.distinct(), "links")
-    for _ in range(MAX_ROUNDS):
+    done, edges = False, staged(edges.distinct(), "links")
+    while not done:  # the rounds grow with the square of the logarithm of the nodes
         done, edges = _round(edges)
-        if done:
-            return edges
-    raise RuntimeError(f"components did not settle in {MAX_ROUNDS} rounds")
+    return edges
 
 
 def _round(edges: DataFrame) -> tuple[bool, DataFrame]:
