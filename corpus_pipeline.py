@@ -13,27 +13,32 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the weakly trained scorer keeps."""
+    """Documents that the weakly trained scorer keeps; null and empty texts score like the share
+    of good documents, repeated rows alike."""
     return weak_labels.kept_documents(docs)
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language that is known."""
+    """Documents in a language that is known; null, empty and letterless texts are in none, and
+    repeated rows are judged alike."""
     return language.identified(docs)
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group, that of the smallest id."""
+    """One document of each near-duplicate group, that of the smallest id; null, empty and
+    wordless texts are one group, and so are repeated rows."""
     return simhash.one_per_group(docs)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no window of the benchmark."""
+    """Documents that hold no window of the benchmark; null and empty texts hold none, and
+    repeated rows are judged alike."""
     return decontamination.clean_documents(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of the documents and their places in sequences."""
+    """The pieces of the documents and their places in sequences; a null or empty text is a piece
+    of one id, and repeated rows are packed each."""
     return packing.pack(docs, added=True)
 
 
