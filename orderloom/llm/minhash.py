@@ -21,7 +21,7 @@ A list or group may hold a third of all sets: see `forests`. Shingles and sets a
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -205,25 +205,22 @@ def _key(doc_id: Column, mark: Column) -> Column:
 def shingle_sets(docs: DataFrame, chosen: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """(node, weight, shingles) of the documents named by (doc_id, mark) in `chosen`.
 
-    Most texts are dropped by a bitmap before the join, which then shuffles few of them.
+    Most texts are dropped by a bitmap in the task that makes the sets, so that it has one Python
+    worker; the few others that the bitmap lets pass are dropped by the join.
     """
+    spark = docs.sparkSession
     wanted = staged(chosen.select(_key(F.col("doc_id"), F.col("mark"))), "chosen-keys")
-    sent = docs.sparkSession.sparkContext.broadcast(bitmap(wanted))
+    sent = spark.sparkContext.broadcast(bitmap(wanted))
     keyed = docs.select(_key(F.col("doc_id").cast("long"), F.xxhash64("text")), "text")
 
-    def fits(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in parts:
-            found = sent.value.holds(part.column(0).to_numpy().view(np.uint64))
-            yield part.filter(pa.array(found))
-
-    here = keyed.mapInArrow(fits, "key long, text string").join(wanted, "key", "left_semi").select("text")
-
     def prepare() -> Callable[[pa.RecordBatch], dict[str, object]]:
         shingles_of = Shingler(shingle)
 
         def work(batch: pa.RecordBatch) -> dict[str, object]:
-            sets = [shingles_of(text) for text in texts(batch.column(0))]
+            held = np.flatnonzero(sent.value.holds(batch.column(0).to_numpy().view(np.uint64)))
+            sets = [shingles_of(batch.column(1)[int(k)].as_py() or "") for k in held]
             return {
+                "key": batch.column(0).take(pa.array(held)),
                 "node": [_node(found) for found in sets],
                 "weight": [len(found) for found in sets],
                 "shingles": pa.array([found.view(np.int64) for found in sets], pa.list_(pa.int64())),
@@ -232,8 +229,9 @@ def shingle_sets(docs: DataFrame, chosen: DataFrame, shingle: int = SHINGLE) ->
         return work
 
     # Rows that share id and text are all found; one of them is enough.
-    sets = batches(here, "node long, weight long, shingles array<long>", prepare)
-    return staged(sets.dropDuplicates(["node"]), "shingle-sets")
+    sets = batches(keyed, "key long, node long, weight long, shingles array<long>", prepare)
+    found = sets.join(wanted, "key", "left_semi").drop("key")
+    return staged(found.dropDuplicates(["node"]), "shingle-sets")
 
 
 def near_duplicates(

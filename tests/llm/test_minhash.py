@@ -141,3 +141,18 @@ def test_links_of_a_list_that_hangs_together_grow_in_proportion(spark):
     payload = staged(spark.range(rows).select(F.col("id").alias("node"), F.lit(1).cast("long").alias("weight"), F.lit(0).cast("long").alias("value")), "payload")
     lists = staged(payload.select(F.lit(1).cast("long").alias("list"), "node"), "lists")
     assert forests.linked(lists, payload, neighbours, 64).count() < 2 * rows
+
+
+def test_sets_are_of_the_chosen_texts_from_one_worker_pass(spark, monkeypatch):
+    """Chosen by id and text, whatever else the bitmap lets pass, with one Python worker a task."""
+    rows = [(k, f"a b c d e f {k}") for k in range(600)] + [(None, "x"), (7, "another text"), (8, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    chosen = docs.where("doc_id < 40 AND text LIKE 'a b%'").select("doc_id", F.xxhash64("text").alias("mark"))
+    frame, passes = type(docs), []
+    through = frame.mapInArrow
+    monkeypatch.setattr(frame, "mapInArrow", lambda self, *a, **b: passes.append(1) or through(self, *a, **b))
+    found = minhash.shingle_sets(docs, chosen)
+    assert found.columns == ["node", "weight", "shingles"] and len(passes) == 1
+    wanted = {k: minhash.Shingler()(f"a b c d e f {k}") for k in range(40)}
+    expected = {(minhash._node(s), len(s), tuple(s.view(np.int64).tolist())) for s in wanted.values()}
+    assert {(r["node"], r["weight"], tuple(r["shingles"])) for r in found.collect()} == expected
