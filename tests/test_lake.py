@@ -119,6 +119,18 @@ def test_upsert_with_many_keys(spark, tmp_path, monkeypatch):
         assert content(table.read()) == expected
 
 
+def test_upsert_compares_lines_with_held_keys_only(spark, tmp_path, monkeypatch):
+    """Keys that are new to the table, however many, do not make it shuffle its lines."""
+    target = orders(spark, ("A", "2025-01-01", 1), ("B", "2025-02-01", 1), ("C", "2025-02-01", 1))
+    staging = orders(spark, ("A", "2025-02-01", 3), *[(f"N{k}", "2025-02-01", k) for k in range(50)])
+    table, compared = MonthlyTable(spark, str(tmp_path), target.schema), []
+    monkeypatch.setattr("orderloom.sources.versions.merged", lambda rows, new, keys: compared.append(keys) or merged(rows, new, keys))
+    table.replace(target)
+    assert table.upsert(staging) == {(2025, 1), (2025, 2)}
+    assert [tuple(r) for r in compared[0].table.collect()] == [("A",)]
+    assert content(table.read()) == content(merged(target, staging, staged_keys(staging)))
+
+
 def test_merge_is_by_name(spark):
     target, staging = orders(spark, ("A", "2025-01-01", 1)), orders(spark, ("B", "2025-01-01", 2))
     shuffled, keys = staging.select(*reversed(staging.columns)), staged_keys(staging)
