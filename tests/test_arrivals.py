@@ -96,6 +96,25 @@ def test_days_in_any_order_give_the_same_history(spark, tmp_path, order):
     assert plain[0] == plain[1] and len(found[0]) == len(found[1])
 
 
+def test_many_orders_are_taken_in_without_trying_the_marks(spark, tmp_path, monkeypatch):
+    def lines(day, *rows):
+        stamp = {"ingestion_ts": F.lit(None).cast("timestamp_ntz"), "run_date": F.lit(day), "file": F.lit(str(day))}
+        return staged(facts(spark, list(rows)).withColumns(stamp), "day")
+
+    first = [("o1", "c", "p", "x", "2025-01-05", 2, 10.0, 0.0), ("o2", "c", "p", "x", "2025-02-05", 1, 10.0, 0.0)]
+    later = [("o1", "c", "p", "x", "2025-03-06", 5, 10.0, 0.0), ("o3", "c", "p", "x", "2025-02-06", 7, 10.0, 0.0)]
+    table, labels = OrderTable(spark, str(tmp_path)), []
+    table.take(lines(DAY[0], *first))
+    table.mark()
+    monkeypatch.setattr("orderloom.operators.upsert.fits_broadcast", lambda df: False)
+    monkeypatch.setattr("orderloom.sources.orders.marked_keys", lambda *_: pytest.fail("marks are tried key by key"))
+    monkeypatch.setattr("orderloom.sources.orders.staged", lambda df, label: labels.append(label) or staged(df, label))
+    assert table.take(lines(DAY[1], *later)) == {(2025, 1), (2025, 2), (2025, 3)}
+    found = table.history().select("order_id", "quantity", "current", "spans").collect()
+    assert sorted(map(tuple, found)) == [("o1", 2, False, False), ("o1", 5, True, False), ("o2", 1, True, False), ("o3", 7, True, False)]
+    assert labels == ["held-keys"]  # no lines are written but those of the table
+
+
 def test_a_late_older_file_does_not_replace_the_newer_version(spark, tmp_path):
     write_day(tmp_path / "files", dt.date(2025, 1, 7), ["o1,c,p,2025-01-07,5,10.00,0,x"])
     ingest(spark, tmp_path)
