@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from orderloom.llm.common import ship
 from orderloom.llm.components import components
-from orderloom.session import staged
+from orderloom.session import sized, staged
 
 # One against some of a tile's rows: which of `others` (places) the row at a place is linked with.
 Compare = Callable[[int, np.ndarray], np.ndarray]
@@ -42,7 +42,8 @@ def linked(lists: DataFrame, payload: DataFrame, prepare: Prepare, limit: int) -
     heavier row. Both should be written tables.
     """
     tree = _Tiles(payload, prepare, limit)
-    sizes = staged(_sizes(lists, payload, limit), "list-sizes")
+    rows = lists.count()
+    sizes = staged(_sizes(lists, payload, limit, rows), "list-sizes")
     found = tree.forest(lists, sizes)
     links = found.where("a <> b").select("a", "b")
     long_lists = sizes.where("tiles > 1")
@@ -51,21 +52,22 @@ def linked(lists: DataFrame, payload: DataFrame, prepare: Prepare, limit: int) -
         return links
     reps = heads.select("list", F.col("a").alias("node"))
     while True:
-        fewer = staged(_sizes(reps, payload, limit), "list-sizes")
+        fewer = staged(_sizes(reps, payload, limit, rows), "list-sizes")
         tiles = fewer.agg(F.sum("tiles")).first()[0] or 0
         if not tiles or tiles >= before:
             break
         before, found = tiles, tree.forest(reps, fewer)
         links = links.unionByName(found.where("a <> b").select("a", "b"))
         reps = found.where("list IS NOT NULL AND a = b").select("list", F.col("a").alias("node"))
-    links = staged(links.distinct(), "links")
-    return links.unionByName(tree.across(lists.join(long_lists.select("list", "tiles"), "list"), links))
+    links = staged(sized(links.distinct(), rows), "links")
+    return links.unionByName(tree.across(lists.join(long_lists.select("list", "tiles"), "list"), links, rows))
 
 
-def _sizes(lists: DataFrame, payload: DataFrame, limit: int) -> DataFrame:
-    """(list, nodes, weight, tiles) of the lists of two nodes or more."""
-    weights = lists.join(payload.select("node", "weight"), "node")
+def _sizes(lists: DataFrame, payload: DataFrame, limit: int, rows: int) -> DataFrame:
+    """(list, nodes, weight, tiles) of the lists of two nodes or more, of at most `rows` rows."""
+    weights = sized(lists.join(payload.select("node", "weight"), "node"), rows)
     sizes = weights.groupBy("list").agg(F.count(F.lit(1)).alias("nodes"), F.sum("weight").alias("weight"))
+    sizes = sized(sizes, rows)
     tiles = F.ceil(F.col("weight") / F.lit(limit)).cast("long")
     return sizes.where("nodes > 1").withColumn("tiles", F.least(tiles, "nodes"))
 
@@ -86,20 +88,21 @@ class _Tiles:
         dealt = rows.select(tile.alias("tile"), "list", (F.col("tiles") > 1).alias("several"), *self.payload.columns)
         return self._run(dealt, _forests)
 
-    def across(self, lists: DataFrame, links: DataFrame) -> DataFrame:
-        """Links between components of one list, of `lists` (list, node, tiles)."""
+    def across(self, lists: DataFrame, links: DataFrame, rows: int) -> DataFrame:
+        """Links between components of one list, of `lists` (list, node, tiles) with at most
+        `rows` rows."""
         roots = components(links)
         named = lists.join(roots, "node", "left").select("list", "node", "tiles", F.coalesce("root", "node").alias("root"))
-        named = staged(named, "list-components")
-        parts = named.groupBy("list", "root").agg(F.count(F.lit(1)).alias("n"))
+        named = staged(sized(named, rows), "list-components")
+        parts = sized(named.groupBy("list", "root").agg(F.count(F.lit(1)).alias("n")), rows)
         main = parts.groupBy("list").agg(F.max_by("root", F.struct("n", "root")).alias("main"), F.count(F.lit(1)).alias("parts"))
-        main = staged(main.where("parts > 1"), "main-components")
+        main = staged(sized(main.where("parts > 1"), rows), "main-components")
         if main.isEmpty():
             return links.limit(0)
         open_lists = named.join(main, "list").withColumn("rest", F.col("root") != F.col("main"))
         weights = open_lists.where("rest").join(self.payload.select("node", "weight"), "node")
         rests = weights.groupBy("list").agg(F.ceil(F.sum("weight") / F.lit(self.limit)).cast("long").alias("rows"))
-        both = open_lists.join(staged(rests, "rests"), "list")
+        both = open_lists.join(staged(sized(rests, rows), "rests"), "list")
         mine = F.pmod(F.xxhash64("node"), F.col("tiles"))
         here = F.pmod(F.xxhash64("node"), F.col("rows"))
         # A node of the rest is in all tiles of its row, any node in all of its column.

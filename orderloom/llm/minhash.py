@@ -33,7 +33,7 @@ from orderloom.llm.bitmaps import bitmap
 from orderloom.llm.common import batches, texts
 from orderloom.llm.components import components
 from orderloom.llm.forests import Compare, linked
-from orderloom.session import staged
+from orderloom.session import sized, staged
 
 SHINGLE = 5
 SHARE = 85  # of the union, in %, that the intersection must reach
@@ -132,13 +132,18 @@ def _node(shingles: np.ndarray) -> int:
     return int(np.uint64(xxhash.xxh64_intdigest(shingles.astype("<u8").tobytes(), SEED)).view(np.int64))
 
 
-def postings(nodes: DataFrame, matches: int = MATCHES) -> DataFrame:
-    """(list, node) under the rarest coordinate values that each set must be posted under."""
+def postings(nodes: DataFrame, matches: int = MATCHES, entered: int | None = None) -> DataFrame:
+    """(list, node) under the rarest coordinate values that each set must be posted under.
+
+    `entered` is the number of all coordinates, which no step has more rows than.
+    """
+    entered = COORDINATES * nodes.count() if entered is None else entered
     # A value takes the lower half of a token, the place of its coordinate the upper one.
     token = F.shiftleft(F.col("place").cast("long"), 32) + F.col("value").bitwiseAND(F.lit((1 << 32) - 1))
     entries = nodes.select("node", F.posexplode("signature").alias("place", "value")).select("node", token.alias("token"))
     shared = entries.groupBy("token").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    held = entries.join(staged(shared, "shared-coordinates"), "token").groupBy("node").agg(
+    shared = staged(sized(shared, entered), "shared-coordinates")
+    held = sized(entries.join(shared, "token"), entered).groupBy("node").agg(
         F.sort_array(F.collect_list(F.struct("n", "token"))).alias("tokens")
     )
     rarest = F.slice("tokens", F.lit(1), F.size("tokens") - (matches - 1))
@@ -256,29 +261,29 @@ def near_duplicates(
     first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "mark")).alias("first")
     nodes = marks.where("node IS NOT NULL").groupBy("node").agg(first, F.any_value("signature").alias("signature"))
     nodes = staged(nodes, "sets")
+    entered = coordinates * nodes.count()
 
-    lists = staged(postings(nodes, matches), "postings")
-    signs = staged(nodes.select("node", F.lit(1).cast("long").alias("weight"), "signature").join(
-        lists.select("node").distinct(), "node", "left_semi"), "posted-signatures")
+    lists = staged(sized(postings(nodes, matches, entered), entered), "postings")
+    signs = nodes.select("node", F.lit(1).cast("long").alias("weight"), "signature").join(
+        sized(lists.select("node").distinct(), entered), "node", "left_semi"
+    )
+    signs = staged(sized(signs, entered), "posted-signatures")
     near = linked(lists, signs, _by_collisions(matches), list_limit)
     roots = components(near)
-    groups = staged(
-        roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct()).select(
-            F.col("root").alias("list"), "node"
-        ),
-        "near-groups",
-    )
+    heads = sized(roots.select(F.col("root").alias("node"), "root").distinct(), entered)
+    groups = staged(roots.unionByName(heads).select(F.col("root").alias("list"), "node"), "near-groups")
 
-    chosen = staged(nodes.join(groups, "node").select("first.doc_id", "first.mark"), "chosen")
+    chosen = nodes.join(groups, "node").select("first.doc_id", "first.mark")
+    chosen = staged(sized(chosen, entered), "chosen")
     sets = shingle_sets(docs, chosen, shingle)
     confirmed = components(linked(groups, sets, _by_sets(share), set_limit))
 
     named = nodes.select("node", "first.doc_id").join(confirmed, "node", "left").withColumn(
         "root", F.coalesce("root", "node")
     )
-    named = staged(named, "named")
-    lowest = staged(named.groupBy("root").agg(F.min("doc_id").alias("component_id")), "lowest")
-    labels = staged(named.join(lowest, "root").select("node", "component_id"), "labels")
+    named = staged(sized(named, entered), "named")
+    lowest = staged(sized(named.groupBy("root").agg(F.min("doc_id").alias("component_id")), entered), "lowest")
+    labels = staged(sized(named.join(lowest, "root").select("node", "component_id"), entered), "labels")
     wordy = marks.where("node IS NOT NULL").select("doc_id", "n_shingles", "node").join(labels, "node")
     empty = marks.where("node IS NULL").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
     rows = wordy.select("doc_id", "n_shingles", "component_id").unionByName(empty)

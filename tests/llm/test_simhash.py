@@ -8,6 +8,7 @@ import numpy as np
 import xxhash
 from hypothesis import given
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from orderloom.llm import simhash
 from orderloom.llm.components import components
@@ -123,3 +124,19 @@ def test_one_of_each_group_where_ids_repeat(spark):
     assert sorted(str(r["doc_id"]) for r in found) == ["1", "1", "2", "None", "None"]
     assert sorted(marks[r["text"]] for r in found) == sorted(set(marks.values()))
     assert {r["text"] for r in found if r["doc_id"] == 1} == {c, d}
+
+
+def test_components_of_few_links_take_few_tasks(spark):
+    """Each step writes a file for each core at most, whatever the number of shuffle partitions."""
+    settings = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    was = {key: spark.conf.get(key) for key in settings}
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        links = spark.range(1, 400).select((F.col("id") - 1).alias("a"), F.col("id").alias("b"))
+        found = components(links)
+        assert {tuple(row) for row in found.collect()} == {(k, 0) for k in range(1, 400)}
+        assert len(found.inputFiles()) <= spark.sparkContext.defaultParallelism
+    finally:
+        for key, value in was.items():
+            spark.conf.set(key, value)
