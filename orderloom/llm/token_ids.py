@@ -50,7 +50,8 @@ class Encoder:
         self.added = {x["content"]: self._id(x["content"]) for x in tokens if x["content"]}
         # Of those that begin at the same place the longest is meant.
         self.parts = re.compile("|".join(map(re.escape, sorted(self.added, key=len, reverse=True))))
-        self.units = _Units(_merging(model)) if self.by_unit else {}
+        # The tokenizer's own model, not a second one: both would lie in every worker's memory.
+        self.units = _Units(self.tokenizer.model) if self.by_unit else {}
 
     @property
     def vocabulary(self) -> int:
@@ -85,14 +86,6 @@ class Encoder:
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
 
-def _merging(model: dict):
-    """The model by itself, without the cache of its own that ours makes needless."""
-    from tokenizers.models import BPE
-
-    merges = [tuple(pair.split(" ")) if isinstance(pair, str) else tuple(pair) for pair in model["merges"]]
-    return BPE(vocab=model["vocab"], merges=merges, cache_capacity=0)
-
-
 class _Units(dict):
     """Ids by unit, made when first asked for."""
 

@@ -7,6 +7,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -15,6 +16,7 @@ from tokenizers import Tokenizer
 import corpus_pipeline
 from orderloom.llm import binary_records as br
 from orderloom.llm import catalog, packing
+from orderloom.llm.common import ship
 from orderloom.llm.token_ids import Encoder, default_file
 from orderloom.session import fresh_path
 from tests.llm.data import PROSE, documents, edge_rows
@@ -243,3 +245,22 @@ def test_fetch_opens_chosen_files_only(spark):
     }
     assert sorted(row["doc_id"] for row in found.collect()) == [3, 59]
     assert br.fetch(spark, path, index, wanted.where("doc_id = 1000")).collect() == []
+
+
+def test_a_batch_of_long_texts_is_small(spark):
+    """What a worker holds at once is bounded by bytes, not only by rows."""
+    docs = documents(spark, [(k, "a long text " * 2_000) for k in range(600)]).coalesce(1)
+    ship(spark)
+
+    def run(parts):
+        for batch in parts:
+            yield pa.RecordBatch.from_pydict({"bytes": [batch.nbytes]})
+
+    assert max(row[0] for row in docs.select("text").mapInArrow(run, "bytes long").collect()) < 4 << 20
+
+
+def test_an_encoder_holds_its_vocabulary_once():
+    """Units are made by the tokenizer's own model, so what changes that one changes them."""
+    encoder = Encoder(default_file())
+    encoder.tokenizer.model.dropout = 1.0  # merges nothing
+    assert len(encoder.encode("hello")) == 4 * 5
