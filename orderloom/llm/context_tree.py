@@ -172,13 +172,15 @@ def unpack_keys(packed: bytes) -> np.ndarray:
 
 
 GATHERED = (
-    "chunk long, bucket long, keys binary, counts binary, doc_id array<long>, held array<boolean>, "
-    "learn array<boolean>, size array<long>, packed binary, kind string"
+    "chunk long, bucket long, runs binary, run_counts binary, words binary, word_counts binary, "
+    "doc_id array<long>, held array<boolean>, learn array<boolean>, size array<long>, packed binary"
 )
 
 
 def gather(docs: DataFrame, depth: int, chunk_bytes: int, buckets: int) -> DataFrame:
-    """Rows of three kinds: `text`, the documents of a chunk; `run` and `word`, what it asks."""
+    """Rows of three kinds: the documents of a chunk (`packed`); what it asks of a bucket of runs
+    (`runs`) or of words (`words`). The kinds have columns of their own, so that a task writes one
+    file, of which a later step reads those it needs."""
     ship(docs.sparkSession)
     shape = _shape(GATHERED)
     most = 1 << min(place_bits(depth), 16)
@@ -191,16 +193,15 @@ def gather(docs: DataFrame, depth: int, chunk_bytes: int, buckets: int) -> DataF
             ids, held, learn, streams = (list(x) for x in zip(*rows))
             data, sizes = b"".join(streams), [len(x) for x in streams]
             number = part << 32 | nth
-            text = [number, None, None, None, ids, held, learn, sizes, packer.compress(data), "text"]
-            yield _batch([text], shape)
+            yield _batch([[number, *[None] * 5, ids, held, learn, sizes, packer.compress(data)]], shape)
             chunk = Chunk(data, sizes, learn, depth)
             del streams
-            for kind, found in (("run", chunk.runs), ("word", chunk.word_counts)):
+            for before, found in ((0, chunk.runs), (2, chunk.word_counts)):
                 keys, counts = found()
                 order, numbers, begins = dealt(keys, buckets)
                 keys, counts = keys[order], counts[order].astype(np.uint32)
                 asked = [
-                    [number, bucket, pack_keys(keys[a:b]), pack(counts[a:b]), *[None] * 5, kind]
+                    [number, bucket, *[None] * before, pack_keys(keys[a:b]), pack(counts[a:b]), *[None] * (7 - before)]
                     for bucket, a, b in zip(numbers.tolist(), begins, [*begins[1:], len(keys)])
                 ]
                 yield _batch(asked, shape)
@@ -515,16 +516,20 @@ def context_tree_scores(
     spark = docs.sparkSession
     buckets = buckets or 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     path = fresh_path(spark, "gathered")
-    gather(docs, depth, chunk_bytes, buckets).write.partitionBy("kind").option("compression", "none").parquet(path)
+    gather(docs, depth, chunk_bytes, buckets).write.option("compression", "none").parquet(path)
     gathered = spark.read.schema(GATHERED).parquet(path)
-    asked = {kind: gathered.where(F.col("kind") == kind) for kind in ("text", "run", "word")}
-    requests = {kind: asked[kind].select("chunk", "bucket", "keys", "counts") for kind in ("run", "word")}
+    requests = {
+        kind: gathered.where(F.col(f"{kind}s").isNotNull()).select(
+            "chunk", "bucket", F.col(f"{kind}s").alias("keys"), F.col(f"{kind}_counts").alias("counts")
+        )
+        for kind in ("run", "word")
+    }
 
     totals = staged(run_totals(requests["run"]), "totals")
     top = top_of(totals, depth)
     answers = answers_of(totals, top, depth, buckets)
     told = run_answers(requests["run"].drop("counts"), answers).unionByName(word_answers(requests["word"]))
-    chunked = asked["text"].select("chunk", "doc_id", "held", "learn", "size", "packed")
+    chunked = gathered.where("packed IS NOT NULL").select("chunk", "doc_id", "held", "learn", "size", "packed")
 
     def meet(text: pa.Table, found: pa.Table) -> pa.Table:
         return pa.table(_scored(text.to_pylist()[0], found, depth, buckets), schema=_shape(SCORED))

@@ -133,3 +133,16 @@ def test_better_than_words_on_unseen_text(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     row = ct.context_tree_scores(docs).where("held_out").selectExpr("sum(score) s", "sum(base_score) b").first()
     assert row["s"] > row["b"]
+
+
+def test_a_task_gathers_into_one_file(spark, monkeypatch):
+    """What is asked and what is scored lie in columns of one file, not in files of their own."""
+    paths = []
+    fresh = ct.fresh_path
+    monkeypatch.setattr(ct, "fresh_path", lambda *at: paths.append(fresh(*at)) or paths[-1])
+    rows = documents(spark, ROWS).coalesce(1)
+    assert ct.context_tree_scores(rows, buckets=3).count() == len(ROWS)
+    gathered = spark.read.parquet(paths[0])
+    assert len(gathered.inputFiles()) == 1
+    kinds = gathered.selectExpr("runs IS NOT NULL AS r", "words IS NOT NULL AS w", "packed IS NOT NULL AS t")
+    assert {tuple(row) for row in kinds.collect()} == {(True, False, False), (False, True, False), (False, False, True)}
