@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from orderloom.llm.common import batches, texts
+from orderloom.llm.common import batches
 from orderloom.llm.token_ids import default_file, encoder
 from orderloom.operators.lookups import sized
 from orderloom.session import fresh_path, staged
@@ -103,11 +103,11 @@ def write_records(
     end = struct.pack("<I", end_id)
 
     def prepare() -> Callable[[pa.RecordBatch], dict[str, object]]:
-        encode = encoder(tokenizer, added).encode
+        encode = encoder(tokenizer, added).encode_all
 
         def work(batch: pa.RecordBatch) -> dict[str, object]:
-            rows = zip(batch.column(0).to_pylist(), texts(batch.column(1)))
-            return {"frame": [frame(doc_id, encode(text) + end, narrow) for doc_id, text in rows]}
+            rows = zip(batch.column(0).to_pylist(), encode(batch.column(1)))
+            return {"frame": [frame(doc_id, ids + end, narrow) for doc_id, ids in rows]}
 
         return work
 

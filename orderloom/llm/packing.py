@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from orderloom.llm.common import batches, ship, texts
+from orderloom.llm.common import batches, ship
 from orderloom.llm.token_ids import default_file, encoder
 from orderloom.session import staged
 
@@ -209,11 +209,11 @@ def pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int, added: b
     end = struct.pack("<I", end_id)
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, seen, part = encoder(tokenizer, added).encode, Counter(), TaskContext.get().partitionId()
+        encode, seen, part = encoder(tokenizer, added).encode_all, Counter(), TaskContext.get().partitionId()
         for batch in parts:
             rows = []
-            for doc_id, text in zip(batch.column(0).to_pylist(), texts(batch.column(1))):
-                ids = encode(text) + end
+            for doc_id, ids in zip(batch.column(0).to_pylist(), encode(batch.column(1))):
+                ids += end
                 for k, (start, length) in enumerate(cut(len(ids) // 4, capacity)):
                     crc = zlib.crc32(ids[4 * start : 4 * (start + length)])
                     rows.append((doc_id, k, start, length, crc, part, seen[length]))

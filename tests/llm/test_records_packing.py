@@ -15,7 +15,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from orderloom.llm import binary_records as br
-from orderloom.llm import catalog, packing
+from orderloom.llm import catalog, packing, token_ids
 from orderloom.llm.common import ship
 from orderloom.llm.token_ids import Encoder, default_file
 from orderloom.session import fresh_path
@@ -45,6 +45,41 @@ def test_unit_by_unit_on_documents(spark, whole):
     assert [np.frombuffer(x, "<u4").tolist() for x in map(ENCODER.encode, some)] == [whole(text) for text in some]
 
 
+MIXED = " \n\t.,'’”aeXé×1!\u00a0\u0085\u1680\u180e\u2003\u2028\u3000\x1c漢かжა𝒳"
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.one_of(st.none(), st.text(st.sampled_from(MIXED), max_size=20)), max_size=8))
+def test_a_column_is_encoded_as_its_texts(whole, some):
+    found = ENCODER.encode_all(pa.array([None, *some], pa.string())[1:])
+    assert [np.frombuffer(ids, "<u4").tolist() for ids in found] == [whole(text) for text in some]
+
+
+def test_blocks_and_forgotten_pieces_change_no_ids(whole, monkeypatch):
+    monkeypatch.setattr(token_ids, "BLOCK", 7)
+    monkeypatch.setattr(token_ids, "STEP", 3)
+    monkeypatch.setattr(token_ids, "PIECES_KEPT", 10)
+    some = [*(text for _, text, *_ in edge_rows()), PROSE, "漢" * 99 + " word, " + "x" * 99]
+    encoder = Encoder(default_file())
+    for _ in range(2):
+        found = encoder.encode_all(pa.array(some, pa.string()))
+        assert [np.frombuffer(ids, "<u4").tolist() for ids in found] == [whole(text) for text in some]
+    assert len(encoder.pieces.pieces) <= 10 and len(encoder.pieces.ids) == encoder.pieces.sizes.sum()
+
+
+def test_a_batch_asks_once_for_each_distinct_piece(monkeypatch):
+    """Frequent pieces outlive any number of rare ones, so few are made again."""
+    monkeypatch.setattr(token_ids, "PIECES_KEPT", 300)
+    encoder, made = Encoder(default_file()), Counter()
+    plain = encoder.pieces._made
+    monkeypatch.setattr(encoder.pieces, "_made", lambda piece: made.update([piece]) or plain(piece))
+    for k in range(50):
+        encoder.encode_all(pa.array([f"often and often, {PROSE} n{k}x{j}y" for j in range(20)]))
+    assert made[b" and"] == made[b" often"] == made[b","] == 1
+    assert made[b" n7x7y"] == 1 and set(made.values()) == {1} and len(made) > 1_000
+    assert len(encoder.pieces.pieces) <= 300
+
+
 WITH_ADDED = Encoder(default_file(), added=True)
 PLAIN = Tokenizer.from_file(default_file())
 
@@ -59,6 +94,9 @@ def plain(text: str) -> list[int]:
 def test_added_tokens_as_the_library(pieces):
     text = "".join(pieces)
     assert np.frombuffer(WITH_ADDED.encode(text), "<u4").tolist() == plain(text)
+    column = WITH_ADDED.encode_all(pa.array(["a b", text, None, text]))
+    assert [np.frombuffer(ids, "<u4").tolist() for ids in column] == [plain(x) for x in ("a b", text, "", text)]
+    assert WITH_ADDED.encode_all(pa.array([], pa.string())) == []
 
 
 def test_queries_encode_added_tokens(spark, tmp_path):
