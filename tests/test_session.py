@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import os
+import time
 from types import SimpleNamespace
 
 import pytest
@@ -61,6 +62,30 @@ def test_scratch_is_removed_when_a_job_ends(spark):
     assert not folder_exists(spark, inside)
 
 
+def test_shuffles_are_removed_as_each_query_ends(spark, tmp_path):
+    def shuffled():
+        disks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+        files = disks.getAllFiles().iterator()
+        names = set()
+        while files.hasNext():
+            names.add(files.next().getName())
+        return {name for name in names if name.startswith("shuffle_")}
+
+    df = spark.range(10_000).groupBy("id").count()
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, was = shuffled(), spark.conf.get(setting)
+    with scratch(spark):
+        df.write.parquet(f"{tmp_path}/inside")
+        # The query is still held; only the end of its run can have removed them.
+        until = time.time() + 20
+        while shuffled() - before and time.time() < until:
+            time.sleep(0.1)
+        assert not shuffled() - before
+    assert spark.conf.get(setting) == was
+    df.write.parquet(f"{tmp_path}/again")
+    assert spark.read.parquet(f"{tmp_path}/again").count() == 10_000
+
+
 def test_partitions_grow_with_the_shuffle():
     small, large = shuffle_settings(1 << 30, 8), shuffle_settings(10 << 40, 4000)
     assert small["spark.sql.shuffle.partitions"] == "24"
