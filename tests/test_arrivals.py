@@ -23,6 +23,7 @@ from orderloom.sources.versions import MonthlyTable
 from orderloom.streaming.arrivals import ingest_new_files
 from tests.test_kpis import facts
 from tests.test_order_files import write_day
+from tests.test_plans import plan
 
 AS_OF = dt.date(2025, 2, 2)
 TABLES = ["agg_daily_sales", "agg_monthly_revenue", "agg_product_performance", "agg_customer_rfm"]
@@ -115,6 +116,35 @@ def test_many_orders_are_taken_in_without_trying_the_marks(spark, tmp_path, monk
     assert labels == ["held-keys"]  # no lines are written but those of the table
 
 
+@pytest.mark.parametrize("order", [(0, 1, 2), (2, 0, 1)], ids=str)
+def test_many_orders_meet_their_lines_where_these_are_written_from(spark, tmp_path, monkeypatch, order):
+    """An order that a batch does not name but that lies in a month it touches keeps its marks."""
+
+    def lines(day, *rows):
+        stamp = {"ingestion_ts": F.lit(None).cast("timestamp_ntz"), "run_date": F.lit(day), "file": F.lit(str(day))}
+        rows = [(name, "c", product, "x", moment, n, 10.0, 0.0) for name, product, moment, n in rows]
+        return staged(facts(spark, rows).withColumns(stamp), "day")
+
+    hot = [("hot", f"p{k}", "2025-01-05", k) for k in range(1, 20)]
+    parts = [
+        lines(DAY[0], *hot, ("both", "p", "2025-01-31", 1), ("both", "p", "2025-04-01", 2), ("o1", "p", "2025-02-05", 3)),
+        lines(DAY[1], ("hot", "p", "2025-03-05", 1), ("o1", "p", "2025-03-06", 4), ("o1", "p", "2025-01-06", 5)),
+        lines(DAY[2], ("o2", "p", "2025-01-07", 6), ("o1", "p", "2025-01-07", 7)),
+    ]
+    monkeypatch.setattr("orderloom.operators.upsert.fits_broadcast", lambda df: False)
+    monkeypatch.setattr("orderloom.sources.orders.kept_rows", lambda *_: pytest.fail("all lines are shuffled by order"))
+    monkeypatch.setattr("orderloom.sources.lake.PART_ROWS", 4)
+    table, whole = OrderTable(spark, f"{tmp_path}/in-turn"), OrderTable(spark, f"{tmp_path}/at-once")
+    for k in order:
+        table.take(parts[k])
+    whole.rebuild(staged(parts[0].unionByName(parts[1]).unionByName(parts[2]), "days"))
+    columns = ["order_id", "product_id", "order_month", "quantity", "file", "current", "spans"]
+    found = [sorted(map(str, each.history().select(*columns).where("current").collect())) for each in (table, whole)]
+    assert found[0] == found[1] and len(found[0]) == 5
+    assert table.history().count() == whole.history().count() == 27
+    assert sorted(r["quantity"] for r in table.lines().where("spans").collect()) == [1, 2]
+
+
 def test_a_late_older_file_does_not_replace_the_newer_version(spark, tmp_path):
     write_day(tmp_path / "files", dt.date(2025, 1, 7), ["o1,c,p,2025-01-07,5,10.00,0,x"])
     ingest(spark, tmp_path)
@@ -277,6 +307,19 @@ def test_states_of_months_add_up(spark, known):
     assert same(empty, quality_report(lines.limit(0), AS_OF))
 
 
+def test_lines_are_shuffled_once_for_the_states_of_products(spark, monkeypatch):
+    lines = spanning_facts(spark)
+    fact = staged(mark_newest(lines).where("current"), "fact")
+    for rows in (1 << 20, 1):  # all of a month in one part; as many parts as lines, by order
+        monkeypatch.setattr("orderloom.sources.lake.PART_ROWS", rows)
+        states = kpis.product_states(fact)
+        text = plan(states)
+        assert "hashpartitioning(order_year" in text and "_part" in text
+        assert not any("hashpartitioning" in line and "product_id" in line and "Union" not in line for line in text.splitlines())
+        one, other = kpis.product_performance_of(states), kpis.product_performance(lines)
+        assert sorted(map(str, one.collect())) == sorted(map(str, other.collect()))
+
+
 def test_keys_with_nulls_add_up(spark):
     lines = spanning_facts(spark).withColumn("order_id", F.when(F.col("order_id") != "B", F.col("order_id")))
     fact = mark_newest(lines).where("current")
