@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import os
 from decimal import Decimal
 
 import pytest
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 from orderloom.contracts import CORRUPT, FACT_ORDERS, RAW_ORDERS
 from orderloom.operators.cleaning import accepted, assess, drop_incomplete, ingest_audit, rejected
 from orderloom.operators.upsert import mark_newest
+from orderloom.sources import star_schema as star
 from orderloom.sources.order_files import (
     SCAN_SCHEMA,
     HeaderError,
@@ -269,3 +271,17 @@ def test_newest_version_of_a_hot_order(spark):
 
 def test_trim_takes_spaces_only(spark):
     assert _line(spark, customer_id=" \tc ")["customer_id"] == "\tC"
+
+
+def test_many_orders_are_delivered_in_many_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("orderloom.sources.star_schema.ORDERS_A_FILE", 100)
+    spark.range(1001).selectExpr("id AS o_orderkey").write.parquet(f"{tmp_path}/orders.parquet")
+    assert star.delivered_files(spark, str(tmp_path)) == 11
+    lines = spark.range(1001).select(*[F.col("id").cast("string").alias(name) for name in RAW_ORDERS.names])
+    star.deliver(lines, f"{tmp_path}/files", 11)
+    star.deliver(lines.where("order_id < 900"), f"{tmp_path}/files", 11)
+    names = [name for name in os.listdir(f"{tmp_path}/files") if not name.startswith(".")]
+    assert sorted(names) == sorted(f"orders-{k}.csv" for k in range(11))
+    assert read_orders(spark, f"{tmp_path}/files").count() == 900
+    monkeypatch.undo()
+    assert star.delivered_files(spark, str(tmp_path)) == 4
